@@ -1,0 +1 @@
+"""No streaming operator exists in the feature set: every run is a periodic batch."""
