@@ -31,8 +31,12 @@ def stringify(frame: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def normalize_code(code: Column) -> Column:
-    """``' 2.00 '`` -> ``'2'``: trims and drops a trailing point with any number of zeros."""
-    return F.regexp_replace(F.trim(code), r"\.0+$", "")
+    """``' 2.00 '`` -> ``'2'``: trims and drops a trailing point with any number of zeros.
+
+    Codes without a point, nearly all of them, skip the regular expression.
+    """
+    trimmed = F.trim(code)
+    return F.when(F.contains(trimmed, F.lit(".")), F.regexp_replace(trimmed, r"\.0+$", "")).otherwise(trimmed)
 
 
 def dictionary_code(code: Column) -> Column:

@@ -16,6 +16,8 @@ from pyspark.storagelevel import StorageLevel
 from panelwright.functions.numeric import percent, ratio_label
 from panelwright.operators.describe import with_share
 from panelwright.operators.percentiles import ACCURACY
+from panelwright.operators.reshape import union_all
+from panelwright.session import iterated
 
 FEATURES = "features_scaled"
 MAX_ALIGNED_LABELS = 7
@@ -54,25 +56,32 @@ def cluster_sizes(frame: DataFrame, prediction: str = "prediction") -> DataFrame
     return frame.groupBy(prediction).agg(F.count(F.lit(1)).alias("n"))
 
 
-def silhouettes(frame: DataFrame, point: Column, dimensions: int, assignments: list[str]) -> DataFrame:
+def silhouettes(
+    frame: DataFrame, point: Column, dimensions: int, assignments: list[str], max_clusters: int
+) -> DataFrame:
     """Mean squared-Euclidean silhouette, sizes and smallest cluster of many assignments at once.
 
     ``point`` is an array of ``dimensions`` doubles; each assignment is a column of cluster
-    numbers. Mean squared distances follow from each cluster's size, vector sum and sum of
-    squared norms, so two passes serve all assignments and no pair of rows is ever formed.
-    The cluster statistics (one row per assignment and cluster) ride along as one scalar.
+    numbers. Mean squared distances follow from each cluster's size, mean vector and mean
+    squared norm, so two passes serve all assignments and no pair of rows is ever formed.
+    The cluster statistics (one row per assignment and cluster, at most ``max_clusters`` each,
+    or the query fails) ride along as one scalar and are compared in generated code.
     """
     labels = F.array(*[F.col(a).cast("int") for a in assignments])
     long = frame.select(point.alias("x"), F.posexplode(labels).alias("a", "c"))
     norm = sum((F.col("x")[j] * F.col("x")[j] for j in range(dimensions)), F.lit(0.0))
     stats = long.groupBy("a", "c").agg(
         F.count(F.lit(1)).cast("double").alias("n"),
-        (F.sum(norm) / F.count(F.lit(1))).alias("psi"),
+        F.avg(norm).alias("psi"),
         *[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(dimensions)],
     )
     one_cluster = F.struct("c", "n", "psi", *[f"m{j}" for j in range(dimensions)])
+    clusters = F.collect_list(one_cluster)
+    few_enough = F.when(F.size(clusters) <= max_clusters, clusters).otherwise(
+        F.raise_error(F.lit(f"more than {max_clusters} clusters"))
+    )
     lookup = (
-        stats.groupBy("a").agg(F.collect_list(one_cluster).alias("clusters"))
+        stats.groupBy("a").agg(few_enough.alias("clusters"))
         .agg(F.map_from_entries(F.collect_list(F.struct("a", "clusters"))).alias("lookup"))
     )
 
@@ -80,24 +89,25 @@ def silhouettes(frame: DataFrame, point: Column, dimensions: int, assignments: l
         dot = sum((F.col("x")[j] * s[f"m{j}"] for j in range(dimensions)), F.lit(0.0))
         return F.col("norm") + s["psi"] - F.lit(2.0) * dot
 
-    scored = (
-        long.withColumns({"norm": norm, "clusters": F.element_at(lookup.scalar(), F.col("a"))})
-        .withColumns(
-            {
-                "own": F.filter("clusters", lambda s: s["c"] == F.col("c"))[0],
-                "others": F.filter("clusters", lambda s: s["c"] != F.col("c")),
-            }
-        )
-        .withColumns(
-            {
-                "size": F.col("own.n"),
-                "within": F.try_divide(
-                    mean_distance(F.col("own")) * F.col("own.n"), F.col("own.n") - F.lit(1.0)
-                ),
-                "nearest": F.array_min(F.transform("others", mean_distance)),
-            }
-        )
+    slots = [F.get(F.col("clusters"), F.lit(i)) for i in range(max_clusters)]
+    placed = long.withColumns({"norm": norm, "clusters": F.element_at(lookup.scalar(), F.col("a"))})
+    measured = placed.select(
+        "a", "c",
+        *[s["c"].alias(f"c{i}") for i, s in enumerate(slots)],
+        *[s["n"].alias(f"n{i}") for i, s in enumerate(slots)],
+        *[mean_distance(s).alias(f"d{i}") for i, s in enumerate(slots)],
     )
+    every = range(max_clusters)
+    # Empty slots are NULL, which neither matches a cluster number nor counts in the minimum.
+    own = {
+        name: F.coalesce(*[F.when(F.col(f"c{i}") == F.col("c"), F.col(f"{name}{i}")) for i in every])
+        for name in ("n", "d")
+    }
+    nearest = F.least(*[F.when(F.col(f"c{i}") != F.col("c"), F.col(f"d{i}")) for i in every], F.lit(None).cast("double"))
+    scored = measured.select("a", own["n"].alias("size"), own["d"].alias("mean_own"), nearest.alias("nearest"))
+    # The own mean counts a row's distance to itself; n / (n - 1) takes it out.
+    within = F.try_divide(F.col("mean_own") * F.col("size"), F.col("size") - F.lit(1.0))
+    scored = scored.withColumn("within", within)
     value = (
         F.when(F.col("size") == 1, F.lit(0.0))
         .when(F.col("within") < F.col("nearest"), 1 - F.col("within") / F.col("nearest"))
@@ -138,16 +148,18 @@ def kmeans_grid(
 ) -> Grid:
     """Fits every (variant, K, seed) and scores all of a variant's fits together.
 
-    Only the scaled vector is kept in memory or on disk, once per variant. Fits are
-    distributed jobs; all assignments of a variant are columns of one frame, so
-    silhouettes and sizes take two passes instead of three jobs per fit.
+    The measures are stored once for all variants; per variant only the scaled vector is
+    kept. Fits are distributed jobs; all assignments of a variant are columns of one
+    frame, so silhouettes and sizes take two passes instead of three jobs per fit.
     """
+    spark = frame.sparkSession
     grid = Grid(experiments=None)
+    measures = iterated(frame.select(*dict.fromkeys(c for v in variants.values() for c in v)), "measures")
     parts = []
     for variant, columns in variants.items():
-        assembler, scaler = fit_scaler(frame, columns)
+        assembler, scaler = fit_scaler(measures, columns)
         grid.scalers[variant] = (assembler, scaler)
-        scaled = scaler.transform(assembler.transform(frame.select(*columns))).select(FEATURES)
+        scaled = scaler.transform(assembler.transform(measures)).select(FEATURES)
         scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
         assigned, rows = scaled, []
         for k in ks:
@@ -157,17 +169,18 @@ def kmeans_grid(
                 name = f"k{k}_s{seed}"
                 rows.append((variant, k, seed, name, float(model.summary.trainingCost)))
                 assigned = model.copy().setPredictionCol(name).transform(assigned)
-        scores = silhouettes(assigned, vector_to_array(FEATURES), len(columns), [r[3] for r in rows])
-        scores = frame.sparkSession.createDataFrame(scores.collect(), scores.schema)
+        scores = silhouettes(
+            assigned, vector_to_array(FEATURES), len(columns), [r[3] for r in rows], max(ks)
+        )
+        # One row per fit, taken before the scaled rows are released.
+        scores = spark.createDataFrame(scores.collect(), scores.schema)
         scaled.unpersist()
-        runs = frame.sparkSession.createDataFrame(
+        runs = spark.createDataFrame(
             rows, "variant string, k int, seed int, assignment string, cost double"
         )
         parts.append(runs.join(scores, "assignment").drop("assignment"))
-    grid.experiments = parts[0]
-    for part in parts[1:]:
-        grid.experiments = grid.experiments.unionByName(part)
-    grid.experiments = grid.experiments.select(
+    measures.unpersist()
+    grid.experiments = union_all(parts).select(
         "variant", "k", "seed", "silhouette", "cost", "n", "min_size", "sizes"
     )
     return grid

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 from pyspark.storagelevel import StorageLevel
 
+from panelwright.session import iterated
 from panelwright.spec import PanelSpec
 
 # The configurations compared on the validation period.
@@ -30,6 +31,7 @@ FOREST_CONFIGS = {
     "rf_40_d7": {"numTrees": 40, "maxDepth": 7},
     "rf_80_d10": {"numTrees": 80, "maxDepth": 10},
 }
+BASELINE = "baseline"
 RESIDUAL_NOTE = "salario_mensual - prediction; positivo = subestimacion"
 
 
@@ -123,32 +125,35 @@ def regression_metrics(frame: DataFrame, label: str, predictions: dict[str, str]
 
 @dataclass
 class Fits:
-    """Fitted pipelines by configuration name and their validation metrics."""
+    """Fitted pipelines by configuration name, the scored rows and the metrics of all of them."""
 
+    scored: DataFrame
     metrics: DataFrame
-    pipelines: dict[str, PipelineModel] = field(default_factory=dict)
+    pipelines: dict[str, PipelineModel]
 
 
 def fit_and_score(
     fit: DataFrame, evaluated: DataFrame, estimators: dict[str, Estimator], spec: PanelSpec
 ) -> Fits:
-    """Fits every estimator on ``fit`` and scores all of them on ``evaluated`` in one pass.
+    """Fits every estimator on ``fit`` and scores all of them, and the baseline, in one pass.
 
-    Indexers and encoder are fitted once and shared; the assembled fit rows are kept
-    once for all estimators (vector and target only).
+    The fit rows are stored once (predictors and target only). Indexers and encoder are
+    fitted once and shared; the assembled rows are kept for all estimators.
     """
     stages = preprocessing_stages(spec.categorical_predictors, spec.numeric_predictors)
-    prepared = Pipeline(stages=stages).fit(fit)
-    vectors = prepared.transform(fit).select("features", spec.target).persist(StorageLevel.MEMORY_AND_DISK)
-    fits = Fits(metrics=None)
+    rows = iterated(fit.select(*spec.predictors, spec.target), "fit")
+    prepared = Pipeline(stages=stages).fit(rows)
+    vectors = prepared.transform(rows).select("features", spec.target).persist(StorageLevel.MEMORY_AND_DISK)
+    pipelines = {}
     for name, estimator in estimators.items():
         model: Model = estimator.fit(vectors)
-        fits.pipelines[name] = PipelineModel(stages=[*prepared.stages, model])
+        pipelines[name] = PipelineModel(stages=[*prepared.stages, model])
     vectors.unpersist()
-    fits.metrics = regression_metrics(
-        score(evaluated, fits.pipelines), spec.target, {name: prediction_column(name) for name in estimators}
-    )
-    return fits
+    mean = rows.agg(F.avg(spec.target)).first()[0]
+    rows.unpersist()
+    scored = score(evaluated, pipelines).withColumn(prediction_column(BASELINE), F.lit(mean))
+    names = {name: prediction_column(name) for name in [BASELINE, *estimators]}
+    return Fits(scored, regression_metrics(scored, spec.target, names), pipelines)
 
 
 def prediction_column(name: str) -> str:
@@ -156,16 +161,22 @@ def prediction_column(name: str) -> str:
 
 
 def score(frame: DataFrame, pipelines: dict[str, PipelineModel]) -> DataFrame:
-    """One prediction column per pipeline, side by side on the same rows."""
-    scored = frame
+    """One prediction column per pipeline, side by side on the same rows.
+
+    Pipelines that share their fitted preprocessing run it once.
+    """
+    scored, done, added = frame, None, []
     for name, pipeline in pipelines.items():
         *preparing, model = pipeline.stages
-        model = model.copy().setPredictionCol(prediction_column(name))
-        for stage in [*preparing, model]:
-            scored = stage.transform(scored)
-        added = [c for c in scored.columns if c.endswith(("_idx", "_ohe")) or c == "features"]
-        scored = scored.drop(*added)
-    return scored
+        uids = [stage.uid for stage in preparing]
+        if uids != done:
+            before = scored = scored.drop(*added)
+            for stage in preparing:
+                scored = stage.transform(scored)
+            added = [c for c in scored.columns if c not in before.columns]
+            done = uids
+        scored = model.copy().setPredictionCol(prediction_column(name)).transform(scored)
+    return scored.drop(*added)
 
 
 def select_config(metrics: DataFrame, baseline: str | None = None, by: list[str] | None = None) -> DataFrame:

@@ -12,8 +12,6 @@ from panelwright.operators.quality import require_empty
 from panelwright.sources.sinks import load_model, read_document, save_model, write_document
 from panelwright.spec import PanelSpec
 
-BASELINE = "baseline"
-
 METRICS_SCHEMA = (
     "partitions map<string, bigint>,"
     " selection array<struct<family: string, config: string>>,"
@@ -25,20 +23,13 @@ METRICS_SCHEMA = (
 
 @dataclass
 class Selection:
-    """Per family of estimators: validation metrics of all configurations and the chosen one."""
+    """Validation metrics of all configurations, and per family the chosen one with its pipeline."""
 
     metrics: DataFrame
     chosen: dict[str, str]
     pipelines: dict[str, PipelineModel]
 
 
-def baseline_metrics(fit: DataFrame, evaluated: DataFrame, spec: PanelSpec) -> DataFrame:
-    scored = supervise.with_constant(fit, evaluated, spec.target, supervise.prediction_column(BASELINE))
-    return supervise.regression_metrics(
-        scored, spec.target, {BASELINE: supervise.prediction_column(BASELINE)}
-    )
-
-
 def select(
     fit: DataFrame, validation: DataFrame, families: dict[str, dict[str, Estimator]], spec: PanelSpec
 ) -> Selection:
@@ -48,28 +39,19 @@ def select(
         *[F.lit(x) for family, members in families.items() for name in members for x in (name, family)]
     )
     fits = supervise.fit_and_score(fit, validation, estimators, spec)
-    scored = baseline_metrics(fit, validation, spec).unionByName(fits.metrics)
-    spark = fit.sparkSession
     # A row per configuration; kept as data because the choice and the report both read it.
-    scored = spark.createDataFrame(scored.collect(), scored.schema).withColumn("family", family_of[F.col("model")])
-    best = supervise.select_config(scored.filter(F.col("model") != BASELINE), by=["family"])
+    metrics = fit.sparkSession.createDataFrame(fits.metrics.collect(), fits.metrics.schema)
+    metrics = metrics.withColumn("family", family_of[F.col("model")])
+    best = supervise.select_config(metrics.filter(F.col("model") != supervise.BASELINE), by=["family"])
     chosen = {r["family"]: r["model"] for r in best.select("family", "model").collect()}
-    return Selection(scored, chosen, {family: fits.pipelines[name] for family, name in chosen.items()})
+    return Selection(metrics, chosen, {family: fits.pipelines[name] for family, name in chosen.items()})
 
 
 def refit_and_test(
     fit: DataFrame, test: DataFrame, chosen: dict[str, Estimator], spec: PanelSpec
-) -> tuple[dict[str, PipelineModel], DataFrame, DataFrame]:
-    """Refits the chosen estimators, scores the test rows once; (pipelines, scored rows, metrics).
-
-    The baseline is scored next to the models, so one aggregation compares them all.
-    """
-    fits = supervise.fit_and_score(fit, test, chosen, spec)
-    scored = supervise.with_constant(
-        fit, supervise.score(test, fits.pipelines), spec.target, supervise.prediction_column(BASELINE)
-    )
-    names = {name: supervise.prediction_column(name) for name in [BASELINE, *chosen]}
-    return fits.pipelines, scored, supervise.regression_metrics(scored, spec.target, names)
+) -> supervise.Fits:
+    """Refits the chosen estimators on all fit periods and scores the test rows once, baseline included."""
+    return supervise.fit_and_score(fit, test, chosen, spec)
 
 
 def metrics_document(

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.storagelevel import StorageLevel
 
 # A small side may be hinted as a broadcast only when its counted rows stay under this.
 BROADCAST_ROWS = 200_000
@@ -67,3 +68,17 @@ def sized(small: DataFrame, label: str, max_rows: int = BROADCAST_ROWS) -> DataF
     if small.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(small)
     return small
+
+
+def iterated(frame: DataFrame, label: str) -> DataFrame:
+    """A frame that many passes will read: stored, kept on the executors, spread over all cores.
+
+    Losing an executor costs a re-read of its part of the stored table, not a replay of
+    everything before it. Only when the table has fewer parts than there are cores is it
+    repartitioned. The caller unpersists it.
+    """
+    kept = stored(frame, label)
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if kept.rdd.getNumPartitions() < cores:
+        kept = kept.repartition(cores)
+    return kept.persist(StorageLevel.MEMORY_AND_DISK)

@@ -63,7 +63,7 @@ def wage_rules(
         c(occupation).isin(*occupations),
         is_finite(c(pay)) & (c(pay) > 0),
         is_finite(c(years)) & (c(years) >= 0),
-        is_finite(c(months)) & is_whole(c(months)) & c(months).between(0, 11),
+        c(months).between(0, 11) & is_whole(c(months)),
         c(tenure) <= c(age),
         is_finite(c(hours)) & (c(hours) > 0) & (c(hours) <= max_hours),
     ]

@@ -284,7 +284,7 @@ def q_forest_grid(spark: SparkSession, sf: str) -> DataFrame:
     configs = {"rf_10_d5": {"numTrees": 10, "maxDepth": 5}, "rf_20_d7": {"numTrees": 20, "maxDepth": 7}}
     grid = {name: supervise.forest(SPEC.target, config) for name, config in configs.items()}
     fits = supervise.fit_and_score(fit, validation, grid, SPEC)
-    scored = supervise.score(validation, fits.pipelines)
+    scored = fits.scored
     span = fit.agg(F.struct(F.min("pay").alias("lo"), F.max("pay").alias("hi"))).scalar()
     ranges = scored.agg(
         *[F.struct(F.lit(n).alias("model"), F.min(f"prediction_{n}").alias("lowest"), F.max(f"prediction_{n}").alias("highest")).alias(n) for n in configs]
@@ -305,37 +305,37 @@ def _refit(spark: SparkSession, sf: str):
     families = _families()
     selection = supervised.select(fit, validation, families, SPEC)
     chosen = {family: families[family][name] for family, name in selection.chosen.items()}
-    pipelines, scored, metrics = supervised.refit_and_test(union_all([fit, validation]), test, chosen, SPEC)
-    return selection, pipelines, scored, metrics, (fit, validation, test)
+    fits = supervised.refit_and_test(union_all([fit, validation]), test, chosen, SPEC)
+    return selection, fits, (fit, validation, test)
 
 
 @query()
 def q_refit_test(spark: SparkSession, sf: str) -> DataFrame:
     """Selection, refit on all earlier periods, one test: models and baseline compared."""
-    _, _, _, metrics, (_, _, test) = _refit(spark, sf)
-    rows = supervise.comparison(metrics, supervised.BASELINE).withColumn("_n", test.agg(F.count(F.lit(1))).scalar())
+    _, fits, (_, _, test) = _refit(spark, sf)
+    rows = supervise.comparison(fits.metrics, supervise.BASELINE).withColumn("_n", test.agg(F.count(F.lit(1))).scalar())
     return _check(rows, F.col("n") == F.col("_n"), "a model scored other rows").drop("_n")
 
 
 @query()
 def q_model_errors(spark: SparkSession, sf: str) -> DataFrame:
     """Errors of the refitted models by code and by band of pay, over the whole test period."""
-    _, _, scored, _, (_, _, test) = _refit(spark, sf)
+    _, fits, (_, _, test) = _refit(spark, sf)
     predictions = {n: supervise.prediction_column(n) for n in ("linear", "forest")}
-    banded = errors.with_band(scored, SPEC.target, errors.band_edges(test, SPEC.target))
+    banded = errors.with_band(fits.scored, SPEC.target, errors.band_edges(test, SPEC.target))
     return errors.with_bias(errors.errors_by_groupings(banded, SPEC.target, predictions, ["edu", "domain", "band"]))
 
 
 @query()
 def q_model_reverify(spark: SparkSession, sf: str) -> DataFrame:
     """Saved pipelines and metrics document, reloaded, rescored and compared."""
-    selection, pipelines, _, metrics, (fit, validation, test) = _refit(spark, sf)
+    selection, fits, (fit, validation, test) = _refit(spark, sf)
     folder = new_folder(spark, "models")
     document = supervised.metrics_document(
-        {"fit": fit, "validation": validation, "test": test}, selection.chosen, selection.metrics, metrics
+        {"fit": fit, "validation": validation, "test": test}, selection.chosen, selection.metrics, fits.metrics
     )
-    supervised.save(pipelines, document, folder)
-    rows = supervised.reverify(spark, folder, list(pipelines), test, SPEC)
+    supervised.save(fits.pipelines, document, folder)
+    rows = supervised.reverify(spark, folder, list(fits.pipelines), test, SPEC)
     return _check(rows, F.col("agrees"), "recomputed metrics differ")
 
 

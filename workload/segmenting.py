@@ -51,7 +51,7 @@ def q_silhouette(spark: SparkSession, sf: str) -> DataFrame:
     )
     cluster = F.when(F.col("l_quantity") <= 15, 0).when(F.col("l_quantity") <= 35, 1).otherwise(2)
     rows = segment.silhouettes(
-        scaled.withColumn("cluster", cluster), F.array("l_quantity_z", "l_discount_z"), 2, ["cluster"]
+        scaled.withColumn("cluster", cluster), F.array("l_quantity_z", "l_discount_z"), 2, ["cluster"], 3
     )
     return rows.select(F.round("silhouette", 8).alias("silhouette"))
 
@@ -91,7 +91,7 @@ def q_choose_k(spark: SparkSession, sf: str) -> DataFrame:
 
     names = {f"k{k}_s{s}": (k, s) for k, s in FIXED_RUNS}
     assigned = scaled.withColumns({name: group(*run) for name, run in names.items()})
-    scores = segment.silhouettes(assigned, F.array("l_quantity_z", "l_discount_z"), 2, list(names))
+    scores = segment.silhouettes(assigned, F.array("l_quantity_z", "l_discount_z"), 2, list(names), 4)
     runs = scores.select(
         F.regexp_extract("assignment", r"k(\d+)_s(\d+)", 1).cast("int").alias("k"),
         F.regexp_extract("assignment", r"k(\d+)_s(\d+)", 2).cast("int").alias("seed"),
@@ -139,11 +139,9 @@ def q_cross_tab(spark: SparkSession, sf: str) -> DataFrame:
 
 # Two far groups on one axis: every start ends in the same split, so SQL knows the outcome.
 @query("""
-WITH p AS (SELECT CASE WHEN l_linestatus = 'F' THEN l_tax ELSE l_tax + 1000 END AS x, l_quantity AS y FROM lineitem),
-s AS (SELECT avg(x) AS mx, stddev_samp(x) AS sx FROM p),
-z AS (SELECT (x - mx) / sx AS z, x, y FROM p CROSS JOIN s)
+WITH z AS (SELECT CASE WHEN l_linestatus = 'F' THEN l_tax ELSE l_tax + 1000 END AS x, l_quantity AS y FROM lineitem)
 SELECT CAST(row_number() OVER (ORDER BY avg(x)) - 1 AS INTEGER) AS cluster, count(*) AS n, round(avg(x), 6) AS mean_x, round(avg(y), 6) AS mean_y,
-  round(sum(z*z) - sum(z)*sum(z)/count(*), 6) AS cost
+  round(var_pop(x) * count(*), 4) AS cost
 FROM z GROUP BY x >= 500""")
 def q_kmeans_separated(spark: SparkSession, sf: str) -> DataFrame:
     points = table(spark, sf, "lineitem").select(
@@ -155,13 +153,12 @@ def q_kmeans_separated(spark: SparkSession, sf: str) -> DataFrame:
     model = segment.kmeans(2, 42).fit(scaled)
     centres = [float(c[0]) for c in model.clusterCenters()]
     rank = F.when(F.col("prediction") == centres.index(min(centres)), 0).otherwise(1)
-    z = vector_to_array(segment.FEATURES)[0]
     return (
         model.transform(scaled)
         .groupBy(rank.alias("cluster"))
         .agg(
             F.count(F.lit(1)).alias("n"), F.round(F.avg("x"), 6).alias("mean_x"), F.round(F.avg("y"), 6).alias("mean_y"),
-            F.round(F.var_pop(z) * F.count(F.lit(1)), 6).alias("cost"),
+            F.round(F.var_pop("x") * F.count(F.lit(1)), 4).alias("cost"),
         )
     )
 
