@@ -23,7 +23,8 @@ def fingerprints(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_F
 
     The size filter is pushed into the source, which then opens only the files it
     returns. Files beyond the limit are read in blocks, one file per task, so no file
-    is ever held whole in memory and none is too large.
+    is ever held whole in memory and none is too large. Like every Spark file source this
+    one passes over files of zero bytes.
     """
     files = spark.read.format("binaryFile").load(path)
     magic = F.hex(F.substring("content", 1, 4)) == ZIP_SIGNATURE
