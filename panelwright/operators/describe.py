@@ -72,9 +72,15 @@ def medians_by_each(
 
 
 def with_share(groups: DataFrame, count: str = "n", share: str = "pct", within: list[str] | None = None) -> DataFrame:
-    """Percent of the total (or of the ``within`` group) held by each row of an aggregated table."""
-    whole = Window.partitionBy(*[F.col(c) for c in within]) if within else Window.partitionBy(F.lit(0))
-    return groups.withColumn(share, percent(F.col(count), F.sum(count).over(whole)))
+    """Percent of the total (or of the ``within`` group) held by each row of an aggregated table.
+
+    The total comes in as a scalar, so even a long table of groups is not gathered in one task.
+    """
+    if within:
+        whole = F.sum(count).over(Window.partitionBy(*[F.col(c) for c in within]))
+    else:
+        whole = groups.agg(F.sum(count)).scalar()
+    return groups.withColumn(share, percent(F.col(count), whole))
 
 
 def log_histogram(frame: DataFrame, value: str, per_unit: int = 4) -> DataFrame:

@@ -10,6 +10,7 @@ from panelwright.functions.codes import is_blank, is_invalid_number
 from panelwright.functions.hashing import version_hashes
 from panelwright.functions.numeric import percent
 from panelwright.operators.rules import Rule, first_failing
+from panelwright.session import sized
 
 
 def missing_counts(columns: Iterable[str]) -> list[Column]:
@@ -59,40 +60,58 @@ def frequency(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-def key_versions(frame: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """Per key that occurs more than once: its rows, and whether its rows differ.
+def key_versions(frame: DataFrame, key: list[str], columns: list[str], stages: dict[str, Column]) -> DataFrame:
+    """Per key and stage: its rows and whether they differ, as ``stages`` array of structs.
 
-    One shuffle by key, on fixed-width partial aggregates: a key with any number of
-    rows leaves one row per task. NULL keys form a group of their own.
+    A stage is a condition on the rows (all of them, those kept by the rules). One shuffle
+    by key serves all stages, on fixed-width partial aggregates: a key with any number
+    of rows leaves one row per task. NULL keys form a group of their own.
     """
     first, second = version_hashes(columns)
-    hashed = frame.select(*key, first.alias("_h1"), second.alias("_h2"))
-    groups = hashed.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("_h1").alias("_a"), F.max("_h1").alias("_b"),
-        F.min("_h2").alias("_c"), F.max("_h2").alias("_d"),
-    )
-    differs = (F.col("_a") != F.col("_b")) | (F.col("_c") != F.col("_d"))
-    return groups.filter("n > 1").select(*key, "n", differs.alias("conflict"))
-
-
-def duplicate_audit(frame: DataFrame, key: list[str], columns: list[str], by: list[str] | None = None) -> DataFrame:
-    """Duplicated keys, rows in them, and keys whose rows are not exact repeats.
-
-    ``by`` names key columns (the period, say) to report separately. Keys holding a
-    NULL are counted in, and once more on their own in ``null_keys``.
+    conditions = {name: F.coalesce(condition, F.lit(False)) for name, condition in stages.items()}
+    hashed = frame.select(*key, first.alias("_h1"), second.alias("_h2"), *[c.alias(f"_in_{n}") for n, c in conditions.items()])
+    aggregates, results = [], []
+    for name in stages:
+        ends = [f"_{name}_{e}" for e in ("n", "min1", "max1", "min2", "max2")]
+        h1, h2 = F.when(F.col(f"_in_{name}"), F.col("_h1")), F.when(F.col(f"_in_{name}"), F.col("_h2"))
+        values = [F.count(h1), F.min(h1), F.max(h1), F.min(h2), F.max(h2)]
+        aggregates += [v.alias(e) for v, e in zip(values, ends, strict=True)]
+        n, min1, max1, min2, max2 = (F.col(e) for e in ends)
+        differs = F.coalesce((min1 != max1) | (min2 != max2), F.lit(False))
+        results.append(F.struct(F.lit(name).alias("stage"), n.alias("n"), differs.alias("conflict")))
+    return hashed.groupBy(*key).agg(*aggregates).select(*key, F.array(*results).alias("stages"))
+
+
+def duplicate_stages(
+    frame: DataFrame, key: list[str], columns: list[str], stages: dict[str, Column], by: list[str] | None = None
+) -> DataFrame:
+    """Per stage: duplicated keys, rows in them, and keys whose rows are not exact repeats.
+
+    ``by`` names key columns (the period, say) to report separately. Duplicated keys
+    holding a NULL are counted in, and once more on their own in ``null_keys``.
     """
     has_null = F.lit(False)
     for column in key:
         has_null = has_null | F.col(column).isNull()
-    return key_versions(frame, key, columns).groupBy(*(by or [])).agg(
-        F.count(F.lit(1)).alias("dup_keys"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("dup_rows"),
-        F.count_if("conflict").alias("conflicts"),
-        F.count_if(has_null).alias("null_keys"),
+    twice = F.col("n") > 1
+    groups = key_versions(frame, key, columns, stages).select(*key, F.inline("stages"))
+    return groups.groupBy(*(by or []), "stage").agg(
+        F.count_if(twice).alias("dup_keys"),
+        F.coalesce(F.sum(F.when(twice, F.col("n"))), F.lit(0)).cast("long").alias("dup_rows"),
+        F.count_if(twice & F.col("conflict")).alias("conflicts"),
+        F.count_if(twice & has_null).alias("null_keys"),
     )
 
 
+def duplicate_audit(frame: DataFrame, key: list[str], columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """The duplicate counts of a whole frame; one row of zeros if no key repeats."""
+    counts = duplicate_stages(frame, key, columns, {"all": F.lit(True)}, by).drop("stage")
+    if by:
+        return counts
+    # An empty frame has no group; summing nothing still gives the row of zeros.
+    return counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in counts.columns])
+
+
 def duplicate_examples(frame: DataFrame, key: list[str], columns: list[str], limit: int = 10) -> DataFrame:
     """The duplicated keys with most distinct versions, ties in key order."""
     first, second = version_hashes(columns)
@@ -108,9 +127,13 @@ def duplicate_examples(frame: DataFrame, key: list[str], columns: list[str], lim
 
 
 def rows_of_duplicated_keys(frame: DataFrame, key: list[str]) -> DataFrame:
-    """All rows whose key occurs more than once, kept as they are."""
+    """All rows whose key occurs more than once, kept as they are.
+
+    Repeated keys are few in a sound table: stored and counted first, they are then
+    looked up without shuffling the rows. If they are many, both sides shuffle.
+    """
     repeated = frame.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*key)
-    return frame.join(repeated, key, "left_semi")
+    return frame.join(sized(repeated, "repeated-keys"), key, "left_semi")
 
 
 def outside_domain(frame: DataFrame, code: str, allowed: list[str]) -> DataFrame:

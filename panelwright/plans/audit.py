@@ -1,4 +1,4 @@
-"""Preparation of all periods: one audit pass, one duplicate pass, one write."""
+"""Preparation of all periods: one audit pass, one duplicate pass, one read of the eligible rows."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from panelwright.operators import quality
-from panelwright.operators.rules import eligible, exclusion_counts, waterfall_steps
+from panelwright.operators.rules import FIRST_FAIL, eligible, exclusion_counts, waterfall_steps
 from panelwright.session import stored
 from panelwright.sources.codelist import recode_by_list
 from panelwright.spec import PanelSpec
@@ -62,13 +62,16 @@ def prepare(
     return kept
 
 
-def duplicate_report(raw: DataFrame, prepared: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Duplicate audit per period before and after the rules; periods without duplicates are left out."""
-    parts = []
-    for stage, frame in (("before", raw), ("after", prepared)):
-        rows = quality.duplicate_audit(frame, list(spec.key), frame.columns, by=[spec.period])
-        parts.append(rows.select(F.col(spec.period), F.lit(stage).alias("stage"), "dup_keys", "dup_rows", "conflicts", "null_keys"))
-    return parts[0].unionByName(parts[1])
+def duplicate_report(judged: DataFrame, spec: PanelSpec, also: tuple[str, ...] = ()) -> DataFrame:
+    """Duplicate audit per period before and after the rules, from one shuffle by key.
+
+    Versions are told apart by the source columns as they came (and ``also``, such as the
+    file of origin): every analytic column follows from them, so the same rows differ
+    before and after.
+    """
+    source = [f"{c}_original" if c in spec.keep_original else c for c in spec.source_columns]
+    stages = {"before": F.lit(True), "after": F.col(FIRST_FAIL) == 0}
+    return quality.duplicate_stages(judged, list(spec.key), [*source, *also], stages, by=[spec.period])
 
 
 def check_load(result: Audit, duplicates: DataFrame, spec: PanelSpec) -> None:

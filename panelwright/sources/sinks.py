@@ -6,18 +6,21 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
-def write_table(frame: DataFrame, path: str, period: str | None = None) -> int:
+def write_table(frame: DataFrame, path: str, period: str | None = None, mixed: bool = False) -> int:
     """Overwrites a Parquet table and returns the rows written, counted by the write itself.
 
-    With ``period`` the table is partitioned by it. Rows are rebalanced first: a period
-    of any size is spread over many evenly sized files, small ones are merged.
+    With ``period`` the table is partitioned by it. Rows scanned from period files already
+    lie apart and are written as they come. ``mixed`` says that every task holds rows of many
+    periods: they are rebalanced first, so that a period of any size becomes evenly sized
+    files and small ones are not scattered over one file per task.
     """
     seen = Observation()
     counted = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
     if period is None:
         counted.write.mode("overwrite").parquet(path)
     else:
-        counted.hint("rebalance", period).write.mode("overwrite").partitionBy(period).parquet(path)
+        laid_out = counted.hint("rebalance", period) if mixed else counted
+        laid_out.write.mode("overwrite").partitionBy(period).parquet(path)
     return seen.get["rows"]
 
 

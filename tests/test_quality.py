@@ -5,7 +5,9 @@ from panelwright.functions.codes import (
     dictionary_code, is_finite, normalize_code, period_quarter, period_year, recode, stringify, to_number,
 )
 from panelwright.functions.hashing import fingerprint, version_hashes
-from panelwright.operators import quality
+from panelwright.operators import quality, rules
+from panelwright.operators.reshape import union_all
+from panelwright.plans import audit as audit_plan
 from tests.fixtures import EDITS, SPEC, raw_rows
 
 KEY = list(SPEC.key)
@@ -39,6 +41,27 @@ def test_nulls_in_other_columns_are_other_versions(spark):
     assert all(len({r[i] for r in hashes.collect()}) == 2 for i in range(3))
 
 
+def test_report_before_and_after_the_rules(spark):
+    rows = raw_rows(spark, EDITS)
+    twice = rows.unionByName(rows.filter("NUM_HOGAR in ('1', '2')"))
+    changed = raw_rows(spark, [({"DOMINIO": "1"}, 0)])  # the same code in another rendering is another version
+    other = raw_rows(spark, EDITS[:1], "2025T2")
+    judged = rules.judge(union_all([twice, changed, other]), SPEC)
+    found = {(r.periodo_archivo, r.stage): (r.dup_keys, r.dup_rows, r.conflicts, r.null_keys) for r in audit_plan.duplicate_report(judged, SPEC).collect()}
+    assert found == {
+        ("2025T1", "before"): (2, 5, 1, 0), ("2025T1", "after"): (1, 3, 1, 0),
+        ("2025T2", "before"): (0, 0, 0, 0), ("2025T2", "after"): (0, 0, 0, 0),
+    }
+    with pytest.raises(quality.CheckFailed, match="conflicting"):
+        audit_plan.check_load(audit_plan.audit(judged, SPEC), audit_plan.duplicate_report(judged, SPEC), SPEC)
+    clean = rules.judge(rows, SPEC)
+    audit_plan.check_load(audit_plan.audit(clean, SPEC), audit_plan.duplicate_report(clean, SPEC), SPEC)
+
+
+def test_audit_of_nothing(spark):
+    assert audit(raw_rows(spark, EDITS).filter("false")) == (0, 0, 0, 0)
+
+
 def test_hot_key_audit(spark):
     """A third of all rows under one key; the counts stay whole."""
     frame = spark.range(30_000).select(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from panelwright.functions.codes import dictionary_code, normalize_code
 from panelwright.operators import quality, rules
 from panelwright.operators.reshape import to_wide, union_all
-from panelwright.plans.audit import audit
+from panelwright.plans.audit import audit, duplicate_report
 from panelwright.plans.checks import prepared_faults
 from workload.tables import ALLOWED, CLEAN, DIRTY, EDU_CODES, SPEC, dirty, judged, query, table
 
@@ -141,6 +141,19 @@ def q_duplicates_by_period(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(f"""
+WITH k AS (SELECT period, hh, person, count(*) AS n, count(DISTINCT concat_ws('|', row_id)) AS versions,
+    sum(CASE WHEN first_fail = 0 THEN 1 ELSE 0 END) AS n_after, count(DISTINCT CASE WHEN first_fail = 0 THEN row_id END) AS versions_after
+  FROM ({CLEAN}) c GROUP BY period, hh, person)
+SELECT period, 'before' AS stage, CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS dup_keys, CAST(sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS BIGINT) AS dup_rows,
+  CAST(sum(CASE WHEN versions > 1 THEN 1 ELSE 0 END) AS BIGINT) AS conflicts, CAST(0 AS BIGINT) AS null_keys FROM k GROUP BY period
+UNION ALL SELECT period, 'after', CAST(sum(CASE WHEN n_after > 1 THEN 1 ELSE 0 END) AS BIGINT), CAST(sum(CASE WHEN n_after > 1 THEN n_after ELSE 0 END) AS BIGINT),
+  CAST(sum(CASE WHEN versions_after > 1 THEN 1 ELSE 0 END) AS BIGINT), CAST(0 AS BIGINT) FROM k GROUP BY period""")
+def q_duplicate_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Duplicate keys before and after the rules, per period, zeros included."""
+    return duplicate_report(judged(spark, sf), SPEC, also=("row_id",))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, count(*) AS n, count(DISTINCT concat_ws('|', CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR))) AS versions
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1

@@ -197,7 +197,7 @@ def q_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Prepared rows written by period, read back with schema and count checked."""
     prepared = rules.eligible(judged(spark, sf), SPEC, ALLOWED)
     folder = new_folder(spark, "prepared")
-    rows = write_table(prepared, folder, SPEC.period)
+    rows = write_table(prepared, folder, SPEC.period, mixed=True)
     again = read_back(spark, folder, prepared, rows, SPEC.period)
     return again.groupBy("period").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("pay"), 2).alias("pay"), F.min("row_id").alias("first_row")
