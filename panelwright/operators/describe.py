@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from panelwright.functions.numeric import log_bin, percent
-from panelwright.operators.percentiles import ACCURACY, percentiles
+from panelwright.operators.percentiles import ACCURACY, exact_percentiles
 from panelwright.operators.reshape import to_long
+from panelwright.session import stored
 
 SUMMARY_PERCENTILES = [0.25, 0.5, 0.75, 0.95]
 
@@ -15,31 +16,31 @@ SUMMARY_PERCENTILES = [0.25, 0.5, 0.75, 0.95]
 def summary(frame: DataFrame, columns: list[str], exact: bool = False, accuracy: int = ACCURACY) -> DataFrame:
     """n, mean, sd (sample), min, max, p25, p50, p75, p95 per column; n counts non-NULL values.
 
-    The sketch mode computes all columns in one aggregation; the exact mode adds
-    the two-pass percentiles over (variable, value).
+    The sketch mode computes all columns in one aggregation; the exact mode takes the
+    moments along in the first of its two passes over (variable, value).
     """
-    def moments(c: str) -> list:
-        return [
-            F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("sd"),
-            F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi"),
-        ]
+    def moments(c: str) -> dict[str, Column]:
+        return {
+            "mean": F.avg(c), "sd": F.stddev_samp(c), "lo": F.min(c).cast("double"), "hi": F.max(c).cast("double")
+        }
 
-    cuts = F.array(*[F.lit(p) for p in SUMMARY_PERCENTILES])
-    per_column = [
-        F.struct(
-            F.lit(c).alias("variable"),
-            *moments(c),
-            (F.lit(None).cast("array<double>") if exact
-             else F.percentile_approx(F.col(c).cast("double"), cuts, F.lit(accuracy))).alias("q"),
-        ).alias(c)
-        for c in columns
-    ]
-    rows = frame.agg(*per_column).select(F.inline(F.array(*columns)))
     if exact:
-        long = to_long(frame, [], columns, "variable", "value")
-        cut = percentiles(long, ["variable"], "value", SUMMARY_PERCENTILES, exact=True, accuracy=accuracy)
-        rows = rows.drop("q").join(cut.select("variable", F.col("percentiles").alias("q")), "variable", "left")
-    named = [F.col("q")[i].alias(f"p{round(100 * p)}") for i, p in enumerate(SUMMARY_PERCENTILES)]
+        doubles = frame.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        long = to_long(doubles, [], columns, "variable", "value")
+        rows = exact_percentiles(long, ["variable"], "value", SUMMARY_PERCENTILES, accuracy, also=moments("value"))
+    else:
+        cuts = F.array(*[F.lit(p) for p in SUMMARY_PERCENTILES])
+        per_column = [
+            F.struct(
+                F.lit(c).alias("variable"),
+                F.count(c).alias("n"),
+                *[m.alias(name) for name, m in moments(c).items()],
+                F.percentile_approx(F.col(c).cast("double"), cuts, F.lit(accuracy)).alias("percentiles"),
+            ).alias(c)
+            for c in columns
+        ]
+        rows = frame.agg(*per_column).select(F.inline(F.array(*columns)))
+    named = [F.col("percentiles")[i].alias(f"p{round(100 * p)}") for i, p in enumerate(SUMMARY_PERCENTILES)]
     return rows.select("variable", "n", "mean", "sd", "lo", "hi", *named)
 
 
@@ -51,16 +52,12 @@ def group_median(
     frame: DataFrame, groups: list[str], value: str, exact: bool = False, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Row count and median of ``value`` per group."""
-    rows = frame.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
-    if not exact:
-        return frame.groupBy(*groups).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(F.col(value).cast("double"), F.lit(0.5), F.lit(accuracy)).alias("median"),
-        )
-    cut = percentiles(frame, groups, value, [0.5], exact=True, accuracy=accuracy)
-    medians = cut.select(*[F.col(g).alias(f"_m_{g}") for g in groups], F.col("percentiles")[0].alias("median"))
-    same = [F.col(g).eqNullSafe(F.col(f"_m_{g}")) for g in groups]
-    return rows.join(medians, same, "left").select(*groups, "n", "median")
+    count = F.count(F.lit(1))
+    if exact:
+        rows = exact_percentiles(frame, groups, value, [0.5], accuracy, also={"rows": count})
+        return rows.select(*groups, F.col("rows").alias("n"), F.col("percentiles")[0].alias("median"))
+    median = F.percentile_approx(F.col(value).cast("double"), F.lit(0.5), F.lit(accuracy))
+    return frame.groupBy(*groups).agg(count.alias("n"), median.alias("median"))
 
 
 def medians_by_each(
@@ -74,13 +71,14 @@ def medians_by_each(
 def with_share(groups: DataFrame, count: str = "n", share: str = "pct", within: list[str] | None = None) -> DataFrame:
     """Percent of the total (or of the ``within`` group) held by each row of an aggregated table.
 
-    The total comes in as a scalar, so even a long table of groups is not gathered in one task.
+    For a share of the total the table is stored once and its sum comes in as a scalar:
+    the rows behind it are not aggregated twice, nor the table gathered in one task.
     """
     if within:
         whole = F.sum(count).over(Window.partitionBy(*[F.col(c) for c in within]))
-    else:
-        whole = groups.agg(F.sum(count)).scalar()
-    return groups.withColumn(share, percent(F.col(count), whole))
+        return groups.withColumn(share, percent(F.col(count), whole))
+    kept = stored(groups, "groups")
+    return kept.withColumn(share, percent(F.col(count), kept.agg(F.sum(count)).scalar()))
 
 
 def log_histogram(frame: DataFrame, value: str, per_unit: int = 4) -> DataFrame:

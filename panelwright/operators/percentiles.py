@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from panelwright.session import sized
@@ -11,28 +11,39 @@ ACCURACY = 10_000
 
 
 def exact_percentiles(
-    frame: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = ACCURACY
+    frame: DataFrame,
+    keys: list[str],
+    value: str,
+    probabilities: list[float],
+    accuracy: int = ACCURACY,
+    also: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Per key group: ``n`` non-null values and ``percentiles`` (discrete, as an array of doubles).
 
-    Pass 1 sketches, per group, a narrow bracket around every wanted percentile.
+    Pass 1 sketches, per group, a narrow bracket around every wanted percentile, and takes
+    along any other aggregates asked for in ``also``.
     Pass 2 counts rows: those outside all brackets collapse, map-side, into one run
     per gap between brackets; only values inside a bracket (about ``6 / accuracy`` of
     the rows) keep their identity. What is shuffled and ordered per group is this small
     remainder, so a group holding a third of all rows is never collected anywhere.
     The picked value is checked to lie inside a bracket, so the result is exact or an error.
     """
+    also = also or {}
+    if also and not keys:
+        raise ValueError("other aggregates need a grouping")
     margin = 3.0 / accuracy
     wanted = sorted(set(probabilities))
     edges = [e for p in wanted for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    values = frame.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    brackets = values.groupBy(*keys).agg(
-        F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), F.lit(accuracy)).alias("_edges")
+    rows = frame.withColumn("_v", F.col(value).cast("double"))
+    brackets = rows.groupBy(*keys).agg(
+        F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), F.lit(accuracy)).alias("_edges"),
+        *[aggregate.alias(name) for name, aggregate in also.items()],
     )
+    values = rows.select(*keys, "_v").filter(F.col("_v").isNotNull())
     if keys:
-        brackets = sized(brackets, "brackets").withColumnsRenamed({k: f"_b_{k}" for k in keys})
-        same_group = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys]
-        bracketed = values.join(brackets, same_group).drop(*[f"_b_{k}" for k in keys])
+        brackets = sized(brackets, "brackets")
+        edges_only = brackets.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_edges")
+        bracketed = values.join(edges_only, same_keys(keys, "_b_")).drop(*[f"_b_{k}" for k in keys])
     else:
         bracketed = values.withColumn("_edges", brackets.scalar())
 
@@ -70,10 +81,19 @@ def exact_percentiles(
     picked = ranked.groupBy(*keys).agg(
         F.max("_n").alias("n"), *[pick.alias(f"_p{i}") for i, pick in enumerate(picks)]
     )
-    if not keys:
-        picked = picked.filter(F.col("n").isNotNull())
     order = [wanted.index(p) for p in probabilities]
-    return picked.select(*keys, "n", F.array(*[checked[i] for i in order]).alias("percentiles"))
+    result = picked.select(*keys, "n", F.array(*[checked[i] for i in order]).alias("percentiles"))
+    if not keys:
+        return result.filter(F.col("n").isNotNull())
+    # Groups without any value come back from the first pass.
+    found = result.withColumnsRenamed({k: f"_f_{k}" for k in keys})
+    joined = brackets.join(found, same_keys(keys, "_f_"), "left")
+    return joined.select(*keys, F.coalesce("n", F.lit(0)).cast("long").alias("n"), "percentiles", *also)
+
+
+def same_keys(keys: list[str], prefix: str) -> list[Column]:
+    """NULL-safe equality of each key with its prefixed copy."""
+    return [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys]
 
 
 def approx_percentiles(

@@ -228,20 +228,18 @@ def composition(frame: DataFrame, cluster: str, group: str) -> DataFrame:
 
 
 def profile_labels(
-    frame: DataFrame, cluster: str, measures: dict[str, str], high: str = "alta", low: str = "baja", mid: str = "intermedia"
+    profiles: DataFrame, cluster: str, measures: dict[str, str], high: str = "alta", low: str = "baja", mid: str = "intermedia"
 ) -> DataFrame:
-    """Ratio of each cluster mean to the overall mean and a text made of their labels.
+    """Ratio of each cluster mean to the overall mean, and a text made of their labels.
 
-    ``measures`` maps column to its name in the text. The overall means follow from the
-    cluster sums, so the data is scanned once.
+    Reads the table that ``profile`` returns, a row per cluster; ``measures`` maps a measure
+    to its name in the text. Measures hold no NULL, so the overall mean is the mean of
+    the cluster means weighted by size.
     """
-    sums = frame.groupBy(cluster).agg(
-        *[a for c in measures for a in (F.sum(c).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}"))]
-    )
     everything = Window.partitionBy(F.lit(0))
+    rows = F.sum("n").over(everything)
     ratios = {
-        f"ratio_{c}": (F.col(f"_s_{c}") / F.col(f"_n_{c}"))
-        / (F.sum(f"_s_{c}").over(everything) / F.sum(f"_n_{c}").over(everything))
+        f"ratio_{c}": F.col(f"mean_{c}") / (F.sum(F.col(f"mean_{c}") * F.col("n")).over(everything) / rows)
         for c in measures
     }
     words = [
@@ -249,22 +247,44 @@ def profile_labels(
         for c, name in measures.items()
     ]
     return (
-        sums.withColumns(ratios)
+        profiles.withColumns(ratios)
         .withColumn("label", F.concat_ws(", ", *words))
         .select(cluster, *ratios, "label")
     )
 
 
-def cross_tab(left: DataFrame, right: DataFrame, key: list[str], a: str, b: str) -> DataFrame:
+def cross_tab(
+    left: DataFrame, right: DataFrame, key: list[str], a: str, b: str, labels_a: list, labels_b: list
+) -> DataFrame:
     """Rows per pair of cluster numbers of two assignments, matched on the key.
 
-    Each side is first counted per (key, cluster), so a repeated key contributes the
-    product of its counts instead of every pair of its rows.
+    Equals the count over an inner join on the key, without joining: both sides are united
+    and counted per key and label in one shuffle, and a key repeated on both sides
+    contributes the product of its counts. Labels are named by the caller, as the number
+    of clusters is known; another label is an error.
     """
-    count = F.count(F.lit(1))
-    first = left.groupBy(*key, a).agg(count.alias("_na"))
-    second = right.groupBy(*key, b).agg(count.alias("_nb"))
-    return first.join(second, key).groupBy(a, b).agg(F.sum(F.col("_na") * F.col("_nb")).alias("n"))
+    def counts(side: str, labels: list) -> list[Column]:
+        per_label = [F.count_if(F.col(side) == label).alias(f"{side}{i}") for i, label in enumerate(labels)]
+        return [*per_label, F.count(side).alias(f"{side}_all")]
+
+    both = union_all(
+        [left.select(*key, F.col(a).alias("_a")), right.select(*key, F.col(b).alias("_b"))], allow_missing=True
+    ).na.drop(subset=key)
+    per_key = both.groupBy(*key).agg(*counts("_a", labels_a), *counts("_b", labels_b))
+    listed_a = sum((F.col(f"_a{i}") for i in range(len(labels_a))), F.lit(0))
+    listed_b = sum((F.col(f"_b{j}") for j in range(len(labels_b))), F.lit(0))
+    unlisted = (F.col("_a_all") != listed_a) | (F.col("_b_all") != listed_b)
+    checked = per_key.filter(
+        F.when(unlisted, F.raise_error(F.lit("a label that was not named")).cast("boolean"))
+        .otherwise((F.col("_a_all") > 0) & (F.col("_b_all") > 0))
+    )
+    cells = [
+        F.struct(F.lit(x).alias(a), F.lit(y).alias(b), F.sum(F.col(f"_a{i}") * F.col(f"_b{j}")).alias("n")).alias(f"c{i}_{j}")
+        for i, x in enumerate(labels_a)
+        for j, y in enumerate(labels_b)
+    ]
+    one_row = checked.agg(*cells)
+    return one_row.select(F.inline(F.array(*one_row.columns))).filter("n > 0")
 
 
 def agreement(crossed: DataFrame, a: str, b: str) -> DataFrame:

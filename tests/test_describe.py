@@ -39,7 +39,8 @@ def test_exact_percentiles_by_group_with_a_hot_group(spark):
     for g, v in rows:
         if v is not None:
             groups.setdefault(g, []).append(v)
-    assert found == {g: (len(v), [discrete(v, p) for p in PROBABILITIES]) for g, v in groups.items()}
+    expected = {g: (len(v), [discrete(v, p) for p in PROBABILITIES]) for g, v in groups.items()}
+    assert found == {**expected, "empty": (0, None)}
 
 
 def test_percentiles_of_nothing(spark):

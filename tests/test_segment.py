@@ -114,12 +114,13 @@ def test_segmentation_run(spark, people):
     stored = spark.read.parquet(f"{folder}/rows").withColumnRenamed("cluster_perfil_laboral", "stored")
     assert again.join(stored, list(spec.key)).filter("prediction != stored").isEmpty()
 
-    profile = segment.profile(result.assigned, list(variants["con_salario"]), "cluster_perfil_laboral").collect()
+    profiles = segment.profile(result.assigned, list(variants["con_salario"]), "cluster_perfil_laboral")
+    profile = profiles.collect()
     assert sum(r.n for r in profile) == 600 and math.isclose(sum(r.pct for r in profile), 100)
     composition = segment.composition(result.assigned, "cluster_perfil_laboral", "cluster_con_salario")
     shares = composition.groupBy("cluster_perfil_laboral").agg(F.sum("pct").alias("p")).collect()
     assert all(math.isclose(r.p, 100) for r in shares)
-    labels = segment.profile_labels(result.assigned, "cluster_perfil_laboral", {"edad": "edad", "horas_semanales": "jornada"})
+    labels = segment.profile_labels(profiles, "cluster_perfil_laboral", {"edad": "edad", "horas_semanales": "jornada"})
     assert {r.label.split(", ")[0] for r in labels.collect()} <= {"edad alta", "edad baja", "edad intermedia"}
 
 
@@ -127,13 +128,22 @@ def test_cross_tab_counts_pairs_of_repeated_keys(spark):
     generator = random.Random(1)
     rows = [("hot" if i % 3 == 0 else str(i % 40), generator.randrange(3), generator.randrange(2)) for i in range(900)]
     frame = spark.createDataFrame(rows, "k string, a int, b int")
-    found = segment.cross_tab(frame.select("k", "a"), frame.select("k", "b"), ["k"], "a", "b")
+    found = segment.cross_tab(frame.select("k", "a"), frame.select("k", "b"), ["k"], "a", "b", [0, 1, 2], [0, 1])
     expected = {}
     for k1, a, _ in rows:
         for k2, _, b in rows:
             if k1 == k2:
                 expected[a, b] = expected.get((a, b), 0) + 1
     assert {(r.a, r.b): r.n for r in found.collect()} == expected
+    with pytest.raises(Exception, match="not named"):
+        segment.cross_tab(frame.select("k", "a"), frame.select("k", "b"), ["k"], "a", "b", [0, 1], [0, 1]).collect()
+
+
+def test_cross_tab_leaves_out_unmatched_and_null_keys(spark):
+    left = spark.createDataFrame([("x", 0), ("y", 1), (None, 0), ("z", 1)], "k string, a int")
+    right = spark.createDataFrame([("x", 1), ("z", 0), (None, 1), ("w", 1)], "k string, b int")
+    found = segment.cross_tab(left, right, ["k"], "a", "b", [0, 1], [0, 1])
+    assert {tuple(r) for r in found.collect()} == {(0, 1, 1), (1, 0, 1)}
 
 
 @pytest.mark.parametrize("shape", [(2, 2), (3, 2), (4, 4), (5, 5)])

@@ -105,9 +105,8 @@ SELECT c.c_mktsegment, round(avg(c.c_acctbal) / max(o.m), 8) AS ratio,
   CASE WHEN avg(c.c_acctbal) / max(o.m) > 1.1 THEN 'high' WHEN avg(c.c_acctbal) / max(o.m) < 0.9 THEN 'low' ELSE 'mid' END AS label
 FROM customer c CROSS JOIN (SELECT avg(c_acctbal) AS m FROM customer) o GROUP BY c.c_mktsegment""")
 def q_profile_label(spark: SparkSession, sf: str) -> DataFrame:
-    rows = segment.profile_labels(
-        table(spark, sf, "customer"), "c_mktsegment", {"c_acctbal": ""}, high="high", low="low", mid="mid"
-    )
+    profiles = segment.profile(table(spark, sf, "customer"), ["c_acctbal"], "c_mktsegment")
+    rows = segment.profile_labels(profiles, "c_mktsegment", {"c_acctbal": ""}, "high", "low", "mid")
     return rows.select("c_mktsegment", F.round("ratio_c_acctbal", 8).alias("ratio"), "label")
 
 
@@ -133,7 +132,7 @@ def q_cross_tab(spark: SparkSession, sf: str) -> DataFrame:
     key = ["l_orderkey", "l_linenumber"]
     left = lines.select(*key, F.col("l_linestatus").alias("a"))
     cluster = F.when(F.col("l_quantity") <= 15, 0).when(F.col("l_quantity") <= 35, 1).otherwise(2)
-    crossed = segment.cross_tab(left, lines.select(*key, cluster.alias("b")), key, "a", "b")
+    crossed = segment.cross_tab(left, lines.select(*key, cluster.alias("b")), key, "a", "b", ["F", "O"], [0, 1, 2])
     return to_wide(crossed, ["a"], "b", [0, 1, 2], "n").withColumnsRenamed({"0": "b0", "1": "b1", "2": "b2"})
 
 
@@ -216,8 +215,9 @@ def q_kmeans_profile(spark: SparkSession, sf: str) -> DataFrame:
 
     def profiled(assigned: DataFrame, cluster: str, variant: str) -> DataFrame:
         names = {"age": "age", "tenure": "tenure", "hours": "hours"}
-        labels = segment.profile_labels(assigned, cluster, names, "high", "low", "mid").select(cluster, "label")
-        rows = segment.profile(assigned, measures, cluster).join(labels, cluster)
+        profiles = segment.profile(assigned, measures, cluster)
+        labels = segment.profile_labels(profiles, cluster, names, "high", "low", "mid").select(cluster, "label")
+        rows = profiles.join(labels, cluster)
         return rows.withColumnRenamed(cluster, "cluster").withColumn("variant", F.lit(variant))
 
     return union_all([
