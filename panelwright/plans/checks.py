@@ -28,6 +28,14 @@ def prepared_faults(prepared: DataFrame, spec: PanelSpec, periods: list[str], al
     return row.unpivot([], list(counts), "check", "faults")
 
 
+def remaining_faults(prepared: DataFrame, waterfall: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Periods whose prepared rows are not the rows that the last step of the waterfall left."""
+    left = waterfall.groupBy(spec.period).agg(F.max_by("remaining", "rule").alias("remaining"))
+    held = prepared.groupBy(spec.period).agg(F.count(F.lit(1)).alias("rows"))
+    both = left.join(held, spec.period, "full").na.fill(0, ["remaining", "rows"])
+    return both.filter(F.col("remaining") != F.col("rows"))
+
+
 def experiment_faults(experiments: DataFrame, expected_runs: int, rows: DataFrame) -> DataFrame:
     """Variants with a wrong number of runs, or runs whose cluster sizes do not add up to the rows."""
     total = F.aggregate(F.map_values("sizes"), F.lit(0).cast("long"), lambda a, n: a + n)

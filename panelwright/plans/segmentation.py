@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from panelwright.operators import segment
 from panelwright.sources.sinks import save_model, write_table
@@ -44,6 +44,17 @@ def run(
     return Segmentation(grid.experiments, chosen, pipelines, assigned)
 
 
+def sensitivity(result: Segmentation, first: str, second: str) -> tuple[DataFrame, DataFrame]:
+    """Cross-tabulation of two variants' clusters and the share of rows that agree after relabelling.
+
+    Both assignments sit on the same rows, so nothing is joined; assignments stored apart
+    are matched on the key by ``segment.cross_tab``.
+    """
+    a, b = f"cluster_{first}", f"cluster_{second}"
+    crossed = result.assigned.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
+    return crossed, segment.agreement(crossed, a, b)
+
+
 def save(result: Segmentation, variant: str, spec: PanelSpec, model_path: str, table_path: str) -> int:
     """Saves the pipeline of a variant and its assignments by key; returns the rows written."""
     save_model(result.pipelines[variant], model_path)

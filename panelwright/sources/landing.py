@@ -93,6 +93,19 @@ def width_of(spark: SparkSession, path: str, file_format: str = "csv", **options
     return len(read_path(spark, path, file_format, **options).columns)
 
 
+def observed_dimensions(
+    spark: SparkSession, paths: dict[str, str], scanned: DataFrame, file_format: str = "csv", **options
+) -> DataFrame:
+    """(periodo, rows, columns) of the landed periods: widths from headers, rows from the scan."""
+    widths = spark.createDataFrame(
+        [(period, width_of(spark, path, file_format, **options)) for period, path in paths.items()],
+        "periodo string, columns int",
+    )
+    rows = scanned.groupBy(F.col("periodo_archivo").alias("periodo")).agg(F.count(F.lit(1)).alias("rows"))
+    counted = widths.join(rows, "periodo", "left")
+    return counted.select("periodo", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), "columns")
+
+
 def dimension_faults(observed: DataFrame, expected: DataFrame, by: list[str]) -> DataFrame:
     """Expected (rows, columns) entries that the observed table lacks or contradicts."""
     seen = observed.select(*by, F.col("rows").alias("_rows"), F.col("columns").alias("_columns"))

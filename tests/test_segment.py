@@ -117,6 +117,13 @@ def test_segmentation_run(spark, people):
     profiles = segment.profile(result.assigned, list(variants["con_salario"]), "cluster_perfil_laboral")
     profile = profiles.collect()
     assert sum(r.n for r in profile) == 600 and math.isclose(sum(r.pct for r in profile), 100)
+    crossed, agreed = segmentation.sensitivity(result, "perfil_laboral", "con_salario")
+    matched = segment.cross_tab(
+        result.assigned, result.assigned, list(spec.key), "cluster_perfil_laboral", "cluster_con_salario",
+        list(range(3)), list(range(3)),
+    )
+    assert {tuple(r) for r in crossed.collect()} == {tuple(r) for r in matched.collect()}
+    assert agreed.first().n == 600 and 0 < agreed.first().agreement <= 1
     composition = segment.composition(result.assigned, "cluster_perfil_laboral", "cluster_con_salario")
     shares = composition.groupBy("cluster_perfil_laboral").agg(F.sum("pct").alias("p")).collect()
     assert all(math.isclose(r.p, 100) for r in shares)

@@ -216,10 +216,10 @@ def q_lookup_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, o_custkey FROM orders ORDER BY sha256(concat_ws('||', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), coalesce(o_orderstatus, '<NULL>'))), o_orderkey LIMIT 500""")
+SELECT o_orderkey, o_custkey FROM orders ORDER BY sha256(concat_ws('||', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), coalesce(o_orderstatus, '<NULL>'))), o_orderkey LIMIT 5000""")
 def q_hash_sample(spark: SparkSession, sf: str) -> DataFrame:
     sample = sampling.hash_sample(
-        table(spark, sf, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus"], ["o_orderkey"], 500
+        table(spark, sf, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus"], ["o_orderkey"]
     )
     return sample.select("o_orderkey", "o_custkey")
 

@@ -218,21 +218,21 @@ def q_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-WITH {CONSTANTS_SQL}, s AS (SELECT DISTINCT o_orderkey, sha256(concat_ws('||', CAST(o_orderkey AS VARCHAR), o_orderstatus)) AS h FROM p ORDER BY h, o_orderkey LIMIT 500)
+WITH {CONSTANTS_SQL}, s AS (SELECT DISTINCT o_orderkey, sha256(concat_ws('||', CAST(o_orderkey AS VARCHAR), o_orderstatus)) AS h FROM p ORDER BY h, o_orderkey LIMIT 5000)
 SELECT o_orderkey, model, o_totalprice AS actual, round(prediction, 6) AS predicted, round(o_totalprice - prediction, 6) AS residual FROM p JOIN s USING (o_orderkey)""")
 def q_chart_points(spark: SparkSession, sf: str) -> DataFrame:
     points = errors.chart_points(
-        _constants(spark, sf), ["o_orderkey", "o_orderstatus"], ["o_orderkey"], PRICE, CONSTANTS, 500
+        _constants(spark, sf), ["o_orderkey", "o_orderstatus"], ["o_orderkey"], PRICE, CONSTANTS
     )
     return points.withColumns({"predicted": F.round("predicted", 6), "residual": F.round("residual", 6)})
 
 
 @query(f"""
-WITH {CONSTANTS_SQL}, s AS (SELECT DISTINCT o_orderkey, sha256(concat_ws('||', CAST(o_orderkey AS VARCHAR), o_orderstatus)) AS h FROM p ORDER BY h, o_orderkey LIMIT 500)
+WITH {CONSTANTS_SQL}, s AS (SELECT DISTINCT o_orderkey, sha256(concat_ws('||', CAST(o_orderkey AS VARCHAR), o_orderstatus)) AS h FROM p ORDER BY h, o_orderkey LIMIT 5000)
 SELECT round(least(0.0, min(o_totalprice), min(prediction)), 6) AS lo, round(greatest(max(o_totalprice), max(prediction)), 6) AS hi FROM p JOIN s USING (o_orderkey)""")
 def q_axis_limits(spark: SparkSession, sf: str) -> DataFrame:
     points = errors.chart_points(
-        _constants(spark, sf), ["o_orderkey", "o_orderstatus"], ["o_orderkey"], PRICE, CONSTANTS, 500
+        _constants(spark, sf), ["o_orderkey", "o_orderstatus"], ["o_orderkey"], PRICE, CONSTANTS
     )
     return errors.axis_limits(points).select(F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"))
 

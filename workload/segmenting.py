@@ -220,7 +220,8 @@ def q_kmeans_profile(spark: SparkSession, sf: str) -> DataFrame:
         rows = profiles.join(labels, cluster)
         return rows.withColumnRenamed(cluster, "cluster").withColumn("variant", F.lit(variant))
 
+    _, agreement = segmentation.sensitivity(result, "profile", "with_pay")
     return union_all([
         profiled(reloaded, "prediction", "profile"),
         profiled(result.assigned, "cluster_with_pay", "with_pay"),
-    ])
+    ]).withColumn("agreement", agreement.select("agreement").scalar())
