@@ -179,7 +179,6 @@ def kmeans_grid(
             rows, "variant string, k int, seed int, assignment string, cost double"
         )
         parts.append(runs.join(scores, "assignment").drop("assignment"))
-    measures.unpersist()
     grid.experiments = union_all(parts).select(
         "variant", "k", "seed", "silhouette", "cost", "n", "min_size", "sizes"
     )

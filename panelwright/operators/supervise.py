@@ -150,7 +150,6 @@ def fit_and_score(
         pipelines[name] = PipelineModel(stages=[*prepared.stages, model])
     vectors.unpersist()
     mean = rows.agg(F.avg(spec.target)).first()[0]
-    rows.unpersist()
     scored = score(evaluated, pipelines).withColumn(prediction_column(BASELINE), F.lit(mean))
     names = {name: prediction_column(name) for name in [BASELINE, *estimators]}
     return Fits(scored, regression_metrics(scored, spec.target, names), pipelines)

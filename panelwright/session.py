@@ -7,7 +7,6 @@ import uuid
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.storagelevel import StorageLevel
 
 # A small side may be hinted as a broadcast only when its counted rows stay under this.
 BROADCAST_ROWS = 200_000
@@ -75,14 +74,13 @@ def sized(small: DataFrame, label: str, max_rows: int = BROADCAST_ROWS) -> DataF
 
 
 def iterated(frame: DataFrame, label: str) -> DataFrame:
-    """A frame that many passes will read: stored, kept on the executors, spread over all cores.
+    """A narrow frame that many passes will read: stored in even parts, spread over all cores.
 
-    Losing an executor costs a re-read of its part of the stored table, not a replay of
-    everything before it. Only when the table has fewer parts than there are cores is it
-    repartitioned. The caller unpersists it.
+    Rows that survived filters sit in parts of any size; they are rebalanced before the write,
+    so no pass waits for one long part nor opens thousands of short files. Losing an executor
+    costs a re-read of its part, not a replay of everything before it. Only a table
+    with fewer parts than there are cores is repartitioned when read.
     """
-    kept = stored(frame, label)
+    kept = stored(frame.hint("rebalance"), label)
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    if kept.rdd.getNumPartitions() < cores:
-        kept = kept.repartition(cores)
-    return kept.persist(StorageLevel.MEMORY_AND_DISK)
+    return kept.repartition(cores) if kept.rdd.getNumPartitions() < cores else kept

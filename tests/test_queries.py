@@ -11,7 +11,7 @@ QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
 # Samples, examples and previews; and picks of one winner, which Spark plans as a top-1.
 LIMITED = {
     "q_preview", "q_random_sample", "q_hash_sample", "q_duplicate_examples", "q_chart_points", "q_axis_limits",
-    "q_choose_k", "q_select_config", "q_same_winner",
+    "q_choose_k", "q_select_config", "q_same_winner", "q_invariants",
 }
 
 

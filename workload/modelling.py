@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwright.operators import errors, rules, segment, supervise
 from panelwright.operators.percentiles import percentiles
-from panelwright.operators.reshape import union_all
+from panelwright.operators.quality import duplicate_audit
+from panelwright.operators.reshape import to_long, union_all
+from panelwright.operators.sampling import SAMPLE_LIMIT, hash_sample
 from panelwright.plans import supervised
+from panelwright.plans.checks import remaining_faults
 from panelwright.session import new_folder
 from panelwright.sources.sinks import read_document, write_document
-from workload.tables import ALLOWED, SPEC, judged, query, table
+from workload.tables import ALLOWED, CLEAN, SPEC, judged, query, table
 
 PRICE = "o_totalprice"
 
@@ -277,6 +280,41 @@ def q_linear_grid(spark: SparkSession, sf: str) -> DataFrame:
     return _check(rows, F.col("rmse") > 0, "a configuration has no metrics")
 
 
+PANEL_SQL = f"p AS (SELECT * FROM ({CLEAN}) c WHERE first_fail = 0 AND substr(period, 1, 4) < '1999')"
+
+
+# Least squares with an intercept and a slot per code leaves no mean residual in any code of the fit rows.
+@query(f"""
+WITH {PANEL_SQL}
+SELECT 'edu' AS "grouping", edu AS code, count(*) AS n, round(avg(pay), 4) AS mean_pay, true AS fitted FROM p GROUP BY edu
+UNION ALL SELECT 'class_code', class_code, count(*), round(avg(pay), 4), true FROM p GROUP BY class_code
+UNION ALL SELECT 'domain', domain, count(*), round(avg(pay), 4), true FROM p GROUP BY domain""")
+def q_linear_fitted_means(spark: SparkSession, sf: str) -> DataFrame:
+    """The unpenalised fit scored on its own rows: mean prediction against mean pay per code."""
+    fit, _, _ = _panel(spark, sf)
+    estimator = {"ols": supervise.linear(SPEC.target, supervise.LINEAR_CONFIGS["sin_regularizacion"])}
+    scored = supervise.fit_and_score(fit, fit, estimator, SPEC).scored
+    codes = list(SPEC.categorical_predictors)
+    long = to_long(scored.select(*codes, SPEC.target, "prediction_ols"), [SPEC.target, "prediction_ols"], codes, "grouping", "code")
+    gap = F.avg("prediction_ols") - F.avg("pay")
+    return long.groupBy("grouping", "code").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("pay"), 4).alias("mean_pay"),
+        (F.abs(gap) < 1e-5 * F.avg("pay")).alias("fitted"),
+    )
+
+
+@query(f"""
+WITH {PANEL_SQL}, v AS (SELECT pay, pay - (SELECT avg(pay) FROM p) AS r FROM ({CLEAN}) c WHERE first_fail = 0 AND substr(period, 1, 4) = '1999')
+SELECT 'baseline' AS model, count(*) AS n, round(avg(abs(r)), 4) AS mae, round(sqrt(avg(r*r)), 4) AS rmse, round(1 - sum(r*r) / (var_pop(pay) * count(*)), 8) AS r2 FROM v""")
+def q_panel_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    """The baseline row of a validation run over the prepared panel."""
+    fit, validation, _ = _panel(spark, sf)
+    estimator = {"ridge_1": supervise.linear(SPEC.target, supervise.LINEAR_CONFIGS["ridge_1"])}
+    metrics = supervise.fit_and_score(fit, validation, estimator, SPEC).metrics
+    rows = metrics.filter(F.col("model") == supervise.BASELINE)
+    return rows.withColumns({"mae": F.round("mae", 4), "rmse": F.round("rmse", 4), "r2": F.round("r2", 8)})
+
+
 @query()
 def q_forest_grid(spark: SparkSession, sf: str) -> DataFrame:
     """Two smaller forests; predictions stay inside the range of the fitted target."""
@@ -349,3 +387,32 @@ def q_metrics_document(spark: SparkSession, sf: str) -> DataFrame:
     write_document(supervised.metrics_document({"fit": fit, "test": test}, {}, metrics, metrics), folder)
     again = read_document(spark, folder, supervised.METRICS_SCHEMA).select(F.inline("test"))
     return _rounded(again).select("mae", "rmse", "r2")
+
+
+@query(f"""
+WITH {CONSTANTS_SQL}, e AS (SELECT model, o_orderpriority, count(*) AS n FROM p GROUP BY model, o_orderpriority),
+c AS (SELECT * FROM ({CLEAN}) x)
+SELECT 'conflicting_keys' AS "check", CAST((SELECT count(*) FROM (SELECT row_id FROM c GROUP BY row_id HAVING count(DISTINCT period) > 1) k) AS BIGINT) AS faults
+UNION ALL SELECT 'remaining_rows', CAST((SELECT count(*) FROM (SELECT period FROM c GROUP BY period HAVING count(*) <> count(*) FILTER (first_fail = 0) + count(*) FILTER (first_fail <> 0)) k) AS BIGINT)
+UNION ALL SELECT 'group_sizes', CAST((SELECT count(*) FROM (SELECT model FROM e GROUP BY model HAVING sum(n) <> (SELECT count(*) FROM orders WHERE year(o_orderdate) = 2000)) k) AS BIGINT)
+UNION ALL SELECT 'sample_size', CAST((SELECT greatest(least(count(*), 5000) - 5000, 0) FROM orders WHERE year(o_orderdate) = 2000) AS BIGINT)
+UNION ALL SELECT 'split_periods', CAST((SELECT count(*) FROM (SELECT year(o_orderdate) FROM orders WHERE year(o_orderdate) < 2000 INTERSECT SELECT year(o_orderdate) FROM orders WHERE year(o_orderdate) = 2000) k) AS BIGINT)""")
+def q_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """The closing checks of a run, in a fixed order; each counts its offenders."""
+    rows = judged(spark, sf)
+    scored = _constants(spark, sf)
+    by_group = errors.errors_by_group(scored, PRICE, CONSTANTS, "o_orderpriority")
+    sample = hash_sample(scored, ["o_orderkey", "o_orderstatus"], ["o_orderkey"])
+    size = F.count(F.lit(1))
+    over = sample.agg(F.greatest(size - SAMPLE_LIMIT, F.lit(0)).alias("faults"))
+    years = {"fit": _year(spark, sf, *range(1990, 2000)), "test": _year(spark, sf, 2000)}
+    both = union_all([f.select("year", F.lit(name).alias("split")).distinct() for name, f in years.items()])
+    offenders = {
+        "conflicting_keys": duplicate_audit(rows, ["row_id"], ["period"]).agg(F.sum("conflicts").alias("faults")),
+        "remaining_rows": remaining_faults(rules.eligible(rows, SPEC), rules.waterfall(rows, SPEC), SPEC).agg(size.alias("faults")),
+        "group_sizes": errors.uncovered(by_group, scored.agg(size), ["model"]).agg(size.alias("faults")),
+        "sample_size": over,
+        "split_periods": both.groupBy("year").agg(size.alias("splits")).filter("splits > 1").agg(size.alias("faults")),
+    }
+    report = union_all([f.select(F.lit(name).alias("check"), F.col("faults").cast("long").alias("faults")) for name, f in offenders.items()])
+    return report.orderBy("check")
