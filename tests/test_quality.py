@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,6 +31,30 @@ def test_duplicate_kinds(spark):
     assert [(r.n, r.versions) for r in examples] == [(3, 2)]
 
 
+def test_duplicate_counts_against_brute_force(spark):
+    generator = random.Random(9)
+    rows = [(generator.choice([None, *"abcdefgh"]), generator.randrange(60), generator.choice([None, 1, 2]), generator.choice(["x", "y", None])) for _ in range(400)]
+    frame = spark.createDataFrame(rows, "p string, k int, v int, w string").repartition(6)
+    groups = {}
+    for p, k, *rest in rows:
+        groups.setdefault((p, k), []).append(tuple(rest))
+    twice = {key: versions for key, versions in groups.items() if len(versions) > 1}
+    expected = (
+        len(twice), sum(map(len, twice.values())), sum(len(set(v)) > 1 for v in twice.values()),
+        sum(None in key for key in twice),
+    )
+    row = quality.duplicate_audit(frame, ["p", "k"], ["v", "w"]).first()
+    assert (row.dup_keys, row.dup_rows, row.conflicts, row.null_keys) == expected
+    by = {r.p: (r.dup_keys, r.conflicts) for r in quality.duplicate_audit(frame, ["p", "k"], ["v", "w"], by=["p"]).collect()}
+    assert by == {
+        p: (sum(key[0] == p for key in twice), sum(key[0] == p and len(set(v)) > 1 for key, v in twice.items()))
+        for p in {key[0] for key in groups}
+    }
+    examples = quality.duplicate_examples(frame.filter("p is not null"), ["p", "k"], ["v", "w"]).collect()
+    ranked = sorted(((-len(set(v)), *key, len(v)) for key, v in twice.items() if key[0] is not None))[:10]
+    assert [(-r.versions, r.p, r.k, r.n) for r in examples] == ranked
+
+
 def test_null_keys_form_a_group(spark):
     frame = raw_rows(spark, [({"NUM_PERSONA": None, "NUM_HOGAR": "1"}, 0), ({"NUM_PERSONA": None, "NUM_HOGAR": "1"}, 0)])
     assert audit(frame) == (1, 2, 0, 1)

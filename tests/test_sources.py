@@ -1,11 +1,12 @@
 import hashlib
+import random
 import zipfile
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.session import BROADCAST_ROWS, new_folder, shared_folder, sized
+from panelwright.session import BROADCAST_ROWS, iterated, new_folder, shared_folder, sized
 from panelwright.sources import codelist, landing, manifest, sinks
 from panelwright.spec import labour_spec
 from tests.fixtures import EDITS, raw_rows
@@ -122,6 +123,42 @@ def test_code_list_takes_the_last_block(spark):
     assert faults == {("s1", "W", 1, 0), ("s2", "V", 3, 0), ("s2", "W", 1, 0)}
 
 
+def test_code_lists_against_a_row_by_row_reading(spark):
+    """Random sheets, read the way a person would: find the last block, walk it, let later rows win."""
+    generator = random.Random(23)
+    rows, expected = [], set()
+    for sheet in range(150):
+        cells = [
+            (generator.choice([None, None, None, "V", " V ", "V.0", "W", ""]), generator.choice([None, "1", "1.0", " 2", "3.00"]),
+             generator.choice([None, "x", " y ", ""]))
+            for _ in range(generator.randrange(1, 14))
+        ]
+        rows += [(sheet, i, *c) for i, c in enumerate(cells)]
+
+        def clean(text):
+            text = "" if text is None else text.strip()
+            return text[:-2] if text.endswith(".0") else text
+
+        starts = [i for i, c in enumerate(cells) if clean(c[0]) == "V"]
+        found = {}
+        if len(starts) >= 2:
+            for c0, c1, c2 in cells[starts[-1]:]:
+                if c0 is not None and clean(c0) != "V":
+                    break
+                if c1 is not None and c2 is not None:
+                    found[clean(c1)] = c2.strip()
+        expected |= {(sheet, "V", code, label) for code, label in found.items()}
+    frame = spark.createDataFrame(rows, "sheet int, row_no int, c0 string, c1 string, c2 string").repartition(5)
+    lists = codelist.code_lists(frame, ["sheet"], ["V"])
+    assert {tuple(r) for r in lists.collect()} == expected and len(expected) > 50
+
+
+def test_iterated_rows_use_every_core(spark):
+    frame = iterated(spark.range(1000).coalesce(1), "test")
+    assert frame.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert frame.count() == 1000
+
+
 def test_write_and_read_back(spark):
     frame = raw_rows(spark, EDITS).unionByName(raw_rows(spark, EDITS[:3], "2026T1"))
     folder = new_folder(spark, "test-sink")
