@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from panelwright.session import sized
+from panelwright.operators.joins import join_aggregate, same_keys
+from panelwright.session import stored
 
 ACCURACY = 10_000
 
@@ -35,17 +36,15 @@ def exact_percentiles(
     wanted = sorted(set(probabilities))
     edges = [e for p in wanted for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
     rows = frame.withColumn("_v", F.col(value).cast("double"))
-    brackets = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), F.lit(accuracy)).alias("_edges"),
-        *[aggregate.alias(name) for name, aggregate in also.items()],
-    )
+    sketch = F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), F.lit(accuracy)).alias("_edges")
     values = rows.select(*keys, "_v").filter(F.col("_v").isNotNull())
     if keys:
-        brackets = sized(brackets, "brackets")
-        edges_only = brackets.select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_edges")
-        bracketed = values.join(edges_only, same_keys(keys, "_b_")).drop(*[f"_b_{k}" for k in keys])
+        others = [aggregate.alias(name) for name, aggregate in also.items()]
+        brackets = stored(rows.groupBy(*keys).agg(sketch, F.count("_v").alias("_values"), *others), "groups")
+        narrow = brackets.select(*keys, "_edges", "_values")
+        bracketed = join_aggregate(values, narrow, keys, "_values", "inner", "brackets", null_safe=True)
     else:
-        bracketed = values.withColumn("_edges", brackets.scalar())
+        bracketed = values.withColumn("_edges", rows.agg(sketch).scalar())
 
     low = [F.col("_edges")[2 * i] for i in range(len(wanted))]
     high = [F.col("_edges")[2 * i + 1] for i in range(len(wanted))]
@@ -87,15 +86,10 @@ def exact_percentiles(
         return result.filter(F.col("n").isNotNull())
     # Groups without any value come back from the first pass.
     found = result.withColumnsRenamed({k: f"_f_{k}" for k in keys})
-    joined = brackets.join(found, same_keys(keys, "_f_"), "left")
+    joined = brackets.join(found, same_keys(keys, "_f_", null_safe=True), "left")
     return joined.select(*keys, F.coalesce("n", F.lit(0)).cast("long").alias("n"), "percentiles", *also)
 
 
-def same_keys(keys: list[str], prefix: str) -> list[Column]:
-    """NULL-safe equality of each key with its prefixed copy."""
-    return [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys]
-
-
 def approx_percentiles(
     frame: DataFrame, keys: list[str], value: str, probabilities: list[float], accuracy: int = ACCURACY
 ) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelwright.functions.codes import is_blank, is_invalid_number
 from panelwright.functions.hashing import version_hashes
 from panelwright.functions.numeric import percent
+from panelwright.operators.joins import join_aggregate
 from panelwright.operators.rules import Rule, first_failing
-from panelwright.session import sized
 
 
 def missing_counts(columns: Iterable[str]) -> list[Column]:
@@ -127,13 +127,12 @@ def duplicate_examples(frame: DataFrame, key: list[str], columns: list[str], lim
 
 
 def rows_of_duplicated_keys(frame: DataFrame, key: list[str]) -> DataFrame:
-    """All rows whose key occurs more than once, kept as they are.
+    """All rows whose key occurs more than once, kept as they are; keys holding a NULL match none.
 
-    Repeated keys are few in a sound table: stored and counted first, they are then
-    looked up without shuffling the rows. If they are many, both sides shuffle.
+    Repeated keys are few in a sound table and are then looked up without moving the rows.
     """
-    repeated = frame.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*key)
-    return frame.join(sized(repeated, "repeated-keys"), key, "left_semi")
+    repeated = frame.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    return join_aggregate(frame, repeated, key, "_n", "left_semi", "repeated-keys")
 
 
 def outside_domain(frame: DataFrame, code: str, allowed: list[str]) -> DataFrame:
