@@ -21,7 +21,7 @@ def join_aggregate(
     keys: list[str],
     rows: str,
     how: str,
-    label: str,
+    label: str | None,
     null_safe: bool = False,
     broadcast_rows: int | None = None,
     hot_keys: int | None = None,
@@ -29,13 +29,14 @@ def join_aggregate(
     """Joins (``inner`` or ``left_semi``) every row to the aggregate of its key.
 
     ``rows`` is the aggregate's column that says how many rows of ``frame`` a key has. The
-    aggregate is stored and counted. Small, it is broadcast and the rows do not move. Large,
+    aggregate is stored (unless ``label`` is None: it already is) and counted. Small, it is broadcast and the rows do not move. Large,
     it is split: the ``hot_keys`` heaviest keys are broadcast, and only rows of the others are
     shuffled. No key left to the shuffle can hold more than one in ``hot_keys`` rows.
     """
     broadcast_rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     hot_keys = HOT_KEYS if hot_keys is None else hot_keys
-    kept = stored(aggregate, label).withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    kept = aggregate if label is None else stored(aggregate, label)
+    kept = kept.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     on = same_keys(keys, "_k_", null_safe)
     copies = [f"_k_{k}" for k in keys]
 
@@ -44,7 +45,7 @@ def join_aggregate(
 
     if kept.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return joined(frame, F.broadcast(kept))
-    hot = stored(kept.orderBy(F.desc(rows), *copies).limit(hot_keys), f"{label}-hot")
+    hot = stored(kept.orderBy(F.desc(rows), *copies).limit(hot_keys), "hot-keys")
     heavy = F.broadcast(hot.select(*[F.col(c).alias(f"_h{c}") for c in copies]))
     cold = kept.join(heavy, same_keys(copies, "_h", null_safe), "left_anti")
     others = frame.join(F.broadcast(hot.select(*copies)), on, "left_anti")

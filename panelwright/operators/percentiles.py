@@ -42,7 +42,7 @@ def exact_percentiles(
         others = [aggregate.alias(name) for name, aggregate in also.items()]
         brackets = stored(rows.groupBy(*keys).agg(sketch, F.count("_v").alias("_values"), *others), "groups")
         narrow = brackets.select(*keys, "_edges", "_values")
-        bracketed = join_aggregate(values, narrow, keys, "_values", "inner", "brackets", null_safe=True)
+        bracketed = join_aggregate(values, narrow, keys, "_values", "inner", None, null_safe=True)
     else:
         bracketed = values.withColumn("_edges", rows.agg(sketch).scalar())
 
