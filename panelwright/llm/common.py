@@ -31,7 +31,7 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     while True:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = stored(both.filter(F.col("v") > F.col("u")).join(least, "u").filter(F.col("v") != F.col("m"))
                        .select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), f"{label}-large")
         # Small star: a node's lower neighbours, and itself, go to the least of them.

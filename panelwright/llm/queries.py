@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import bpe, common, packing, trie
+from panelwright.llm import bpe, common, hosts, lines, multiset, packing, simhash, surrogates, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,42 @@ def op2_bpe(spark, sf):
     return bpe.round_trip(table(spark, sf, "documents"), VOCABULARY)
 
 
+@query()
+def op3_simhash(spark, sf):
+    return simhash.groups(table(spark, sf, "documents"), words=4, radius=4, seed=42)
+
+
+@query()
+def op4_warc(spark, sf):
+    return warc.round_trip(table(spark, sf, "pages"))
+
+
+@query()
+def op6_quality(spark, sf):
+    return lines.rules(table(spark, sf, "documents")).drop("_place", "_host", "_lost", "_drop")
+
+
 @query()
 def op7_token_counts(spark, sf):
     return trie.token_counts(table(spark, sf, "documents"), VOCABULARY)
+
+
+SURROGATE_KEY = "panelwright corpus"
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
+
+
+@query()
+def op8_surrogates(spark, sf):
+    return surrogates.replace(table(spark, sf, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
+@query()
+def op9_urls(spark, sf):
+    return hosts.judge(table(spark, sf, "pages"), URL_RULES)
+
+
+@query()
+def op10_multiset(spark, sf):
+    return multiset.compare_with_next(table(spark, sf, "documents"))
