@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import bpe, common, hosts, lines, multiset, packing, simhash, surrogates, trie, warc
+from panelwright.llm import bpe, common, hosts, lines, multiset, packing, simhash, suffixes, surrogates, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +50,11 @@ def op4_warc(spark, sf):
     return warc.round_trip(table(spark, sf, "pages"))
 
 
+@query()
+def op5_repeats(spark, sf):
+    return suffixes.removed(table(spark, sf, "documents"), length=400)
+
+
 @query()
 def op6_quality(spark, sf):
     return lines.rules(table(spark, sf, "documents")).drop("_place", "_host", "_lost", "_drop")
