@@ -129,7 +129,7 @@ def rules(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
 def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """The documents that pass, all their columns, without the lines above the limit. ``docs`` must be a stored table."""
     verdicts = stored(rules(docs, key, text, host).filter("kept").select("_place", "_drop"), "verdicts")
-    placed = docs.withColumn("_place", F.monotonically_increasing_id())
+    placed = docs.select(F.monotonically_increasing_id().alias("_place"), F.struct("*").alias("_row"))
 
     @F.pandas_udf("string")
     def without(texts, drops):
@@ -144,5 +144,6 @@ def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
         return pd.Series(out, dtype=object)
 
     kept = placed.join(verdicts, "_place")
-    changed = F.when(F.col("_drop").isNull(), F.col(text)).otherwise(without(text, "_drop"))
-    return kept.withColumn(text, changed).drop("_place", "_drop")
+    old = F.col("_row")[text]
+    changed = F.when(F.col("_drop").isNull(), old).otherwise(without(old, "_drop"))
+    return kept.select(F.col("_row").withField(text, changed).alias("_row")).select("_row.*")

@@ -45,17 +45,74 @@ def op3_simhash(spark, sf):
     return simhash.groups(table(spark, sf, "documents"), words=4, radius=4, seed=42)
 
 
-@query()
+# The payload of the largest page stands for all equal ones of 1000 bytes and more.
+WARC_SQL = """SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM (SELECT page_id, bytes, digest,
+        CASE WHEN bytes >= 1000 THEN max(page_id) OVER (PARTITION BY digest, bytes) ELSE page_id END AS first
+      FROM (SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha1(coalesce(html, '')) AS digest FROM pages))"""
+
+
+@query(WARC_SQL)
 def op4_warc(spark, sf):
     return warc.round_trip(table(spark, sf, "pages"))
 
 
-@query()
+# Texts as hexadecimal digits, two for a byte; every string of 400 bytes is counted by its digest.
+REPEATS_SQL = """WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS x FROM documents),
+grams AS (SELECT doc_id, i, md5(substring(x, 2 * i + 1, 800)) AS g FROM (SELECT doc_id, x, unnest(range(0, n - 399)) AS i FROM d)),
+twice AS (SELECT doc_id, i FROM grams WHERE g IN (SELECT g FROM grams GROUP BY g HAVING count(*) > 1)),
+cuts AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 400 THEN 0 ELSE 1 END AS new FROM twice),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+          FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM cuts) GROUP BY doc_id, k),
+parts AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+kept AS (SELECT p.doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans,
+                string_agg(substring(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substring(any_value(x), 2 * max(b) + 1) AS rest
+         FROM parts p JOIN d ON d.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(rest, x))) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id"""
+
+
+@query(REPEATS_SQL)
 def op5_repeats(spark, sf):
     return suffixes.removed(table(spark, sf, "documents"), length=400)
 
 
-@query()
+QUALITY_SQL = rf"""WITH w AS (SELECT doc_id, source, t, regexp_extract_all(t, '[^ \t-\r]+') AS ws
+           FROM (SELECT doc_id, source, coalesce(text, '') AS t FROM documents)),
+windows AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+often AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM (SELECT doc_id, i, unnest([0, 1, 2]) AS j FROM often) GROUP BY doc_id),
+lined AS (SELECT doc_id, source, l, regexp_extract_all(l, '[^ \t-\r]+') AS lw
+          FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS l FROM w)),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lined WHERE len(lw) > 0 GROUP BY doc_id),
+hashed AS (SELECT doc_id, source, h, sum(n) AS n FROM (
+             SELECT doc_id, source, len(lw) AS n, substring(md5(regexp_replace(translate(array_to_string(lw, ' '),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g')), 1, 15) AS h
+             FROM lined WHERE len(lw) > 0) GROUP BY doc_id, source, h),
+least AS (SELECT doc_id, hs[1] AS one, hs[2] AS two FROM (SELECT doc_id, list_sort(list(h)) AS hs FROM hashed GROUP BY doc_id)),
+limits AS (SELECT w.source, greatest(CAST({lines.MIN_DOCUMENTS} AS DOUBLE), CAST({lines.MAX_SHARE} AS DOUBLE) * count(DISTINCT coalesce(one, ''))) AS most
+           FROM w LEFT JOIN least ON least.doc_id = w.doc_id GROUP BY w.source),
+common AS (SELECT source, h, count(DISTINCT coalesce(CASE WHEN h = one THEN two ELSE one END, '')) AS n
+           FROM hashed JOIN least ON least.doc_id = hashed.doc_id GROUP BY source, h),
+lost AS (SELECT hashed.doc_id, sum(hashed.n) AS n FROM hashed
+         JOIN common ON common.h = hashed.h AND common.source IS NOT DISTINCT FROM hashed.source
+         JOIN limits ON limits.source IS NOT DISTINCT FROM hashed.source WHERE common.n > most GROUP BY hashed.doc_id),
+base AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+           CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+           CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+           CAST(coalesce(dups.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+           CAST(len(ws) - coalesce(lost.n, 0) AS BIGINT) AS words_left
+         FROM w LEFT JOIN dups ON dups.doc_id = w.doc_id LEFT JOIN covered ON covered.doc_id = w.doc_id LEFT JOIN lost ON lost.doc_id = w.doc_id),
+judged AS (SELECT *, n_words < {lines.MIN_WORDS} OR 100 * n_repeat_words > {lines.MAX_REPEATED} * n_words AS base_failed,
+             words_left < CAST({lines.MIN_LEFT} AS DOUBLE) * n_words AS depleted FROM base)
+SELECT *, NOT base_failed AND NOT depleted AS kept FROM judged"""
+
+
+@query(QUALITY_SQL)
 def op6_quality(spark, sf):
     return lines.rules(table(spark, sf, "documents")).drop("_place", "_host", "_lost", "_drop")
 

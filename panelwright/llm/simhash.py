@@ -171,8 +171,9 @@ def first_of_each(docs: DataFrame, words: int = 4, radius: int = 4, seed: int =
 
     ``docs`` must be a stored table, as its rows are told apart by their place in it.
     """
-    placed = docs.withColumn("_place", F.monotonically_increasing_id())
-    ranked = placed.withColumn("_key", F.struct(F.col(key).isNull(), F.col(key), F.col("_place")))
-    found = groups(ranked, words, radius, seed, "_key", text)
+    placed = docs.select(F.monotonically_increasing_id().alias("_place"), F.struct("*").alias("_row"))
+    own = F.col("_row")[key]
+    ranked = placed.select(F.struct(own.isNull().alias("missing"), own.alias("key"), "_place").alias("_key"), F.col("_row")[text].alias("_text"))
+    found = groups(ranked, words, radius, seed, "_key", "_text")
     chosen = found.filter(F.col("_key") == F.col("component_id")).select(F.col("_key._place").alias("_place"))
-    return placed.join(stored(chosen, "chosen"), "_place", "left_semi").drop("_place")
+    return placed.join(stored(chosen, "chosen"), "_place", "left_semi").select("_row.*")

@@ -324,7 +324,7 @@ def without_repeats(docs: DataFrame, length: int = 400, text: str = "text") -> D
     Where a cut would split a character, the character goes as a whole.
     """
     spans = _spans(_placed(docs, text), length)
-    placed = docs.withColumn("_place", F.monotonically_increasing_id())
+    placed = docs.select(F.monotonically_increasing_id().alias("_place"), F.struct("*").alias("_row"))
     places = sized(spans.select("_place"), "span-places")
 
     @F.pandas_udf("string")
@@ -338,5 +338,6 @@ def without_repeats(docs: DataFrame, length: int = 400, text: str = "text") -> D
             out.append("".join(p.decode("utf-8", "ignore") for p in parts))
         return pd.Series(out, dtype=object)
 
-    cut = placed.join(places, "_place", "left_semi").join(spans, "_place").withColumn(text, rest(text, "_spans"))
-    return placed.join(places, "_place", "left_anti").unionByName(cut.select(*placed.columns)).drop("_place")
+    cut = placed.join(places, "_place", "left_semi").join(spans, "_place").select(
+        F.col("_row").withField(text, rest(F.col("_row")[text], "_spans")).alias("_row"))
+    return placed.join(places, "_place", "left_anti").select("_row").unionByName(cut).select("_row.*")

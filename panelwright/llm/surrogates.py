@@ -222,8 +222,9 @@ def replace(docs: DataFrame, key: str, text: str = "text", count: str = "n_entit
     not shuffled, unless more than a broadcast's worth of documents hold entities whose surrogate collided.
     ``docs`` must be a stored table.
     """
-    placed = docs.drop(count).withColumn("_place", F.monotonically_increasing_id())
-    found = placed.select("_place", F.explode(described(mentions(text))).alias("_m"))
+    docs = docs.drop(count)
+    placed = docs.select(F.monotonically_increasing_id().alias("_place"), F.struct("*").alias("_row"), F.col(text).alias("_text"))
+    found = placed.select("_place", F.explode(described(mentions("_text"))).alias("_m"))
     found = found.select("_place", F.col("_m.e").alias("_e"), F.col("_m.k").alias("_kind"), F.col("_m.canon").alias("_canon"))
     found = stored(found, "mentions")
     entities = found.groupBy(F.col("_kind").alias("kind"), F.col("_canon").alias("canon")).agg(
@@ -237,9 +238,9 @@ def replace(docs: DataFrame, key: str, text: str = "text", count: str = "n_entit
             F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\u001f", "_kind", "_canon"), F.col("attempt")))).alias("_moved"))
         placed = placed.join(sized(per_doc, "moved-documents"), "_place", "left")
         attempt = lambda x: F.coalesce(F.try_element_at("_moved", F.concat_ws("\u001f", x["k"], x["canon"])), F.lit(0))
-    held = placed.withColumn("_found", mentions(text))
+    held = placed.withColumn("_found", mentions("_text"))
     made = surrogates(described(F.col("_found")), attempt, key)
-    between = F.split(F.col(text), ANY, -1)
+    between = F.split(F.col("_text"), ANY, -1)
     joined = F.array_join(F.zip_with(between, F.concat(made, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    out = held.withColumn(text, F.when(F.size("_found") > 0, joined).otherwise(F.col(text)))
-    return out.withColumn(count, F.size("_found").cast("long")).drop("_found", "_place", "_moved")
+    new = F.when(F.size("_found") > 0, joined).otherwise(F.col("_text"))
+    return held.select(F.col("_row").withField(text, new).alias("_row"), F.size("_found").cast("long").alias(count)).select("_row.*", count)
