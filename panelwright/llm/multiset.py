@@ -12,8 +12,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-# Lanes that hold uniform 16-bit sums of paragraphs, and lanes that hold sums of signs of their sentences.
+# Lanes that hold uniform 16-bit sums of paragraphs, and lanes that hold sums of signs of their phrases.
 EXACT, SIGNS = 64, 192
+# Words of a phrase; phrases start with each sentence, so an edit changes those up to the next sentence only.
+PHRASE = 4
 LANES = EXACT + SIGNS
 # Rows between two bounds, on average; at most MOST_BUCKETS bounds are worked out on the driver.
 BUCKET_ROWS, MOST_BUCKETS = 2_000, 65_536
@@ -24,10 +26,15 @@ def _paragraphs(text: str) -> list[str]:
     return [p for p in text.split("\n") if p]
 
 
+def _phrases(paragraph: str) -> list[str]:
+    cut = [s.split() for s in _SENTENCE.split(paragraph)]
+    return [" ".join(words[k : k + PHRASE]) for words in cut for k in range(0, len(words), PHRASE)]
+
+
 def vector(text: str) -> np.ndarray:
     """The sum over a text's paragraphs (its lines that are not empty).
 
-    Each paragraph adds a uniform vector hashed from it to the exact lanes; each of its sentences adds a
+    Each paragraph adds a uniform vector hashed from it to the exact lanes; each of its phrases adds a
     vector of plus and minus one to the sign lanes. Sums do not depend on the order of paragraphs, and the vector of
     a paragraph that is taken out or put in is simply subtracted or added.
     """
@@ -36,13 +43,13 @@ def vector(text: str) -> np.ndarray:
     if parts:
         wide = b"".join([hashlib.shake_128(b"p" + p.encode()).digest(2 * EXACT) for p in parts])
         out[:EXACT] = np.frombuffer(wide, "<u2").reshape(-1, EXACT).sum(axis=0, dtype=np.uint64).astype(np.uint16)
-        sentences = [s for p in parts for s in _SENTENCE.split(p) if s]
-        bits = b"".join([hashlib.blake2b(s.encode(), digest_size=SIGNS // 8).digest() for s in sentences])
+        phrases = [s for p in parts for s in _phrases(p)]
+        bits = b"".join([hashlib.blake2b(s.encode(), digest_size=SIGNS // 8).digest() for s in phrases])
         ones = np.zeros(SIGNS, np.int64)
         flat = np.frombuffer(bits, np.uint8).reshape(-1, SIGNS // 8)
         for first in range(0, len(flat), 8192):
             ones += np.unpackbits(flat[first : first + 8192], axis=1).sum(axis=0, dtype=np.int64)
-        out[EXACT:] = (2 * ones - len(sentences)).astype(np.uint16)
+        out[EXACT:] = (2 * ones - len(phrases)).astype(np.uint16)
     return out
 
 
@@ -56,9 +63,9 @@ def replaced(of: np.ndarray, text: str, new: str, same: int) -> np.ndarray:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of common sentences, 0 to 1, estimated from two vectors; exactly 1 for equal ones.
+    """Share of common phrases, 0 to 1, estimated from two vectors; exactly 1 for equal ones.
 
-    The squared length of a difference of sign sums estimates how many sentences are in one only.
+    The squared length of a difference of sign sums estimates how many phrases are in one only.
     """
     if np.array_equal(a, b):
         return 1.0

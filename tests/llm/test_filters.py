@@ -40,7 +40,7 @@ def test_counts_of_texts(edge_rows):
 
 
 def shop(k):
-    return (k, "\n".join(["Add to cart now", *[f"Item {chr(97 + k % 26)}{chr(97 + k // 26)} number {j} has its own words {k * 31 + j}x" for j in range(12)]]), "en", "shop", 0)
+    return (k, "\n".join(["Add to cart now", *[" ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j)}{chr(97 + i)}" for i in range(9)) for j in range(12)]]), "en", "shop", 0)
 
 
 def test_lines_above_the_limit(spark, tmp_path):
