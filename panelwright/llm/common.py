@@ -6,12 +6,16 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelwright.session import stored
+from panelwright.session import name_folder, stored
 
 
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers find this package where it is not installed; a cluster ships it by --py-files."""
+    """Lets Python workers find this package where it is not installed; a cluster ships it by --py-files.
+
+    A local session without a shared folder gets one.
+    """
     root = str(Path(__file__).resolve().parents[2])
+    name_folder(spark)
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
