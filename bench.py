@@ -11,7 +11,7 @@ import json
 import os
 import time
 
-from panelwright.session import local_session
+from panelwright.session import local_session, remove_run
 from workload import QUERIES
 
 HEADLINE = [
@@ -56,6 +56,7 @@ def main() -> None:
 
     run("q_raw_frequency")
     seconds = {name: run(name) for name in HEADLINE}
+    remove_run(spark)
     spark.stop()
     print(
         json.dumps(

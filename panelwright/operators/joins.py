@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelwright.session import BROADCAST_ROWS, stored
+from panelwright.session import is_small, stored
 
 HOT_KEYS = 50_000
 
@@ -33,7 +33,6 @@ def join_aggregate(
     it is split: the ``hot_keys`` heaviest keys are broadcast, and only rows of the others are
     shuffled. No key left to the shuffle can hold more than one in ``hot_keys`` rows.
     """
-    broadcast_rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     hot_keys = HOT_KEYS if hot_keys is None else hot_keys
     kept = aggregate if label is None else stored(aggregate, label)
     kept = kept.withColumnsRenamed({k: f"_k_{k}" for k in keys})
@@ -43,7 +42,7 @@ def join_aggregate(
     def joined(left: DataFrame, right: DataFrame) -> DataFrame:
         return left.join(right, on, how).drop(*copies, rows)
 
-    if kept.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if is_small(kept, broadcast_rows):
         return joined(frame, F.broadcast(kept))
     hot = stored(kept.orderBy(F.desc(rows), *copies).limit(hot_keys), "hot-keys")
     heavy = F.broadcast(hot.select(*[F.col(c).alias(f"_h{c}") for c in copies]))

@@ -115,24 +115,23 @@ def duplicate_audit(frame: DataFrame, key: list[str], columns: list[str], by: li
 def duplicate_examples(frame: DataFrame, key: list[str], columns: list[str], limit: int = 10) -> DataFrame:
     """The duplicated keys with most distinct versions, ties in key order."""
     first, second = version_hashes(columns)
+    hashed = frame.select(*key, first.alias("_h1"), second.alias("_h2"))
+    # The whole table is shuffled once, by key; only rows of repeated keys are counted by version.
+    rows = rows_of_duplicated_keys(hashed, key, null_safe=True)
     versions = (
-        frame.select(*key, first.alias("_h1"), second.alias("_h2"))
-        .groupBy(*key, "_h1", "_h2")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .groupBy(*key)
-        .agg(F.sum("_rows").alias("n"), F.count(F.lit(1)).alias("versions"))
-        .filter("n > 1")
+        rows.groupBy(*key, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_rows"))
+        .groupBy(*key).agg(F.sum("_rows").alias("n"), F.count(F.lit(1)).alias("versions"))
     )
     return versions.orderBy(F.desc("versions"), *key).limit(limit)
 
 
-def rows_of_duplicated_keys(frame: DataFrame, key: list[str]) -> DataFrame:
-    """All rows whose key occurs more than once, kept as they are; keys holding a NULL match none.
+def rows_of_duplicated_keys(frame: DataFrame, key: list[str], null_safe: bool = False) -> DataFrame:
+    """All rows whose key occurs more than once, kept as they are; keys holding a NULL match none, or each other.
 
     Repeated keys are few in a sound table and are then looked up without moving the rows.
     """
     repeated = frame.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    return join_aggregate(frame, repeated, key, "_n", "left_semi", "repeated-keys")
+    return join_aggregate(frame, repeated, key, "_n", "left_semi", "repeated-keys", null_safe)
 
 
 def outside_domain(frame: DataFrame, code: str, allowed: list[str]) -> DataFrame:
@@ -143,12 +142,9 @@ def outside_domain(frame: DataFrame, code: str, allowed: list[str]) -> DataFrame
 def lacks_codes(codes: DataFrame, code: str, required: list[str], by: list[str]) -> DataFrame:
     """Groups whose code list does not hold every required code."""
     needed = F.array(*[F.lit(r) for r in required])
-    present = codes.filter(F.col(code).isin(*required)).select(*by, code)
-    found = codes.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).join(
-        present.groupBy(*by).agg(F.collect_set(code).alias("_found")), by, "left"
-    )
-    missing = F.array_sort(F.array_except(needed, F.coalesce(F.col("_found"), F.array().cast("array<string>"))))
-    return found.select(*by, missing.alias("missing")).filter(F.size("missing") > 0)
+    found = F.collect_set(F.when(F.col(code).isin(*required), F.col(code)))
+    missing = F.array_sort(F.array_except(needed, found))
+    return codes.groupBy(*by).agg(missing.alias("missing")).filter(F.size("missing") > 0)
 
 
 def rule_counts(frame: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from itertools import permutations
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
@@ -20,7 +21,9 @@ from panelwright.operators.reshape import union_all
 from panelwright.session import iterated
 
 FEATURES = "features_scaled"
-MAX_ALIGNED_LABELS = 7
+# Groups a side that are matched on the driver, and fits that run at once.
+MAX_ALIGNED_LABELS = 1_000
+FITS_AT_ONCE = 4
 
 
 def assemble(columns: list[str], output: str) -> VectorAssembler:
@@ -52,10 +55,6 @@ def kmeans(k: int, seed: int, max_iter: int = 100, tol: float = 1e-4, prediction
     )
 
 
-def cluster_sizes(frame: DataFrame, prediction: str = "prediction") -> DataFrame:
-    return frame.groupBy(prediction).agg(F.count(F.lit(1)).alias("n"))
-
-
 def silhouettes(
     frame: DataFrame, point: Column, dimensions: int, assignments: list[str], max_clusters: int
 ) -> DataFrame:
@@ -76,12 +75,13 @@ def silhouettes(
         *[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(dimensions)],
     )
     one_cluster = F.struct("c", "n", "psi", *[f"m{j}" for j in range(dimensions)])
-    clusters = F.collect_list(one_cluster)
-    few_enough = F.when(F.size(clusters) <= max_clusters, clusters).otherwise(
-        F.raise_error(F.lit(f"more than {max_clusters} clusters"))
+    # Counted before anything is gathered: a wrong assignment column may hold a number per row.
+    several = stats.groupBy("a").agg(F.count(F.lit(1)).alias("found")).agg(F.max("found"))
+    few_enough = F.when(several.scalar() <= max_clusters, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"more than {max_clusters} clusters")).cast("boolean")
     )
     lookup = (
-        stats.groupBy("a").agg(few_enough.alias("clusters"))
+        stats.filter(few_enough).groupBy("a").agg(F.collect_list(one_cluster).alias("clusters"))
         .agg(F.map_from_entries(F.collect_list(F.struct("a", "clusters"))).alias("lookup"))
     )
 
@@ -162,18 +162,23 @@ def kmeans_grid(
         scaled = scaler.transform(assembler.transform(measures)).select(FEATURES)
         scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
         assigned, rows = scaled, []
-        for k in ks:
-            for seed in seeds:
-                model = kmeans(k, seed, max_iter, tol).fit(scaled)
-                grid.models[variant, k, seed] = model
-                name = f"k{k}_s{seed}"
-                rows.append((variant, k, seed, name, float(model.summary.trainingCost)))
-                assigned = model.copy().setPredictionCol(name).transform(assigned)
+        runs = [(k, seed) for k in ks for seed in seeds]
+        fit = inheritable_thread_target(spark)(lambda run: kmeans(*run, max_iter, tol).fit(scaled))
+        # Independent fits share the kept vectors; some run at once, so a short job leaves no core idle.
+        with ThreadPool(FITS_AT_ONCE) as pool:
+            models = pool.map(fit, runs, chunksize=1)
+        for (k, seed), model in zip(runs, models, strict=True):
+            grid.models[variant, k, seed] = model
+            name = f"k{k}_s{seed}"
+            rows.append((variant, k, seed, name, float(model.summary.trainingCost)))
+            assigned = model.copy().setPredictionCol(name).transform(assigned)
+        assigned = assigned.persist(StorageLevel.MEMORY_AND_DISK)
         scores = silhouettes(
             assigned, vector_to_array(FEATURES), len(columns), [r[3] for r in rows], max(ks)
         )
         # One row per fit, taken before the scaled rows are released.
         scores = spark.createDataFrame(scores.collect(), scores.schema)
+        assigned.unpersist()
         scaled.unpersist()
         runs = spark.createDataFrame(
             rows, "variant string, k int, seed int, assignment string, cost double"
@@ -289,8 +294,8 @@ def cross_tab(
 def agreement(crossed: DataFrame, a: str, b: str) -> DataFrame:
     """Share of rows in matching groups under the best one-to-one relabelling.
 
-    Works on the aggregated cross-tabulation; all relabellings are tried, so the number
-    of groups is limited to ``MAX_ALIGNED_LABELS`` a side.
+    Works on the aggregated cross-tabulation: the best matching is found by shortest
+    augmenting paths over its cells, for any number of groups up to a table that fits the driver.
     """
     cells = crossed.select(a, b, "n").limit(MAX_ALIGNED_LABELS**2 + 1).collect()
     firsts = sorted({r[a] for r in cells}, key=str)
@@ -303,8 +308,41 @@ def agreement(crossed: DataFrame, a: str, b: str) -> DataFrame:
         [counts.get((x, y), 0) for y in seconds + [None] * (size - len(seconds))]
         for x in firsts + [None] * (size - len(firsts))
     ]
-    best = max(sum(table[i][j] for i, j in enumerate(p)) for p in permutations(range(size)))
+    best = best_matching(table)
     total = sum(counts.values())
     return crossed.sparkSession.createDataFrame(
         [(best, total, best / total if total else None)], "matched long, n long, agreement double"
     )
+
+
+def best_matching(table: list[list[int]]) -> int:
+    """The largest sum of a square table's cells with one in each row and column."""
+    size = len(table)
+    of_row, of_column = [0] * (size + 1), [0] * (size + 1)  # potentials
+    owner = [0] * (size + 1)  # row that holds a column, counted from 1
+    for row in range(1, size + 1):
+        least, back, done = [float("inf")] * (size + 1), [0] * (size + 1), [False] * (size + 1)
+        owner[0], column = row, 0
+        while True:
+            done[column] = True
+            here, gap, following = owner[column], float("inf"), 0
+            for j in range(1, size + 1):
+                if not done[j]:
+                    cost = -table[here - 1][j - 1] - of_row[here] - of_column[j]
+                    if cost < least[j]:
+                        least[j], back[j] = cost, column
+                    if least[j] < gap:
+                        gap, following = least[j], j
+            for j in range(size + 1):
+                if done[j]:
+                    of_row[owner[j]] += gap
+                    of_column[j] -= gap
+                else:
+                    least[j] -= gap
+            column = following
+            if not owner[column]:
+                break
+        while column:
+            owner[column] = owner[back[column]]
+            column = back[column]
+    return sum(table[owner[j] - 1][j - 1] for j in range(1, size + 1))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import (
     OneHotEncoder,
     OneHotEncoderModel,
@@ -32,6 +34,9 @@ FOREST_CONFIGS = {
     "rf_80_d10": {"numTrees": 80, "maxDepth": 10},
 }
 BASELINE = "baseline"
+# Codes that a category may have: the indexer gathers them on the driver.
+MOST_CODES = 10_000
+FITS_AT_ONCE = 4
 RESIDUAL_NOTE = "salario_mensual - prediction; positivo = subestimacion"
 
 
@@ -142,12 +147,16 @@ def fit_and_score(
     """
     stages = preprocessing_stages(spec.categorical_predictors, spec.numeric_predictors)
     rows = iterated(fit.select(*spec.predictors, spec.target), "fit")
+    require_few_codes(rows, spec.categorical_predictors)
     prepared = Pipeline(stages=stages).fit(rows)
     vectors = prepared.transform(rows).select("features", spec.target).persist(StorageLevel.MEMORY_AND_DISK)
-    pipelines = {}
-    for name, estimator in estimators.items():
-        model: Model = estimator.fit(vectors)
-        pipelines[name] = PipelineModel(stages=[*prepared.stages, model])
+    fitted = inheritable_thread_target(fit.sparkSession)(lambda estimator: estimator.fit(vectors))
+    # Independent fits share the kept vectors; some run at once, so a short job leaves no core idle.
+    with ThreadPool(FITS_AT_ONCE) as pool:
+        models = pool.map(fitted, estimators.values(), chunksize=1)
+    pipelines = {
+        name: PipelineModel(stages=[*prepared.stages, model]) for name, model in zip(estimators, models, strict=True)
+    }
     vectors.unpersist()
     mean = rows.agg(F.avg(spec.target)).first()[0]
     scored = score(evaluated, pipelines).withColumn(prediction_column(BASELINE), F.lit(mean))
@@ -155,6 +164,15 @@ def fit_and_score(
     return Fits(scored, regression_metrics(scored, spec.target, names), pipelines)
 
 
+def require_few_codes(rows: DataFrame, categorical: tuple[str, ...]) -> None:
+    """Raise before a column of many values, such as a key, is gathered as if it held codes."""
+    if not categorical:
+        return
+    found = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+    if many := {c: found[c] for c in categorical if found[c] > MOST_CODES}:
+        raise ValueError(f"too many codes in {many}")
+
+
 def prediction_column(name: str) -> str:
     return f"prediction_{name}"
 

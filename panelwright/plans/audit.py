@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from panelwright.operators import quality
 from panelwright.operators.rules import FIRST_FAIL, eligible, exclusion_counts, waterfall_steps
 from panelwright.session import stored
-from panelwright.sources.codelist import recode_by_list
+from panelwright.sources.codelist import lists_missing, recode_by_list
 from panelwright.spec import PanelSpec
 
 
@@ -55,8 +55,15 @@ def audit(judged: DataFrame, spec: PanelSpec) -> Audit:
 def prepare(
     judged: DataFrame, spec: PanelSpec, lists: DataFrame | None = None, list_period: str = "period"
 ) -> DataFrame:
-    """Eligible rows with codes checked against the list of the row's own period, after the filter."""
+    """Eligible rows with codes checked against the list of the row's own period, after the filter.
+
+    A period of the table without a list for a recoded variable is an error: all its codes would be lost.
+    """
     kept = eligible(judged, spec)
+    if lists is not None and spec.recoded:
+        quality.require_empty(
+            lists_missing(judged, lists, spec.period, list_period, list(spec.recoded.values())), "periods without a code list"
+        )
     for target, variable in (spec.recoded if lists is not None else {}).items():
         kept = recode_by_list(kept, lists, variable, target, {spec.period: list_period}, spec.unknown)
     return kept

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, PipelineModel
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwright.operators import supervise
 from panelwright.operators.quality import require_empty
+from panelwright.operators.reshape import union_all
 from panelwright.sources.sinks import load_model, read_document, save_model, write_document
 from panelwright.spec import PanelSpec
 
@@ -17,7 +19,8 @@ METRICS_SCHEMA = (
     " selection array<struct<family: string, config: string>>,"
     " validation array<struct<model: string, n: bigint, mae: double, rmse: double, r2: double>>,"
     " test array<struct<model: string, n: bigint, mae: double, rmse: double, r2: double>>,"
-    " residual string"
+    " residual string,"
+    " parameters map<string, map<string, double>>"
 )
 
 
@@ -55,9 +58,10 @@ def refit_and_test(
 
 
 def metrics_document(
-    partitions: dict[str, DataFrame], selection: dict[str, str], validation: DataFrame, test: DataFrame
+    partitions: dict[str, DataFrame], selection: dict[str, str], validation: DataFrame, test: DataFrame,
+    parameters: dict[str, dict[str, float]] | None = None,
 ) -> DataFrame:
-    """One-row nested document: partition sizes, chosen configurations, metric records."""
+    """One-row nested document: partition sizes, chosen configurations, metric records, settings of all configurations."""
     spark = validation.sparkSession
     sizes = F.create_map(
         *[x for name, frame in partitions.items()
@@ -71,9 +75,17 @@ def metrics_document(
         validation.agg(F.collect_list(record)).scalar().alias("validation"),
         test.agg(F.collect_list(record)).scalar().alias("test"),
         F.lit(supervise.RESIDUAL_NOTE).alias("residual"),
+        F.from_json(F.lit(json.dumps(parameters or {})), "map<string, map<string, double>>").alias("parameters"),
     )
 
 
+def settings(estimators: dict[str, Estimator]) -> dict[str, dict[str, float]]:
+    """The penalty, tree and seed settings that each configuration was fitted with."""
+    names = ("regParam", "elasticNetParam", "numTrees", "maxDepth", "seed")
+    held = {n: {p.name: e.getOrDefault(p) for p in e.params if p.name in names and e.isDefined(p)} for n, e in estimators.items()}
+    return {n: {k: float(v) for k, v in found.items()} for n, found in held.items()}
+
+
 def save(pipelines: dict[str, PipelineModel], document: DataFrame, folder: str) -> None:
     for name, pipeline in pipelines.items():
         save_model(pipeline, f"{folder}/{name}")
@@ -82,11 +94,12 @@ def save(pipelines: dict[str, PipelineModel], document: DataFrame, folder: str)
 
 def reverify(
     spark: SparkSession, folder: str, names: list[str], test: DataFrame, spec: PanelSpec,
-    relative: float = 1e-9, absolute: float = 1e-6,
+    relative: float = 1e-9, absolute: float = 1e-6, partitions: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Reloads saved pipelines, rescores the test rows and compares with the saved document.
 
-    (model, metric, expected, observed, agrees); pipelines with other predictors raise.
+    (model, metric, expected, observed, agrees); pipelines with other predictors raise. The sizes of
+    ``partitions`` are compared with the stored ones, as rows of model ``partition``.
     """
     pipelines = {name: load_model(f"{folder}/{name}") for name in names}
     for pipeline in pipelines.values():
@@ -102,6 +115,14 @@ def reverify(
         return doubles.unpivot("model", ["n", "mae", "rmse", "r2"], "metric", value)
 
     both = long(observed, "observed").join(long(saved, "expected"), ["model", "metric"], "left")
+    if partitions:
+        sizes = union_all([
+            f.agg(F.lit("partition").alias("model"), F.lit(name).alias("metric"), F.count(F.lit(1)).cast("double").alias("observed"))
+            for name, f in partitions.items()
+        ])
+        stored = read_document(spark, f"{folder}/metrics", METRICS_SCHEMA).select(F.explode("partitions").alias("metric", "expected"))
+        stored = stored.select(F.lit("partition").alias("model"), "metric", F.col("expected").cast("double"))
+        both = both.unionByName(sizes.join(stored, ["model", "metric"], "full"))
     gap = F.abs(F.col("observed") - F.col("expected"))
     allowed = F.greatest(
         F.lit(relative) * F.greatest(F.abs("observed"), F.abs("expected")), F.lit(absolute)

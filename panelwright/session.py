@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A small side may be hinted as a broadcast only when its counted rows stay under this.
+# A small side may be hinted as a broadcast only when its counted rows and stored bytes stay under these.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 * 1024 * 1024
+# Rows of a part that iterative fits read, and the most parts there are.
+PART_ROWS, MOST_PARTS = 10_000, 4_096
+_RUN = f"run-{uuid.uuid4().hex[:12]}"
+_folder: list[str] = []
 
 
-def local_session(name: str = "panelwright", cpus: str = "8", memory: str = "12g") -> SparkSession:
-    """Local session used by the tests and the bench; a cluster brings its own."""
+def local_session(name: str = "panelwright", cpus: str = "8", memory: str = "12g", folder: str | None = None) -> SparkSession:
+    """Local session used by the tests and the bench; a cluster brings its own, and its own shared folder."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
@@ -24,6 +29,7 @@ def local_session(name: str = "panelwright", cpus: str = "8", memory: str = "12g
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", folder or tempfile.mkdtemp(prefix="panelwright-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -31,26 +37,31 @@ def local_session(name: str = "panelwright", cpus: str = "8", memory: str = "12g
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder of this machine.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder every executor can reach, as named by ``spark.checkpoint.dir``; unnamed is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or (_folder[0] if _folder else None)
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_folder()
+    return folder.rstrip("/")
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="panelwright-")
+def name_folder(spark: SparkSession, folder: str | None = None) -> None:
+    """Names a folder where the session has none: the given one, or a new one if driver and executors are one process."""
+    if spark.conf.get("spark.checkpoint.dir", None) or _folder:
+        return
+    alone = spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")
+    if folder or alone:
+        _folder.append(folder or tempfile.mkdtemp(prefix="panelwright-"))
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh sub-folder name in the shared folder; nothing is ever reused or removed."""
-    return f"{shared_folder(spark)}/panelwright/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder name in this run's part of the shared folder; nothing is ever reused."""
+    return f"{shared_folder(spark)}/panelwright/{_RUN}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_run(spark: SparkSession) -> None:
+    """Removes what this run stored; frames that read it are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/panelwright/{_RUN}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
@@ -61,26 +72,29 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
-def sized(small: DataFrame, label: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def is_small(kept: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether a stored table may be broadcast, by its files' bytes and its counted rows."""
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    in_files = int(str(kept._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return in_files <= BROADCAST_BYTES and kept.limit(max_rows + 1).count() <= max_rows
+
+
+def sized(small: DataFrame, label: str, max_rows: int | None = None) -> DataFrame:
     """Store an aggregated side and hint a broadcast only if it is proven small.
 
-    Beyond ``max_rows`` the stored side is returned without a hint, so the join
+    Beyond the limits the stored side is returned without a hint, so the join
     shuffles both sides and adaptive execution splits skewed partitions.
     """
     small = stored(small, label)
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(small)
-    return small
+    return F.broadcast(small) if is_small(small, max_rows) else small
 
 
 def iterated(frame: DataFrame, label: str) -> DataFrame:
-    """A narrow frame that many passes will read: stored in even parts, spread over all cores.
+    """A narrow frame that many passes will read: stored, and read in even parts.
 
-    Rows that survived filters sit in parts of any size; they are rebalanced before the write,
-    so no pass waits for one long part nor opens thousands of short files. Losing an executor
-    costs a re-read of its part, not a replay of everything before it. Only a table
-    with fewer parts than there are cores is repartitioned when read.
+    How many parts follows from the rows alone, so that fits whose result depends on the layout
+    are the same on any number of cores. Losing an executor costs a re-read of its part, not a
+    replay of everything before it.
     """
     kept = stored(frame.hint("rebalance"), label)
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return kept.repartition(cores) if kept.rdd.getNumPartitions() < cores else kept
+    return kept.repartition(min(MOST_PARTS, max(1, math.ceil(kept.count() / PART_ROWS))))

@@ -59,6 +59,17 @@ def incomplete(sheet: DataFrame, lists: DataFrame, sheet_id: list[str], variable
     )
 
 
+def lists_missing(frame: DataFrame, lists: DataFrame, period: str, list_period: str, variables: list[str]) -> DataFrame:
+    """(period, missing variables) of the frame's periods that have no list for one of the variables."""
+    held = lists.filter(F.col("variable").isin(*variables)).groupBy(F.col(list_period).alias("_p")).agg(
+        F.collect_set("variable").alias("_held")
+    )
+    joined = frame.select(period).distinct().join(held, F.col(period).eqNullSafe(F.col("_p")), "left")
+    wanted = F.array(*[F.lit(v) for v in sorted(variables)])
+    missing = F.array_except(wanted, F.coalesce("_held", F.array().cast("array<string>")))
+    return joined.select(period, missing.alias("missing")).filter(F.size("missing") > 0)
+
+
 def recode_by_list(
     frame: DataFrame, lists: DataFrame, variable: str, code: str, sheet_id: dict[str, str], unknown: str
 ) -> DataFrame:
@@ -66,17 +77,17 @@ def recode_by_list(
 
     ``sheet_id`` maps a column of the frame to the sheet's column (period to period).
     """
+    keys = {f: f"_l_{s}" for f, s in sheet_id.items()}
     known = sized(
         lists.filter(F.col("variable") == variable)
         .select(*[F.col(s).alias(f"_l_{s}") for s in sheet_id.values()], F.col("code").alias("_l_code"))
         .distinct(),
         "code-list",
     )
-    match = [F.col(f) == F.col(f"_l_{s}") for f, s in sheet_id.items()] + [F.col(code) == F.col("_l_code")]
-    joined = frame.join(known, match, "left")
-    return joined.withColumn(
+    match = [F.col(f) == F.col(c) for f, c in keys.items()] + [F.col(code) == F.col("_l_code")]
+    return frame.join(known, match, "left").withColumn(
         code, F.when(F.col("_l_code").isNotNull(), F.col(code)).otherwise(F.lit(unknown))
-    ).drop("_l_code", *[f"_l_{s}" for s in sheet_id.values()])
+    ).drop("_l_code", *keys.values())
 
 
 def with_labels(frame: DataFrame, lists: DataFrame, on: list, label: str, output: str, unknown: str) -> DataFrame:

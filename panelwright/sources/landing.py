@@ -106,6 +106,15 @@ def observed_dimensions(
     return counted.select("periodo", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), "columns")
 
 
+def announced_summary(observed: DataFrame, expected: DataFrame, by: list[str]) -> DataFrame:
+    """Initial rows and columns of every landed period next to the announced ones, and whether they agree."""
+    said = expected.select(*by, F.col("rows").alias("announced_rows"), F.col("columns").alias("announced_columns"))
+    agrees = (F.col("initial_rows") == F.col("announced_rows")) & (F.col("columns") == F.col("announced_columns"))
+    return observed.withColumnRenamed("rows", "initial_rows").join(said, by, "left").withColumn(
+        "agrees", F.coalesce(agrees, F.lit(False))
+    )
+
+
 def dimension_faults(observed: DataFrame, expected: DataFrame, by: list[str]) -> DataFrame:
     """Expected (rows, columns) entries that the observed table lacks or contradicts."""
     seen = observed.select(*by, F.col("rows").alias("_rows"), F.col("columns").alias("_columns"))

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ZIP_SIGNATURE = "504B0304"
-# Files up to this size are hashed inside Spark's binary source; larger ones are streamed.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
 
 MANIFEST_SCHEMA = (
     "esperado map<string, struct<filas: bigint, columnas: int>>,"
@@ -18,42 +14,32 @@ MANIFEST_SCHEMA = (
 )
 
 
-def fingerprints(spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """SHA-256, size and ZIP signature of every file under a path.
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Files of zero bytes under a path or pattern, which Spark's file sources pass over."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in system.globStatus(pattern) or []:
+        for file in system.listStatus(status.getPath()) if status.isDirectory() else [status]:
+            if file.isFile() and file.getLen() == 0 and file.getPath().getName()[0] not in "_.":
+                found.append(file.getPath().toString())
+    return found
+
+
+def fingerprints(spark: SparkSession, path: str) -> DataFrame:
+    """SHA-256, size and ZIP signature of every file under a path, empty ones included.
 
-    The size filter is pushed into the source, which then opens only the files it
-    returns. Files beyond the limit are read in blocks, one file per task, so no file
-    is ever held whole in memory and none is too large. Like every Spark file source this
-    one passes over files of zero bytes.
+    Spark's binary source reads and hashes each file within its task; it raises for a file
+    of more than 2 GiB, which no landed workbook or extract comes near.
     """
     files = spark.read.format("binaryFile").load(path)
     magic = F.hex(F.substring("content", 1, 4)) == ZIP_SIGNATURE
-    small = files.filter(F.col("length") <= whole_file_bytes).select(
-        "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), magic.alias("is_zip")
+    held = files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), magic.alias("is_zip"))
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    empty = spark.createDataFrame([(p,) for p in empty_files(spark, path)], "path string").select(
+        "path", F.lit(0).cast("long").alias("bytes"), nothing.alias("sha256"), F.lit(False).alias("is_zip")
     )
-
-    def stream(batches: Iterator) -> Iterator:
-        import hashlib
-
-        import pandas as pd
-        from pyarrow import fs
-
-        for batch in batches:
-            rows = []
-            for uri, size in zip(batch["path"], batch["bytes"], strict=True):
-                # Spark writes local paths as file:/x, which the file system library wants as file:///x.
-                source = uri if "://" in uri else uri.replace("file:/", "file:///", 1)
-                system, location = fs.FileSystem.from_uri(source)
-                digest, head = hashlib.sha256(), b""
-                with system.open_input_stream(location) as content:
-                    while block := content.read(8 * 1024 * 1024):
-                        head = head or block[:4]
-                        digest.update(block)
-                rows.append((uri, size, digest.hexdigest(), head.hex().upper() == ZIP_SIGNATURE))
-            yield pd.DataFrame(rows, columns=["path", "bytes", "sha256", "is_zip"])
-
-    large = files.filter(F.col("length") > whole_file_bytes).select("path", F.col("length").alias("bytes"))
-    return small.unionByName(large.mapInPandas(stream, small.schema))
+    return held.unionByName(empty)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -90,10 +76,14 @@ def self_consistency(manifest: DataFrame, kind: str = "personas") -> DataFrame:
 
 
 def merge_records(fresh: DataFrame, earlier: DataFrame, key: list[str], digest: str, stamp: str) -> DataFrame:
-    """Fresh file records, keeping the earlier timestamp where the digest did not change."""
-    before = earlier.select(*key, F.col(digest).alias("_digest"), F.col(stamp).alias("_stamp"))
-    unchanged = F.col(digest) == F.col("_digest")
+    """Fresh file records by key, keeping the earlier timestamp where the digest did not change.
+
+    Of several earlier records of a key the one with the last timestamp counts.
+    """
+    last = F.max(F.struct(F.col(stamp).alias("_stamp"), F.col(digest).alias("_digest"))).alias("_last")
+    before = earlier.groupBy(*key).agg(last)
+    unchanged = F.col(digest) == F.col("_last._digest")
     merged = fresh.join(before, key, "left").withColumn(
-        stamp, F.when(unchanged, F.col("_stamp")).otherwise(F.col(stamp))
+        stamp, F.when(unchanged, F.col("_last._stamp")).otherwise(F.col(stamp))
     )
-    return merged.drop("_digest", "_stamp")
+    return merged.drop("_last").orderBy(*key)

@@ -1,13 +1,14 @@
 import math
 import random
 import statistics
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from panelwright.functions.numeric import bias_label, log_bin
-from panelwright.operators import describe, relate, sampling
+from panelwright.operators import describe, percentiles, relate, sampling
 from panelwright.operators.percentiles import approx_percentiles, exact_percentiles
 from panelwright.operators.reshape import to_long, to_wide, union_all
 
@@ -124,3 +125,31 @@ def test_hash_sample_ignores_partitioning(spark):
     assert samples[0] == samples[1] and len(samples[0]) == 50
     assert sampling.random_sample(frame, limit=10).count() == 10
     assert sampling.preview(frame, ["v"], 5).count() == 5
+
+
+def test_ranks_are_worked_out_in_decimals(spark):
+    frame = spark.range(1, 101).select(F.col("id").cast("double").alias("v"))
+    wanted = [0.07, 0.29, 0.57, 0.58, 1.0]
+    row = exact_percentiles(frame, [], "v", wanted).first()
+    assert row.percentiles == [7.0, 29.0, 57.0, 58.0, 100.0] and row.n == 100
+
+
+def test_brackets_are_cut_until_few_values_are_left(spark, monkeypatch):
+    monkeypatch.setattr(percentiles, "FEW", 3)
+    monkeypatch.setattr(percentiles, "CELLS", 4)
+    values = [float(x) for x in range(3000)] + [1e300, -1e300, float("inf"), float("-inf"), float("nan")] + [7.5] * 500
+    rows = [("hot", v) for v in values] + [("small", 1.0), ("small", 2.0), ("none", None)]
+    frame = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    cuts = [0.0, 0.001, 0.31, 0.5, 0.999, 1.0]
+    found = {r.k: (r.n, r.percentiles) for r in exact_percentiles(frame, ["k"], "v", cuts, accuracy=50).collect()}
+    order = sorted(values, key=lambda v: (v != v, v))
+    wanted = [order[max(0, math.ceil(Fraction(str(p)) * len(order)) - 1)] for p in cuts]
+    assert str(found["hot"]) == str((len(values), wanted))
+    assert found["small"] == (2, [1.0, 1.0, 1.0, 1.0, 2.0, 2.0]) and found["none"] == (0, None)
+
+
+def test_no_window_over_rows_that_grow(spark):
+    frame = spark.range(50_000).select((F.col("id") % 3 == 0).alias("k"), F.rand(1).alias("v"))
+    for keys in ([], ["k"]):
+        plan = exact_percentiles(frame, keys, "v", [0.5, 0.9])._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Sort [" not in plan

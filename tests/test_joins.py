@@ -41,7 +41,7 @@ def test_hot_keys_are_broadcast_and_the_rest_is_not(rows):
 def test_operators_on_the_split_way(rows, monkeypatch):
     whole = {r.k: (r.n, r.percentiles) for r in percentiles.exact_percentiles(rows, ["k"], "v", [0.1, 0.5]).collect()}
     repeated = quality.rows_of_duplicated_keys(rows, ["k", "v"]).count()
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr("panelwright.session.BROADCAST_ROWS", 5)
     monkeypatch.setattr(joins, "HOT_KEYS", 2)
     split = {r.k: (r.n, r.percentiles) for r in percentiles.exact_percentiles(rows, ["k"], "v", [0.1, 0.5]).collect()}
     assert split == whole

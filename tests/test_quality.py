@@ -112,9 +112,10 @@ def test_code_cleaners(spark, raw, normal, one):
 
 
 def test_numbers_and_finiteness(spark):
-    cells = ["1", " 2.5 ", "abc", "", None, "NaN", "Infinity", "-Infinity", "1e400"]
+    cells = ["1", " 2.5 ", "abc", "", None, "NaN", "Infinity", "-Infinity", "1e400", "12d", "7.f", " 3D "]
     frame = spark.createDataFrame([(c,) for c in cells], "c string").withColumn("v", to_number(F.col("c")))
-    assert [r.f for r in frame.select(is_finite(F.col("v")).alias("f")).collect()] == [True, True] + [False] * 7
+    assert [r.v for r in frame.filter("c in ('12d', '7.f', ' 3D ')").collect()] == [None] * 3
+    assert [r.f for r in frame.select(is_finite(F.col("v")).alias("f")).collect()] == [True, True] + [False] * 10
 
 
 def test_stringify_strips_and_nulls(spark):

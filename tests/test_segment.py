@@ -153,7 +153,7 @@ def test_cross_tab_leaves_out_unmatched_and_null_keys(spark):
     assert {tuple(r) for r in found.collect()} == {(0, 1, 1), (1, 0, 1)}
 
 
-@pytest.mark.parametrize("shape", [(2, 2), (3, 2), (4, 4), (5, 5)])
+@pytest.mark.parametrize("shape", [(2, 2), (3, 3), (3, 2), (5, 5), (8, 8)])
 def test_agreement_tries_every_relabelling(spark, shape):
     generator = random.Random(sum(shape))
     counts = {(i, j): generator.randrange(1, 100) for i in range(shape[0]) for j in range(shape[1]) if (i + j) % 4 != 3}
@@ -164,7 +164,16 @@ def test_agreement_tries_every_relabelling(spark, shape):
     assert row.matched == best and row.n == sum(counts.values())
 
 
-def test_agreement_refuses_too_many_groups(spark):
+def test_agreement_refuses_too_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(segment, "MAX_ALIGNED_LABELS", 7)
     frame = spark.createDataFrame([(i, i, 1) for i in range(8)], "a int, b int, n long")
     with pytest.raises(ValueError):
         segment.agreement(frame, "a", "b")
+
+
+def test_best_matching_tries_all_relabellings():
+    rnd = random.Random(4)
+    for size in (1, 2, 3, 5, 8):
+        for _ in range(4):
+            table = [[rnd.randint(0, 50) for _ in range(size)] for _ in range(size)]
+            assert segment.best_matching(table) == max(sum(table[i][j] for i, j in enumerate(p)) for p in permutations(range(size)))

@@ -74,17 +74,26 @@ def test_dimension_faults(spark):
     assert {(r.p, r.observed_rows) for r in faults} == {("b", 4), ("c", None)}
 
 
-@pytest.mark.parametrize("limit", [manifest.WHOLE_FILE_BYTES, 100, 0])
-def test_fingerprints_small_and_streamed(spark, tmp_path, limit):
+def test_fingerprints_of_all_files(spark, tmp_path):
     (tmp_path / "text.bin").write_bytes(b"x" * 1000)
+    (tmp_path / "nothing.bin").write_bytes(b"")
     with zipfile.ZipFile(tmp_path / "book.zip", "w") as archive:
         archive.writestr("a", "b")
-    found = {Path(r.path).name: r for r in manifest.fingerprints(spark, str(tmp_path), limit).collect()}
-    assert set(found) == {"text.bin", "book.zip"}
-    for name, row in found.items():
-        content = (tmp_path / name).read_bytes()
-        assert row.sha256 == hashlib.sha256(content).hexdigest() and row.bytes == len(content)
-        assert row.is_zip == (name == "book.zip")
+    for path in (tmp_path, tmp_path / "*"):
+        found = {Path(r.path).name: r for r in manifest.fingerprints(spark, str(path)).collect()}
+        assert set(found) == {"text.bin", "book.zip", "nothing.bin"}
+        for name, row in found.items():
+            content = (tmp_path / name).read_bytes()
+            assert row.sha256 == hashlib.sha256(content).hexdigest() and row.bytes == len(content)
+            assert row.is_zip == (name == "book.zip")
+
+
+def test_merge_keeps_one_record_per_key(spark):
+    columns = "p string, sha string, at string"
+    fresh = spark.createDataFrame([("b", "2", "new"), ("a", "1", "new"), ("c", "3", "new")], columns)
+    earlier = spark.createDataFrame([("a", "0", "1900"), ("a", "1", "1901"), ("b", "2", "1902"), ("b", "9", "1903")], columns)
+    merged = manifest.merge_records(fresh, earlier, ["p"], "sha", "at").collect()
+    assert [tuple(r) for r in merged] == [("a", "1", "1901"), ("b", "2", "new"), ("c", "3", "new")]
 
 
 def test_manifest_scan_and_merge(spark, tmp_path):
@@ -153,10 +162,41 @@ def test_code_lists_against_a_row_by_row_reading(spark):
     assert {tuple(r) for r in lists.collect()} == expected and len(expected) > 50
 
 
-def test_iterated_rows_use_every_core(spark):
-    frame = iterated(spark.range(1000).coalesce(1), "test")
-    assert frame.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    assert frame.count() == 1000
+def test_layout_of_iterated_rows_follows_from_the_rows(spark, monkeypatch):
+    monkeypatch.setattr("panelwright.session.PART_ROWS", 100)
+    for parts in (1, 7):
+        frame = iterated(spark.range(1000).repartition(parts), "test")
+        assert frame.rdd.getNumPartitions() == 10 and frame.count() == 1000
+
+
+def test_no_folder_is_an_error(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from panelwright import session
+
+    monkeypatch.setattr(session, "_folder", [])
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    session.name_folder(bare)
+    with pytest.raises(ValueError, match="shared by all executors"):
+        shared_folder(bare)
+    bare.sparkContext.master = "local-cluster[2,1,1024]"
+    session.name_folder(bare)
+    with pytest.raises(ValueError):
+        shared_folder(bare)
+
+
+def test_a_period_without_code_list_is_an_error(spark):
+    from panelwright.operators.quality import CheckFailed
+    from panelwright.operators.rules import judge
+    from panelwright.plans import audit
+
+    judged = judge(raw_rows(spark, EDITS).unionByName(raw_rows(spark, EDITS[:3], "2026T1")), SPEC)
+    names = list(SPEC.recoded.values())
+    lists = spark.createDataFrame([("2025T1", v, "0") for v in names], "period string, variable string, code string")
+    with pytest.raises(CheckFailed, match="without a code list"):
+        audit.prepare(judged, SPEC, lists)
+    whole = lists.unionByName(lists.withColumn("period", F.lit("2026T1")))
+    assert audit.prepare(judged, SPEC, whole).count() > 0
 
 
 def test_write_and_read_back(spark):

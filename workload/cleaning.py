@@ -11,29 +11,31 @@ from panelwright.plans.audit import audit, duplicate_report
 from panelwright.plans.checks import prepared_faults, remaining_faults
 from workload.tables import ALLOWED, CLEAN, DIRTY, EDU_CODES, SPEC, dirty, judged, query, table
 
-MISSING = ["class_raw", "tenure_y_raw", "hours_raw"]
+def _per_column(columns, count: str) -> str:
+    """SQL with a row per period and column; ``count`` counts cells of {c} and its parsed number {n}."""
+    return " UNION ALL ".join(
+        f"SELECT period, '{c}' AS variable, CAST(sum(CASE WHEN {count.format(c=c, n=SPEC.numeric.get(c))} THEN 1 ELSE 0 END) AS BIGINT) AS n, count(*) AS total"
+        f" FROM ({CLEAN}) c GROUP BY period" for c in columns
+    )
+
+
+MISSING_SQL = _per_column(SPEC.source_columns, "{c} IS NULL OR trim({c}) = ''")
+INVALID_SQL = _per_column(SPEC.numeric, "{c} IS NOT NULL AND trim({c}) <> '' AND NOT coalesce(isfinite({n}), false)")
 
 
 @query(f"""
-SELECT period, variable, CAST(sum(CASE WHEN v IS NULL OR trim(v) = '' THEN 1 ELSE 0 END) AS BIGINT) AS missing,
-  CAST(round(100.0 * sum(CASE WHEN v IS NULL OR trim(v) = '' THEN 1 ELSE 0 END) / count(*), 3) AS DOUBLE) AS pct
-FROM (SELECT period, 'class_raw' AS variable, class_raw AS v FROM ({DIRTY}) a
-      UNION ALL SELECT period, 'tenure_y_raw', tenure_y_raw FROM ({DIRTY}) b
-      UNION ALL SELECT period, 'hours_raw', hours_raw FROM ({DIRTY}) c) u
-GROUP BY period, variable""")
+SELECT period, variable, n AS missing, CAST(round(100.0 * n / total, 3) AS DOUBLE) AS pct FROM ({MISSING_SQL}) u""")
 def q_missingness(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.missingness(dirty(spark, sf), SPEC.period, MISSING)
+    return quality.missingness(dirty(spark, sf), SPEC.period, list(SPEC.source_columns))
 
 
 @query(f"""
-SELECT period, CAST(sum(CASE WHEN age_raw IS NOT NULL AND trim(age_raw) <> '' AND NOT coalesce(isfinite(age), false) THEN 1 ELSE 0 END) AS BIGINT) AS bad_age,
-  CAST(sum(CASE WHEN pay_raw IS NOT NULL AND trim(pay_raw) <> '' AND NOT coalesce(isfinite(pay), false) THEN 1 ELSE 0 END) AS BIGINT) AS bad_pay
-FROM ({CLEAN}) c GROUP BY period""")
+PIVOT (SELECT period, 'bad_' || replace(variable, '_raw', '') AS variable, n FROM ({INVALID_SQL}) u)
+ON variable IN ({", ".join(repr("bad_" + c.replace("_raw", "")) for c in SPEC.numeric)}) USING sum(n)::BIGINT GROUP BY period""")
 def q_invalid_numeric(spark: SparkSession, sf: str) -> DataFrame:
-    fields = {c: SPEC.numeric[c] for c in ("age_raw", "pay_raw")}
-    counts = quality.invalid_numbers(rules.normalize(dirty(spark, sf), SPEC), SPEC.period, fields)
-    wide = to_wide(counts, [SPEC.period], "variable", list(fields), "invalid")
-    return wide.withColumnsRenamed({"age_raw": "bad_age", "pay_raw": "bad_pay"})
+    counts = quality.invalid_numbers(rules.normalize(dirty(spark, sf), SPEC), SPEC.period, SPEC.numeric)
+    wide = to_wide(counts, [SPEC.period], "variable", list(SPEC.numeric), "invalid")
+    return wide.withColumnsRenamed({c: "bad_" + c.replace("_raw", "") for c in SPEC.numeric})
 
 
 WATERFALL = f"""
@@ -67,18 +69,8 @@ def q_conservation(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""
 WITH w AS ({WATERFALL})
 SELECT period, 'excluded' AS kind, CAST(rule AS VARCHAR) AS item, excluded AS n FROM w
-UNION ALL SELECT period, 'missing', variable, n FROM (
-  SELECT period, CAST(sum(CASE WHEN age_raw IS NULL OR trim(age_raw) = '' THEN 1 ELSE 0 END) AS BIGINT) AS age_raw,
-    CAST(sum(CASE WHEN class_raw IS NULL OR trim(class_raw) = '' THEN 1 ELSE 0 END) AS BIGINT) AS class_raw,
-    CAST(sum(CASE WHEN tenure_y_raw IS NULL OR trim(tenure_y_raw) = '' THEN 1 ELSE 0 END) AS BIGINT) AS tenure_y_raw,
-    CAST(sum(CASE WHEN hours_raw IS NULL OR trim(hours_raw) = '' THEN 1 ELSE 0 END) AS BIGINT) AS hours_raw,
-    CAST(sum(CASE WHEN edu_raw IS NULL OR trim(edu_raw) = '' THEN 1 ELSE 0 END) AS BIGINT) AS edu_raw
-  FROM ({DIRTY}) d GROUP BY period) UNPIVOT (n FOR variable IN (age_raw, class_raw, tenure_y_raw, hours_raw, edu_raw))
-UNION ALL SELECT period, 'invalid', variable, n FROM (
-  SELECT period, CAST(sum(CASE WHEN trim(age_raw) <> '' AND NOT coalesce(isfinite(age), false) THEN 1 ELSE 0 END) AS BIGINT) AS age_raw,
-    CAST(sum(CASE WHEN trim(pay_raw) <> '' AND NOT coalesce(isfinite(pay), false) THEN 1 ELSE 0 END) AS BIGINT) AS pay_raw,
-    CAST(sum(CASE WHEN trim(hours_raw) <> '' AND NOT coalesce(isfinite(hours), false) THEN 1 ELSE 0 END) AS BIGINT) AS hours_raw
-  FROM ({CLEAN}) c GROUP BY period) UNPIVOT (n FOR variable IN (age_raw, pay_raw, hours_raw))
+UNION ALL SELECT period, 'missing', variable, n FROM ({MISSING_SQL}) u
+UNION ALL SELECT period, 'invalid', variable, n FROM ({INVALID_SQL}) u
 UNION ALL SELECT period, 'kept', 'rows', CAST(sum(CASE WHEN first_fail = 0 THEN 1 ELSE 0 END) AS BIGINT) FROM ({CLEAN}) c GROUP BY period""")
 def q_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Everything the load audit counts, from one scan of the raw table."""
@@ -89,14 +81,8 @@ def q_audit(spark: SparkSession, sf: str) -> DataFrame:
 
     return union_all([
         rows(tables.waterfall, "excluded", F.col("rule"), "excluded"),
-        rows(
-            tables.missing.filter(F.col("variable").isin("age_raw", "class_raw", "tenure_y_raw", "hours_raw", "edu_raw")),
-            "missing", F.col("variable"), "missing",
-        ),
-        rows(
-            tables.invalid.filter(F.col("variable").isin("age_raw", "pay_raw", "hours_raw")),
-            "invalid", F.col("variable"), "invalid",
-        ),
+        rows(tables.missing, "missing", F.col("variable"), "missing"),
+        rows(tables.invalid, "invalid", F.col("variable"), "invalid"),
         rows(tables.rates, "kept", F.lit("rows"), "kept"),
     ])
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwright.operators import describe, relate, sampling
 from panelwright.operators.errors import BAND_PROBABILITIES, percentile_table
-from panelwright.operators.percentiles import approx_percentiles, percentiles
+from panelwright.operators.percentiles import ACCURACY, approx_percentiles, percentiles
 from panelwright.operators.reshape import to_long, to_wide, union_all
 from panelwright.operators.segment import composition
 from panelwright.sources.codelist import with_labels
@@ -15,6 +15,22 @@ from workload.tables import query, table
 LINE_MEASURES = ["l_extendedprice", "l_quantity", "l_discount"]
 
 
+def ranks_hold(frame: DataFrame, keys: list[str], value: str, picks: DataFrame) -> DataFrame:
+    """(keys, place, n, within): whether each sketched value lies as near its rank as the accuracy promises.
+
+    ``picks`` has (keys, place, p, pick); rows below and up to each pick are counted over the whole frame.
+    """
+    rows = frame.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
+    joined = rows.join(F.broadcast(picks), keys) if keys else rows.withColumn("_k", F.lit(0)).join(F.broadcast(picks.withColumn("_k", F.lit(0))), "_k")
+    counted = joined.groupBy(*keys, "place", "p").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("_v") < F.col("pick")).alias("below"), F.count_if(F.col("_v") <= F.col("pick")).alias("upto")
+    )
+    slack = F.col("n") / ACCURACY + 1
+    wanted = F.col("p") * F.col("n")
+    within = (F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)
+    return counted.select(*keys, "place", "n", within.alias("within"))
+
+
 @query("""
 SELECT count(l_extendedprice) AS n, round(avg(l_extendedprice), 6) AS mean, round(stddev_samp(l_extendedprice), 6) AS sd,
   min(l_extendedprice) AS lo, max(l_extendedprice) AS hi,
@@ -39,10 +55,20 @@ def q_describe_all(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumns({"mean": F.round("mean", 6), "sd": F.round("sd", 6)})
 
 
-@query()
+@query(" UNION ALL ".join(
+    f"SELECT '{c}' AS variable, unnest([0, 1, 2, 3]) AS place, count({c}) AS n, round(avg({c}), 6) AS mean, min({c}) AS lo, max({c}) AS hi, true AS within FROM lineitem"
+    for c in LINE_MEASURES))
 def q_describe_sketch(spark: SparkSession, sf: str) -> DataFrame:
-    """The default mode: all measures, percentiles included, in one pass."""
-    return describe.summary(table(spark, sf, "lineitem"), LINE_MEASURES)
+    """The default mode, all measures in one pass; its percentiles held against their ranks in the table."""
+    lines = table(spark, sf, "lineitem")
+    rows = describe.summary(lines, LINE_MEASURES)
+    cuts = F.array(*[
+        F.struct(F.lit(i).alias("place"), F.lit(p).alias("p"), F.col(f"p{round(100 * p)}").alias("pick"))
+        for i, p in enumerate(describe.SUMMARY_PERCENTILES)
+    ])
+    long = to_long(lines.select(*[F.col(c).cast("double").alias(c) for c in LINE_MEASURES]), [], LINE_MEASURES, "variable", "value")
+    held = ranks_hold(long, ["variable"], "value", rows.select("variable", F.inline(cuts)))
+    return rows.select("variable", F.round("mean", 6).alias("mean"), "lo", "hi").join(held, "variable")
 
 
 @query("""
@@ -55,10 +81,17 @@ def q_group_median(spark: SparkSession, sf: str) -> DataFrame:
     return shares.withColumnRenamed("median", "median_bal")
 
 
-@query()
+@query("""
+SELECT 'o_orderstatus' AS variable, o_orderstatus AS code, count(*) AS n, true AS within FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*), true FROM orders GROUP BY o_orderpriority""")
 def q_medians_by_each(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts and sketched medians by several single columns from one scan."""
-    return describe.medians_by_each(table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"], "o_totalprice")
+    """Counts and sketched medians by several single columns from one scan, the medians held against their ranks."""
+    orders, groups = table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"]
+    rows = describe.medians_by_each(orders, groups, "o_totalprice")
+    picks = rows.select("variable", "code", F.lit(0).alias("place"), F.lit(0.5).alias("p"), F.col("median").alias("pick"))
+    long = to_long(orders.select(*groups, "o_totalprice"), ["o_totalprice"], groups, "variable", "code")
+    held = ranks_hold(long, ["variable", "code"], "o_totalprice", picks).select("variable", "code", "within")
+    return rows.drop("median").join(held, ["variable", "code"])
 
 
 @query("""
@@ -91,10 +124,12 @@ def q_trend_change(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH g AS (SELECT o_orderpriority AS grp, count(*) AS n, percentile_disc(0.5) WITHIN GROUP (ORDER BY o_totalprice) AS med FROM orders GROUP BY o_orderpriority)
-SELECT (SELECT max(med) FROM g) AS hi, (SELECT min(med) FROM g) AS lo, (SELECT max(n) FROM g) AS top_n""")
+SELECT (SELECT max(med) FROM g) AS hi, (SELECT min(med) FROM g) AS lo, (SELECT max(n) FROM g) AS top_n,
+  (SELECT grp FROM g ORDER BY n DESC, grp DESC LIMIT 1) AS top_group, (SELECT grp FROM g ORDER BY med DESC, grp DESC LIMIT 1) AS hi_group,
+  (SELECT grp FROM g ORDER BY med, grp LIMIT 1) AS lo_group""")
 def q_group_extremes(spark: SparkSession, sf: str) -> DataFrame:
     groups = describe.group_median(table(spark, sf, "orders"), ["o_orderpriority"], "o_totalprice", exact=True)
-    return describe.extremes(groups, "o_orderpriority").select("hi", "lo", "top_n")
+    return describe.extremes(groups, "o_orderpriority")
 
 
 @query("""
@@ -120,11 +155,15 @@ def q_percentile_table(spark: SparkSession, sf: str) -> DataFrame:
     ])
 
 
-@query()
+@query("""
+SELECT o_orderpriority, unnest([0, 1, 2, 3]) AS place, count(*) AS n, true AS within FROM orders GROUP BY o_orderpriority""")
 def q_percentile_sketch(spark: SparkSession, sf: str) -> DataFrame:
-    """Approximate percentiles by group in one pass."""
-    rows = approx_percentiles(table(spark, sf, "orders"), ["o_orderpriority"], "o_totalprice", BAND_PROBABILITIES)
-    return rows.select("o_orderpriority", "n", F.posexplode("percentiles").alias("place", "value"))
+    """Approximate percentiles by group in one pass, held against their ranks."""
+    orders = table(spark, sf, "orders")
+    rows = approx_percentiles(orders, ["o_orderpriority"], "o_totalprice", BAND_PROBABILITIES)
+    named = F.arrays_zip(F.array(*[F.lit(p) for p in BAND_PROBABILITIES]).alias("p"), F.col("percentiles").alias("pick"))
+    picks = rows.select("o_orderpriority", F.posexplode(named).alias("place", "x")).select("o_orderpriority", "place", "x.p", "x.pick")
+    return ranks_hold(orders, ["o_orderpriority"], "o_totalprice", picks)
 
 
 @query("""
@@ -224,12 +263,23 @@ def q_hash_sample(spark: SparkSession, sf: str) -> DataFrame:
     return sample.select("o_orderkey", "o_custkey")
 
 
-@query()
+@query("SELECT least(count(*), 5000) AS n, least(count(*), 5000) AS different, least(count(*), 5000) AS of_the_table FROM orders")
 def q_random_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """A seeded sample: its size, how many different rows it has and how many of them the table holds."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return sampling.random_sample(orders)
+    return _membership(sampling.random_sample(orders), orders)
 
 
-@query()
+@query("SELECT least(count(*), 5) AS n, least(count(*), 5) AS different, least(count(*), 5) AS of_the_table FROM orders")
 def q_preview(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.preview(table(spark, sf, "orders"), ["o_orderkey", "o_orderdate", "o_totalprice"])
+    """The first rows as they come: as many as asked for, all of them the table's."""
+    orders = table(spark, sf, "orders")
+    columns = ["o_orderkey", "o_orderdate", "o_totalprice"]
+    return _membership(sampling.preview(orders, columns), orders.select(*columns))
+
+
+def _membership(sample: DataFrame, whole: DataFrame) -> DataFrame:
+    held = sample.join(whole.withColumn("_in", F.lit(1)), whole.columns, "left")
+    return held.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(*whole.columns).alias("different"), F.count("_in").alias("of_the_table")
+    )

@@ -42,15 +42,7 @@ SELECT concat(substr(period, 1, 4), 'T1') AS periodo_archivo, count(*) AS initia
 FROM ({DIRTY}) d GROUP BY substr(period, 1, 4)""")
 def q_union_layouts(spark: SparkSession, sf: str) -> DataFrame:
     """Yearly files of two widths and column orders, scanned by name and united."""
-    years = range(1995, 2002)
-    rows, paths = dirty(spark, sf), {}
-    wide = rows.withColumns({"extra_1": F.lit("x"), "extra_2": F.col("hh")})
-    for year in years:
-        folder = new_folder(spark, f"year-{year}")
-        frame = wide.select(*sorted(wide.columns, reverse=True)) if year % 2 else rows
-        frame.filter(F.substring("period", 1, 4) == str(year)).write.option("header", True).csv(folder)
-        paths[f"{year}T1"] = folder
-    scanned = landing.scan_periods(spark, paths, SPEC)
+    scanned = landing.scan_periods(spark, _land_years(spark, sf), SPEC)
     return scanned.groupBy("periodo_archivo").agg(
         F.count(F.lit(1)).alias("initial_rows"),
         F.count_if(F.col("class_raw") != "").alias("with_class"),
@@ -58,6 +50,38 @@ def q_union_layouts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _land_years(spark: SparkSession, sf: str) -> dict[str, str]:
+    """Every year's rows as files, odd years two columns wider and in another order; a path per period."""
+    rows = dirty(spark, sf).withColumn("_year", F.substring("period", 1, 4).cast("int"))
+    wide = rows.withColumns({"extra_1": F.lit("x"), "extra_2": F.col("hh")})
+    paths = {}
+    for odd, frame in ((1, wide.select(*sorted(wide.columns, reverse=True))), (0, rows)):
+        folder = new_folder(spark, f"years-{odd}")
+        frame.filter(F.col("_year") % 2 == odd).write.partitionBy("_year").option("header", True).csv(folder)
+        found = rows.select("_year").distinct().filter(F.col("_year") % 2 == odd).collect()  # a row per year
+        paths |= {f"{r[0]}T1": f"{folder}/_year={r[0]}" for r in found}
+    return paths
+
+
+@query(f"""
+WITH y AS (SELECT CAST(substr(period, 1, 4) AS INTEGER) AS yr, count(*) AS n FROM ({DIRTY}) d GROUP BY substr(period, 1, 4))
+SELECT concat(CAST(yr AS VARCHAR), 'T1') AS periodo, n AS initial_rows, CASE WHEN yr % 2 = 1 THEN 15 ELSE 13 END AS "columns",
+  CASE WHEN yr = 1997 THEN n + 1 ELSE n END AS announced_rows, CASE WHEN yr = 1998 THEN 14 WHEN yr % 2 = 1 THEN 15 ELSE 13 END AS announced_columns,
+  yr NOT IN (1997, 1998) AS agrees FROM y""")
+def q_load_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and columns of the landed years, read from their files, next to what was announced (two years are wrong on purpose)."""
+    paths = _land_years(spark, sf)
+    scanned = landing.scan_periods(spark, paths, SPEC)
+    observed = landing.observed_dimensions(spark, paths, scanned)
+    year = F.substring("period", 1, 4).cast("int")
+    announced = dirty(spark, sf).groupBy(year.alias("y")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.concat("y", F.lit("T1")).alias("periodo"),
+        (F.col("n") + (F.col("y") == 1997).cast("int")).alias("rows"),
+        F.when(F.col("y") == 1998, 14).when(F.col("y") % 2 == 1, 15).otherwise(13).alias("columns"),
+    )
+    return landing.announced_summary(observed, announced, ["periodo"])
+
+
 @query(f"""
 SELECT period AS periodo, count(*) AS "rows", CAST(12 AS INTEGER) AS "columns", CAST(sum(CASE WHEN row_id % 997 = 0 THEN 0 ELSE 1 END) AS BIGINT) AS observed_rows,
   CAST(12 AS INTEGER) AS observed_columns FROM ({DIRTY}) d GROUP BY period
@@ -116,11 +140,16 @@ def q_manifest_merge(spark: SparkSession, sf: str) -> DataFrame:
     return manifest.merge_records(fresh, earlier, ["periodo", "tipo"], "sha256", "fecha_descarga_utc")
 
 
-@query()
+FILES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+@query(" UNION ALL ".join(f"SELECT '{f}.parquet' AS file, 64 AS digits, true AS sized, false AS is_zip" for f in FILES))
 def q_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     """Digest, size and signature of the table files themselves."""
     files = manifest.fingerprints(spark, f"{sf}/*.parquet")
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "bytes", "sha256", "is_zip")
+    return files.select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.length("sha256").alias("digits"), (F.col("bytes") > 0).alias("sized"), "is_zip"
+    )
 
 
 @query("""

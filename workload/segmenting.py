@@ -9,8 +9,9 @@ from panelwright.operators import rules, segment
 from panelwright.operators.reshape import to_wide, union_all
 from panelwright.plans import segmentation
 from panelwright.plans.checks import experiment_faults
-from panelwright.session import new_folder
+from panelwright.session import new_folder, stored
 from panelwright.sources.sinks import load_model
+from panelwright.spec import SEGMENT_KS, SEGMENT_SEEDS
 from workload.tables import CLEAN, SPEC, judged, query, table
 
 VARIANTS = {"profile": ("age", "tenure", "hours"), "with_pay": ("age", "tenure", "hours", "pay")}
@@ -167,14 +168,21 @@ def _eligible(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select(*SPEC.key, "age", "tenure", "hours", "pay", "edu")
 
 
-@query()
+@query(f"""
+SELECT variant, CAST(k AS INTEGER) AS k, CAST(seed AS INTEGER) AS seed, n, true AS sizes_add_up, true AS silhouette_in_range, true AS costs_something, CAST(0 AS BIGINT) AS faults
+FROM (SELECT count(*) AS n FROM ({CLEAN}) c WHERE first_fail = 0) r CROSS JOIN (SELECT unnest(['profile', 'with_pay']) AS variant) v
+CROSS JOIN (SELECT unnest([2, 3, 4, 5]) AS k) ks CROSS JOIN (SELECT unnest([42, 123, 2026]) AS seed) s""")
 def q_kmeans_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """Both variants for K 2 and 3: silhouette, cost and sizes of every run."""
-    frame = _eligible(spark, sf)
-    grid = segment.kmeans_grid(frame, VARIANTS, (2, 3), (42,))
+    """Both variants for every K and seed: sizes, silhouette and cost of each of the 24 runs."""
+    frame = stored(_eligible(spark, sf), "eligible")
+    grid = segment.kmeans_grid(frame, VARIANTS, SEGMENT_KS, SEGMENT_SEEDS)
     rows = frame.agg(F.count(F.lit(1)))
-    wrong = experiment_faults(grid.experiments, 2, rows).agg(F.count(F.lit(1)))
-    return grid.experiments.withColumn("faults", wrong.scalar())
+    wrong = experiment_faults(grid.experiments, len(SEGMENT_KS) * len(SEGMENT_SEEDS), rows).agg(F.count(F.lit(1)))
+    total = F.aggregate(F.map_values("sizes"), F.lit(0).cast("long"), lambda a, n: a + n)
+    return grid.experiments.select(
+        "variant", "k", "seed", "n", ((total == F.col("n")) & (F.size("sizes") == F.col("k"))).alias("sizes_add_up"),
+        F.col("silhouette").between(-1, 1).alias("silhouette_in_range"), (F.col("cost") > 0).alias("costs_something"), wrong.scalar().alias("faults"),
+    )
 
 
 @query(f"""
@@ -203,25 +211,41 @@ def q_kmeans_invariants(spark: SparkSession, sf: str) -> DataFrame:
     return total
 
 
-@query()
+@query(f"""
+SELECT variant, n, true AS shares_add_up, true AS means_add_up, true AS medians_inside, true AS labelled, true AS agreement_in_range, round(pay, 4) AS pay
+FROM (SELECT count(*) AS n, avg(pay) AS pay FROM ({CLEAN}) c WHERE first_fail = 0) r CROSS JOIN (SELECT unnest(['profile', 'with_pay']) AS variant) v""")
 def q_kmeans_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """Segmentation run, saved and reloaded: profile and label of each cluster of both variants."""
-    frame = _eligible(spark, sf)
-    result = segmentation.run(frame, VARIANTS, (2, 3), (42,))
+    """The whole segmentation run, saved and reloaded: the profiles of both variants add up to the table."""
+    frame = stored(_eligible(spark, sf), "eligible")
+    result = segmentation.run(frame, VARIANTS)
     folder = new_folder(spark, "segmentation")
     segmentation.save(result, "profile", SPEC, f"{folder}/model", f"{folder}/assignments")
     reloaded = load_model(f"{folder}/model").transform(frame)
     measures = list(VARIANTS["with_pay"])
+    whole = frame.agg(F.struct(*[F.avg(c).alias(c) for c in measures], *[F.min(c).alias(f"lo_{c}") for c in measures], *[F.max(c).alias(f"hi_{c}") for c in measures])).scalar()
 
-    def profiled(assigned: DataFrame, cluster: str, variant: str) -> DataFrame:
+    def checked(assigned: DataFrame, cluster: str, variant: str) -> DataFrame:
         names = {"age": "age", "tenure": "tenure", "hours": "hours"}
         profiles = segment.profile(assigned, measures, cluster)
         labels = segment.profile_labels(profiles, cluster, names, "high", "low", "mid").select(cluster, "label")
-        rows = profiles.join(labels, cluster)
-        return rows.withColumnRenamed(cluster, "cluster").withColumn("variant", F.lit(variant))
+        rows = profiles.join(labels, cluster).withColumn("_w", whole)
+        inside, near = F.lit(True), F.lit(True)
+        for c in measures:
+            inside = inside & F.col(f"median_{c}").between(F.col(f"_w.lo_{c}"), F.col(f"_w.hi_{c}"))
+        sums = rows.agg(
+            F.sum("n").alias("n"), F.sum("pct").alias("pct"), F.every(inside).alias("medians_inside"),
+            F.every(F.length("label") > 0).alias("labelled"), F.max("_w").alias("_w"),
+            *[(F.sum(F.col(f"mean_{c}") * F.col("n")) / F.sum("n")).alias(c) for c in measures],
+        )
+        for c in measures:
+            near = near & (F.abs(F.col(c) - F.col(f"_w.{c}")) <= 1e-9 * F.abs(F.col(f"_w.{c}")))
+        return sums.select(
+            F.lit(variant).alias("variant"), "n", (F.abs(F.col("pct") - 100) < 1e-6).alias("shares_add_up"), near.alias("means_add_up"),
+            "medians_inside", "labelled", F.round("pay", 4).alias("pay"),
+        )
 
     _, agreement = segmentation.sensitivity(result, "profile", "with_pay")
+    share = agreement.select(F.col("agreement").between(0, 1)).scalar()
     return union_all([
-        profiled(reloaded, "prediction", "profile"),
-        profiled(result.assigned, "cluster_with_pay", "with_pay"),
-    ]).withColumn("agreement", agreement.select("agreement").scalar())
+        checked(reloaded, "prediction", "profile"), checked(result.assigned, "cluster_with_pay", "with_pay"),
+    ]).withColumn("agreement_in_range", share)
