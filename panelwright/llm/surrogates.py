@@ -25,6 +25,9 @@ PATTERNS = {
     "name": rf"(?<!\p{{L}})(?:{MALE_TITLES}|{FEMALE_TITLES}|{MALE_TITLES_CYRILLIC}|{FEMALE_TITLES_CYRILLIC}) \p{{Lu}}[\p{{L}}'-]{{1,30}}(?: \p{{Lu}}[\p{{L}}'-]{{1,30}})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# Every kind needs one of these signs, or one of these words of a title; most texts have neither and are not searched.
+SIGNS = "[0-9@=:]"
+TITLE_PARTS = "Mr Ms Miss Herr Monsieur Señor Sr. Sra. Frau Mme Madame господин госпожа г-н г-жа".split()
 
 # Names that stand in, by gender and script.
 GIVEN = {
@@ -188,7 +191,11 @@ def surrogates(entities: Column, attempt, key: str) -> Column:
 
 def mentions(text: str) -> Column:
     """All mentions of a text in order; an empty array for a null text."""
-    return F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(ANY), F.lit(0))
+    value = F.coalesce(F.col(text), F.lit(""))
+    possible = value.rlike(SIGNS)
+    for part in TITLE_PARTS:
+        possible = possible | F.contains(value, F.lit(part))
+    return F.when(possible, F.regexp_extract_all(value, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def settled(entities: DataFrame, key: str) -> DataFrame:
