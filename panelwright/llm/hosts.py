@@ -11,6 +11,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelwright.session import stored
+
 # Sizes of the models that are sent to tasks: words of the dictionary, tokens of the classifier.
 DICTIONARY, VOCABULARY = 30_000, 50_000
 LONGEST_WORD = 20
@@ -50,7 +52,7 @@ def dictionary(pages: DataFrame, html: str = "html", size: int = DICTIONARY) ->
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["w", "n"])
 
     counts = pages.select(html).mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    top = counts.filter("n > 1").orderBy(F.desc("n"), "w").limit(size).collect()
+    top = stored(counts.filter("n > 1").orderBy(F.desc("n"), "w").limit(size), "dictionary").collect()
     total = sum(r["n"] for r in top) or 1
     return {r["w"]: math.log(r["n"] / total) for r in top}
 
@@ -113,7 +115,8 @@ def train(urls: DataFrame, model: dict[str, float], size: int = VOCABULARY) -> d
         return F.sum(F.when(F.col("v") == kind, F.col("n")).otherwise(0)).alias(kind)
 
     by_token = counts.groupBy("t").agg(of("allow"), of("block"))
-    rows = {r["t"]: (r["allow"], r["block"]) for r in by_token.orderBy(F.desc(F.col("allow") + F.col("block")), "t").limit(size + 1).collect()}
+    top = stored(by_token.orderBy(F.desc(F.col("allow") + F.col("block")), "t").limit(size + 1), "tokens")
+    rows = {r["t"]: (r["allow"], r["block"]) for r in top.collect()}
     good, bad = rows.pop("", (0, 0))
     if not good or not bad:
         return {"prior": -1.0, "tokens": {}}
