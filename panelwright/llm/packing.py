@@ -16,7 +16,7 @@ from panelwright.session import sized, stored
 
 # Sizes that large lengths are rounded up to, and rows that a bucket of one length has on average.
 GROUPS = 96
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 2_000
 
 
 @cache
