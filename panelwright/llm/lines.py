@@ -83,16 +83,15 @@ def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
 def common_lines(profiled: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE) -> DataFrame:
     """(_host, h, _rows) of the lines that more distinct documents of a host hold than its limit.
 
-    Copies and near copies of a document are one document here: a document is known by the least hash
-    among its other lines. So a text copied a thousand times does not make its own lines common. The limit is
-    the larger of ``min_documents`` and ``max_share`` of the host's distinct documents. A null host is a host.
+    Copies of a document are one document here: a document is known by a hash of all its different lines. So a
+    text copied a thousand times does not make its own lines common. The limit is the larger of ``min_documents``
+    and ``max_share`` of the host's distinct documents. A null host is a host.
     """
-    one = F.array_sort(F.transform("_lines", lambda x: x["h"]))
-    known = profiled.select("_host", F.get(one, F.lit(0)).alias("_first"), F.get(one, F.lit(1)).alias("_second"), "_lines")
-    limits = known.groupBy("_host", "_first").agg(F.lit(1).alias("_x")).groupBy("_host").agg(
+    hashes = F.transform("_lines", lambda x: x["h"])
+    known = profiled.select("_host", F.xxhash64(F.array_sort(hashes)).alias("_id"), hashes.alias("_hashes"))
+    limits = known.groupBy("_host", "_id").agg(F.lit(1).alias("_x")).groupBy("_host").agg(
         F.greatest(F.lit(float(min_documents)), max_share * F.count("*")).alias("_limit"))
-    each = known.select("_host", "_first", "_second", F.explode(F.transform("_lines", lambda x: x["h"])).alias("h"))
-    named = each.select("_host", "h", F.when(F.col("h") == F.col("_first"), F.col("_second")).otherwise(F.col("_first")).alias("_id"))
+    named = known.select("_host", "_id", F.explode("_hashes").alias("h"))
     counted = named.groupBy("_host", "h", "_id").agg(F.count("*").alias("_n")).groupBy("_host", "h").agg(
         F.count("*").alias("_documents"), F.sum("_n").alias("_rows"))
     limits = limits.withColumnRenamed("_host", "_h")

@@ -59,6 +59,17 @@ def test_lines_above_the_limit(spark, tmp_path):
     assert 100 not in clean and clean[0] == "\n".join(rows[0][1].split("\n")[1:]) and clean[300] == other[1]
 
 
+def test_a_menu_of_many_lines_on_a_tenth_of_a_host(spark, tmp_path):
+    menu = [f"Menu entry {chr(97 + k)} of the shop" for k in range(15)]
+    own = lambda k, n: [" ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j)}{chr(97 + i)}" for i in range(9)) for j in range(n)]
+    rows = [(k, "\n".join([*(menu if k < 60 else []), *own(k, 3 if k < 60 else 8)]), "shop") for k in range(600)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    assert lines.common_lines(lines.profile(docs)).select("_host", "_rows").collect() == [("shop", 60)] * 15
+    found = {r.doc_id: r for r in lines.rules(docs).collect()}
+    assert all(found[k].words_left == (27 if k < 60 else 72) and found[k].depleted == (k < 60) for k in range(600))
+
+
 def test_rules_at_the_edges(edge_docs, no_docs):
     found = lines.rules(edge_docs).collect()
     assert len(found) == edge_docs.count() and all(r.base_failed for r in found if r.n_words < 50)
