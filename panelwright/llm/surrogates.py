@@ -8,6 +8,7 @@ from panelwright.operators.joins import join_aggregate
 from panelwright.session import sized, stored
 
 # What the patterns look for.
+ASCII_SIGNS = "!#$%*+-.:;=?@^_~"
 SECRET_NAMES = "password|passwd|pwd|secret|token|api_key|apikey|api-key|access_key"
 MALE_TITLES, FEMALE_TITLES = r"Mr\.?|Herr|Monsieur|Señor|Sr\.", r"Mrs\.?|Ms\.?|Miss|Frau|Mme\.?|Madame|Señora|Sra\."
 MALE_TITLES_CYRILLIC, FEMALE_TITLES_CYRILLIC = "господин|г-н", "госпожа|г-жа"
@@ -29,6 +30,9 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 SIGNS = "[0-9@=:]"
 TITLE_PARTS = "Mr Ms Miss Herr Monsieur Señor Sr. Sra. Frau Mme Madame господин госпожа г-н г-жа".split()
 
+# Draws of a value of fixed format before it is made longer.
+OFTEN = 16
+
 # Names that stand in, by gender and script.
 GIVEN = {
     "male latin": "Adam Alan Anton Ben Carl David Eric Felix Frank George Henry Hugo Ivan Jack Jonas Karl Leo Lucas Mark Martin Max Noah Oscar Paul Peter Ralph Simon Theo Thomas Victor Walter Xavier",
@@ -125,8 +129,11 @@ def _luhn(digits: Column) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
-def _masked(rest: Column, stream: Column, shift: int = 0) -> Column:
-    """Letters give way to letters of their case, digits to digits; all other signs stay."""
+def _masked(rest: Column, stream: Column, shift: int = 0, whole: bool = False) -> Column:
+    """Letters give way to letters of their case, digits to digits; all other signs stay.
+
+    ``whole``: nothing stays. ASCII signs give way to such signs, letters of other scripts to a-z.
+    """
     drawn = F.transform(F.split(rest, ""), lambda c, i: F.struct(c.alias("c"), _byte(stream, i + shift).alias("b")))
 
     def one(x: Column) -> Column:
@@ -136,12 +143,25 @@ def _masked(rest: Column, stream: Column, shift: int = 0) -> Column:
             .when(c.rlike("^[a-f]$"), F.substring(F.lit("abcdef"), b % 6 + 1, F.lit(1)))
             .when(c.rlike("^[g-z]$"), F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), b % 26 + 1, F.lit(1)))
             .when(c.rlike("^[A-Z]$"), F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), b % 26 + 1, F.lit(1)))
-            .otherwise(c)
+            .otherwise(other(c, b))
         )
 
+    def other(c: Column, b: Column) -> Column:
+        if not whole:
+            return c
+        return F.when(c.rlike("^[!-~]$"), F.substring(F.lit(ASCII_SIGNS), b % len(ASCII_SIGNS) + 1, F.lit(1))).otherwise(
+            F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), b % 26 + 1, F.lit(1)))
+
     return F.array_join(F.transform(drawn, one), "")
 
 
+def _wider(x: Column, after: int, digits: bool) -> Column:
+    """Further signs for an entity that lost more than ``after`` draws, one more each time: its format may have too few values."""
+    drawn = F.transform(F.sequence(F.lit(1), F.greatest(x["attempt"] - after, F.lit(1))), lambda i: (_byte(x["stream"], i + 40) % 10).cast("string") if digits
+                        else F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), _byte(x["stream"], i + 40) % 26 + 1, F.lit(1)))
+    return F.when(x["attempt"] > after, F.array_join(drawn, "")).otherwise("")
+
+
 def _laid_out(mention: Column, signs: Column) -> Column:
     """Signs put in the places of a mention's digits and letters, its separators as they were."""
     at = lambda i: F.length(_plain(F.substring(mention, F.lit(1), i)))
@@ -153,7 +173,7 @@ def _mask(x: Column) -> Column:
     """Masked signs: of the user part of an address, the value of a secret, else of the letters and digits alone."""
     return (
         F.when(x["k"] == "email", _masked(F.lower(F.regexp_extract(x["e"], "^([^@]+)@", 1)), x["stream"]))
-        .when(x["k"] == "secret", _masked(x["rest"], x["stream"]))
+        .when(x["k"] == "secret", _masked(x["rest"], x["stream"], whole=True))
         .when(x["k"].isin("ip", "name"), "").otherwise(_masked(_plain(x["rest"]), x["stream"]))
     )
 
@@ -174,12 +194,14 @@ def _made(x: Column) -> Column:
     family = F.when(x["attempt"] > 1, F.concat(_family(x, 1), F.lit("-"), _family(x, 5))).otherwise(_family(x, 1))
     name = F.when(x["rest"].contains(" "), F.concat(given, F.lit(" "), family)).otherwise(family)
     body = F.substring(x["mask"], F.lit(1), F.length(x["mask"]) - 1)
+    # Free in length: more letters from the third draw on. Fixed: more digits, once OFTEN draws were taken.
+    letters, digits = _wider(x, 1, False), _wider(x, OFTEN, True)
     return (
-        F.when(x["k"] == "email", F.concat(x["mask"], F.lit("@"), _masked(domain, x["stream"], 31), top))
-        .when(x["k"] == "ip", octets).when(x["k"] == "name", F.concat(x["lead"], name))
-        .when(x["k"] == "card", _laid_out(x["e"], F.concat(body, _luhn(body))))
-        .when(x["k"] == "secret", F.concat(x["lead"], x["mask"]))
-        .otherwise(F.concat(x["lead"], _laid_out(x["rest"], x["mask"])))
+        F.when(x["k"] == "email", F.concat(x["mask"], letters, F.lit("@"), _masked(domain, x["stream"], 31), top))
+        .when(x["k"] == "ip", F.concat(octets, digits)).when(x["k"] == "name", F.concat(x["lead"], name))
+        .when(x["k"] == "card", F.concat(_laid_out(x["e"], F.concat(body, _luhn(body))), digits))
+        .when(x["k"] == "secret", F.concat(x["lead"], x["mask"], letters))
+        .otherwise(F.concat(x["lead"], _laid_out(x["rest"], x["mask"]), digits))
     )
 
 
@@ -202,7 +224,8 @@ def settled(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, attempt) of the entities whose first surrogate is taken: each gets the next free one.
 
     ``entities`` has (kind, canon, mention) with one mention per entity. A surrogate is taken if another
-    entity has it already or if it is itself an entity of the corpus. Repeats until all are distinct.
+    entity has it already or if it is itself an entity of the corpus. Repeats until all are distinct, which ends as
+    later draws have ever more values: see ``_wider``; names get a second family name.
     """
     now = stored(entities.withColumn("attempt", F.lit(0)), "entities")
     while True:

@@ -224,6 +224,19 @@ def test_collisions_are_settled(spark, tmp_path):
     assert len(set(addresses)) == len(addresses)
 
 
+def test_secrets_without_ascii_letters_and_narrow_formats(spark, tmp_path):
+    values = ["********", "......", "парольпароль", "пароль2024", "密码密码密码", *[f"{c}*****" for c in "abcdef"]]
+    rows = [(k, f"password: {v} stays") for k, v in enumerate(values)]
+    mails = [(100 + k, f"mail {u}@{d}.com now") for k, (u, d) in enumerate([("_", "-"), *[(a, b) for a in "abcdef" for b in "abcdef"]])]
+    spark.createDataFrame(rows + mails, "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    new = {r.doc_id: r.text for r in surrogates.replace(spark.read.parquet(f"{tmp_path}/d"), "key").collect()}
+    made = [re.fullmatch(r"password: (\S+) stays", new[k])[1] for k in range(len(values))]
+    assert not set(made) & set(values) and len(set(made)) == len(made)
+    assert all(len(m) >= len(v) and m.isascii() for m, v in zip(made, values)) and "пароль" not in new[3] and made[0] != values[0]
+    sent = [new[k].split()[1] for k, _ in mails]
+    assert len(set(sent)) == len(sent) and not set(sent) & {t.split()[1] for _, t in mails}
+
+
 def test_private_data_of_the_table_goes(spark, sf):
     found = queries.QUERIES["op8_surrogates"](spark, sf).withColumnRenamed("text", "new").join(queries.table(spark, sf, "documents"), "doc_id")
     seen = 0
