@@ -26,8 +26,9 @@ PATTERNS = {
     "name": rf"(?<!\p{{L}})(?:{MALE_TITLES}|{FEMALE_TITLES}|{MALE_TITLES_CYRILLIC}|{FEMALE_TITLES_CYRILLIC}) \p{{Lu}}[\p{{L}}'-]{{1,30}}(?: \p{{Lu}}[\p{{L}}'-]{{1,30}})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# Every kind needs one of these signs, or one of these words of a title; most texts have neither and are not searched.
+# Every kind needs one of these signs, the prefix of a key, or one of these words of a title; most texts have none and are not searched.
 SIGNS = "[0-9@=:]"
+KEY_PREFIX = "AKIA"
 TITLE_PARTS = "Mr Ms Miss Herr Monsieur Señor Sr. Sra. Frau Mme Madame господин госпожа г-н г-жа".split()
 
 # Draws of a value of fixed format before it is made longer.
@@ -215,7 +216,7 @@ def mentions(text: str) -> Column:
     """All mentions of a text in order; an empty array for a null text."""
     value = F.coalesce(F.col(text), F.lit(""))
     possible = value.rlike(SIGNS)
-    for part in TITLE_PARTS:
+    for part in [KEY_PREFIX, *TITLE_PARTS]:
         possible = possible | F.contains(value, F.lit(part))
     return F.when(possible, F.regexp_extract_all(value, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
