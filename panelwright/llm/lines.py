@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelwright.llm.bpe import slices
 from panelwright.operators.joins import join_aggregate
-from panelwright.session import stored
+from panelwright.session import numbered, stored
 
 MIN_WORDS, MAX_REPEATED = 50, 50
 # A line is above the limit when more distinct documents of its host hold it than both of these.
@@ -63,8 +63,11 @@ def counts_of(text: str) -> tuple[int, int, int, int, int, dict[int, int]]:
 
 def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """(_place, key, host, the counts, lines array of (h, w)): one row per document, in one pass over the texts."""
+    return _profiled(docs.select(F.monotonically_increasing_id().alias("_place"), F.col(key), F.col(host).alias("_host"), F.col(text)), text)
+
+
+def _profiled(base: DataFrame, text: str) -> DataFrame:
     numbers = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    base = docs.select(F.monotonically_increasing_id().alias("_place"), F.col(key), F.col(host).alias("_host"), F.col(text))
     kinds = "array<struct<h: bigint, w: bigint>>"
     schema = base.drop(text).select("*", *[F.lit(0).cast("long").alias(n) for n in numbers], F.lit(None).cast(kinds).alias("_lines")).schema
 
@@ -121,14 +124,20 @@ def rules(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
     Only hashes of lines are shuffled, never texts. Null hosts and keys and repeated rows count like any
     other; an empty table gives no rows.
     """
-    profiled = stored(profile(docs, key, text, host), "profiles")
+    return _verdicts(profile(docs, key, text, host), min_documents, max_share)
+
+
+def _verdicts(profiles: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE) -> DataFrame:
+    profiled = stored(profiles, "profiles")
     return judged(profiled, stored(common_lines(profiled, min_documents, max_share), "common-lines"))
 
 
 def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """The documents that pass, all their columns, without the lines above the limit. ``docs`` must be a stored table."""
-    verdicts = stored(rules(docs, key, text, host).filter("kept").select("_place", "_drop"), "verdicts")
-    placed = docs.select(F.monotonically_increasing_id().alias("_place"), F.struct("*").alias("_row"))
+    """The documents that pass, all their columns, without the lines above the limit."""
+    placed = numbered(docs, "numbered")
+    row = F.col("_row")
+    base = placed.select("_place", row[key].alias(key), row[host].alias("_host"), row[text].alias(text))
+    verdicts = stored(_verdicts(_profiled(base, text)).filter("kept").select("_place", "_drop"), "verdicts")
 
     @F.pandas_udf("string")
     def without(texts, drops):

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelwright.llm.bpe import slices
 from panelwright.llm.common import components
 from panelwright.operators.joins import join_aggregate
-from panelwright.session import stored
+from panelwright.session import numbered, stored
 
 # Fingerprints of a tile; a pair of tiles takes TILE * TILE comparisons.
 TILE = 8192
@@ -167,11 +167,8 @@ def groups(docs: DataFrame, words: int = 4, radius: int = 4, seed: int = 42, key
 
 
 def first_of_each(docs: DataFrame, words: int = 4, radius: int = 4, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that come first in their component, by key and then by place; all their columns.
-
-    ``docs`` must be a stored table, as its rows are told apart by their place in it.
-    """
-    placed = docs.select(F.monotonically_increasing_id().alias("_place"), F.struct("*").alias("_row"))
+    """The rows of ``docs`` that come first in their component, by key and then by place; all their columns."""
+    placed = numbered(docs, "numbered")
     own = F.col("_row")[key]
     ranked = placed.select(F.struct(own.isNull().alias("missing"), own.alias("key"), "_place").alias("_key"), F.col("_row")[text].alias("_text"))
     found = groups(ranked, words, radius, seed, "_key", "_text")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from panelwright.operators.joins import join_aggregate
-from panelwright.session import sized, stored
+from panelwright.session import numbered, sized, stored
 
 _BASE = 0xD6E8FEB86659FD93
 # Bytes of a text that are scanned at once.
@@ -278,9 +278,10 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _placed(docs: DataFrame, text: str) -> DataFrame:
-    data = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    return docs.select(F.monotonically_increasing_id().alias("_place"), data.alias("_data"))
+def _texts(placed: DataFrame, text: str, *more: str) -> DataFrame:
+    """(_place, _data, more columns) of numbered rows."""
+    data = F.coalesce(F.col("_row")[text], F.lit("")).cast("binary")
+    return placed.select("_place", *[F.col("_row")[c].alias(c) for c in more], data.alias("_data"))
 
 
 def _spans(texts: DataFrame, length: int) -> DataFrame:
@@ -293,11 +294,11 @@ def removed(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str =
 
     All places of a repeated string are removed, judged on the texts as they come; matches do not cross
     documents. Null and empty texts and texts under ``length`` bytes keep all. Null keys and repeated rows are rows
-    like any other. ``docs`` must be a stored table, as its rows are told apart by their place in it.
+    like any other.
     """
-    texts = _placed(docs, text)
-    spans = _spans(texts, length)
-    whole = docs.select(F.monotonically_increasing_id().alias("_place"), F.col(key), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_data"))
+    placed = numbered(docs.select(key, text), "numbered")
+    spans = _spans(_texts(placed, text), length)
+    whole = _texts(placed, text, key)
     names = [key, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     places = sized(spans.select("_place"), "span-places")
     kept = whole.join(places, "_place", "left_anti").select(
@@ -323,8 +324,8 @@ def without_repeats(docs: DataFrame, length: int = 400, text: str = "text") -> D
 
     Where a cut would split a character, the character goes as a whole.
     """
-    spans = _spans(_placed(docs, text), length)
-    placed = docs.select(F.monotonically_increasing_id().alias("_place"), F.struct("*").alias("_row"))
+    placed = numbered(docs, "numbered")
+    spans = _spans(_texts(placed, text), length)
     places = sized(spans.select("_place"), "span-places")
 
     @F.pandas_udf("string")

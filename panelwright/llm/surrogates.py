@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelwright.operators.joins import join_aggregate
-from panelwright.session import sized, stored
+from panelwright.session import numbered, sized, stored
 
 # What the patterns look for.
 ASCII_SIGNS = "!#$%*+-.:;=?@^_~"
@@ -251,10 +251,9 @@ def replace(docs: DataFrame, key: str, text: str = "text", count: str = "n_entit
     Mentions of one entity get one surrogate in all documents, different entities different ones. Null
     texts stay null; documents without a mention stay as they are. A column named ``count`` is replaced. Texts are
     not shuffled, unless more than a broadcast's worth of documents hold entities whose surrogate collided.
-    ``docs`` must be a stored table.
     """
     docs = docs.drop(count)
-    placed = docs.select(F.monotonically_increasing_id().alias("_place"), F.struct("*").alias("_row"), F.col(text).alias("_text"))
+    placed = numbered(docs, "numbered").withColumn("_text", F.col("_row")[text])
     found = placed.select("_place", F.explode(described(mentions("_text"))).alias("_m"))
     found = found.select("_place", F.col("_m.e").alias("_e"), F.col("_m.k").alias("_kind"), F.col("_m.canon").alias("_canon"))
     found = stored(found, "mentions")

@@ -99,13 +99,14 @@ def revisits(pages: DataFrame, key: str, smallest: int = SMALLEST_REVISIT) -> Da
 def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html", segment: int = SEGMENT) -> None:
     """Writes gzipped archives, one record per page and its continuations, to a new folder.
 
-    A null payload is empty, a null url is about:blank. ``pages`` must be a stored table: rows are named by
-    their key and place in it, so repeated rows keep records of their own. Spark's own writer puts the two
+    A null payload is empty, a null url is about:blank. Rows are named by
+    their key and a number, so repeated rows keep records of their own. Spark's own writer puts the two
     line ends behind each record, so any store that Spark writes to will do.
     """
     body = F.coalesce(F.col(html), F.lit("")).cast("binary")
     placed = pages.select(F.monotonically_increasing_id().alias("_place"), F.col(key).alias("_key"), F.col(url).alias("_url"), body.alias("_body"))
-    placed = placed.withColumn("_digest", F.sha1("_body")).withColumn("_bytes", F.length("_body").cast("long"))
+    # Stored with their places, as places worked out in another scan may differ (``session.numbered``).
+    placed = stored(placed.withColumn("_digest", F.sha1("_body")).withColumn("_bytes", F.length("_body").cast("long")), "numbered")
     known = sized(revisits(placed.withColumnRenamed("_key", key), key), "revisits")
     work = placed.join(known, "_place", "left").select("_place", "_key", "_url", "_body", "_digest", "refers_to", "_refers_place")
 

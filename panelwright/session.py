@@ -72,6 +72,15 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def numbered(frame: DataFrame, label: str) -> DataFrame:
+    """(_place, _row): the frame's rows with a number each, stored.
+
+    Passes that tell rows apart must read the number here. Worked out anew in another scan it may differ, as the
+    splits of a scan follow the executors of the moment.
+    """
+    return stored(frame.select(F.monotonically_increasing_id().alias("_place"), F.struct("*").alias("_row")), label)
+
+
 def is_small(kept: DataFrame, max_rows: int | None = None) -> bool:
     """Whether a stored table may be broadcast, by its files' bytes and its counted rows."""
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows

@@ -1,7 +1,10 @@
 """The stages of the pipeline, one after the other, and their decisions."""
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from panelwright.llm import common, lines
+from panelwright.llm import common, lines, simhash, suffixes, surrogates, warc
 from tests.llm.test_duplicates import simple_print, simple_removed
 
 
@@ -39,3 +42,41 @@ def test_pipeline_at_the_edges(spark, sf, edge_docs, no_docs, tmp_path):
     out = stages(spark, edge_docs, sf, f"{tmp_path}/edge")
     assert all(d.columns == edge_docs.columns for d in out[1:-1])
     assert [d.count() for d in stages(spark, no_docs, sf, f"{tmp_path}/none")] == [0] * 6
+
+
+@pytest.mark.parametrize("name", ["rules", "first", "repeats", "surrogates", "warc"])
+def test_rows_keep_their_places_when_splits_change(spark, tmp_path, monkeypatch, name):
+    shared = " ".join(f"passage{k} of both" for k in range(40))
+    prose = [" ".join(f"{chr(97 + k)}{chr(97 + j % 26)}{j // 26}{'x' * (k % 5)}" for j in range(70)) for k in range(16)]
+    ips = [f"at 10.0.{k}.{j} now" for k in range(16) for j in (1,)]
+    rows = [(k, f"{p}\n{ip}\nMr. Abel{chr(97 + k)}" + (f" {shared}" if k in (3, 12) else "")) for k, (p, ip) in enumerate(zip(prose, ips))]
+    for k, row in enumerate(rows):
+        spark.createDataFrame([(*row, "a", "http://a")], "doc_id long, text string, source string, url string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    real, turn = suffixes.stored, iter(range(10_000))
+
+    def shifted(frame, label):
+        out = real(frame, label)
+        spark.conf.set("spark.sql.files.minPartitionNum", str([16, 1, 3][next(turn) % 3]))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        return out
+
+    for module in (lines, simhash, suffixes, surrogates, warc):
+        monkeypatch.setattr(module, "stored", shifted)
+    # All surrogates of the first draw count as taken, so that each document is looked up by its place.
+    monkeypatch.setattr(surrogates, "settled", lambda entities, key: entities.select("kind", "canon", F.lit(1).alias("attempt")))
+    run = {
+        "rules": lambda d: lines.clean(d), "first": lambda d: simhash.first_of_each(d), "repeats": lambda d: suffixes.without_repeats(d, 200),
+        "surrogates": lambda d: surrogates.replace(d, "key"), "warc": lambda d: warc.round_trip(d.unionByName(d), "doc_id", "url", "text"),
+    }[name]
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        found = sorted(str(tuple(r)) for r in run(docs).collect())
+        monkeypatch.undo()
+        if name == "surrogates":
+            monkeypatch.setattr(surrogates, "settled", lambda entities, key: entities.select("kind", "canon", F.lit(1).alias("attempt")))
+        assert found == sorted(str(tuple(r)) for r in run(docs).collect())
+        assert len(found) == (32 if name == "warc" else 16)
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
