@@ -13,6 +13,11 @@ SECRET_NAMES = "password|passwd|pwd|secret|token|api_key|apikey|api-key|access_k
 MALE_TITLES, FEMALE_TITLES = r"Mr\.?|Herr|Monsieur|Señor|Sr\.", r"Mrs\.?|Ms\.?|Miss|Frau|Mme\.?|Madame|Señora|Sra\."
 MALE_TITLES_CYRILLIC, FEMALE_TITLES_CYRILLIC = "господин|г-н", "госпожа|г-жа"
 
+_TITLES = f"(?:{MALE_TITLES}|{FEMALE_TITLES}|{MALE_TITLES_CYRILLIC}|{FEMALE_TITLES_CYRILLIC})"
+# What may stand before a word of a name; no title starts a word of the name before it.
+_PARTICLES = r"(?:(?:von|van|der|den|de|del|della|di|da|dos|du|la|le|zu|zur|zum|und|y|bin|ibn|al|el|Dr\.?|Prof\.?) ){0,4}+"
+_WORD = rf"{_PARTICLES}(?!{_TITLES} )(?:\p{{Lu}}\. )*+\p{{Lu}}[\p{{L}}\p{{M}}'’-]++"
+
 # One alternative per kind, in order of preference; none can match nothing, none backtracks over a long run.
 PATTERNS = {
     "secret": rf"(?<![A-Za-z0-9_])(?i:{SECRET_NAMES})[ \t]{{0,3}}[=:][ \t]{{0,3}}[\"']?[^\s\"']{{6,}}",
@@ -22,8 +27,9 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])",
-    "name": rf"(?<!\p{{L}})(?:{MALE_TITLES}|{FEMALE_TITLES}|{MALE_TITLES_CYRILLIC}|{FEMALE_TITLES_CYRILLIC}) \p{{Lu}}[\p{{L}}'-]{{1,30}}(?: \p{{Lu}}[\p{{L}}'-]{{1,30}})?",
+    "phone": r"(?<![0-9A-Za-z])(?:\+\(?[0-9]\)?(?:[ .-]?\(?[0-9]\)?){6,14}(?![0-9])|\(?[0-9]{2}\)?(?:[ .-][0-9]{2}){3,6}(?![0-9])"
+             r"|(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9]))",
+    "name": rf"(?<!\p{{L}}){_TITLES} {_WORD}(?: {_WORD})*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Every kind needs one of these signs, the prefix of a key, or one of these words of a title; most texts have none and are not searched.
@@ -179,9 +185,9 @@ def _mask(x: Column) -> Column:
     )
 
 
-def _family(x: Column, shift: int) -> Column:
-    latin = F.concat(*[_pick(SYLLABLES["latin"], _byte(x["stream"], F.lit(shift + k))) for k in range(4)])
-    cyrillic = F.concat(*[_pick(SYLLABLES["cyrillic"], _byte(x["stream"], F.lit(shift + k))) for k in range(4)])
+def _family(x: Column, shift: int | Column) -> Column:
+    latin = F.concat(*[_pick(SYLLABLES["latin"], _byte(x["stream"], F.lit(shift) + k)) for k in range(4)])
+    cyrillic = F.concat(*[_pick(SYLLABLES["cyrillic"], _byte(x["stream"], F.lit(shift) + k)) for k in range(4)])
     return F.initcap(F.when(x["group"].endswith("latin"), latin).otherwise(cyrillic))
 
 
@@ -191,9 +197,11 @@ def _made(x: Column) -> Column:
     given = F.lit("")
     for name, words in GIVEN.items():
         given = F.when(x["group"] == name, _pick(words, _byte(x["stream"], F.lit(0)))).otherwise(given)
-    # One name gives way to a family name, two to both; a second family name widens the room after collisions.
+    # One name gives way to a family name, more to a given one and family names; a second one widens the room after collisions.
     family = F.when(x["attempt"] > 1, F.concat(_family(x, 1), F.lit("-"), _family(x, 5))).otherwise(_family(x, 1))
-    name = F.when(x["rest"].contains(" "), F.concat(given, F.lit(" "), family)).otherwise(family)
+    more = F.size(F.split(x["rest"], " ")) - 2
+    further = F.when(more > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(more, F.lit(1))), lambda i: F.concat(F.lit(" "), _family(x, i * 4 + 5))), "")).otherwise("")
+    name = F.when(more >= 0, F.concat(given, F.lit(" "), family, further)).otherwise(family)
     body = F.substring(x["mask"], F.lit(1), F.length(x["mask"]) - 1)
     # Free in length: more letters from the third draw on. Fixed: more digits, once OFTEN draws were taken.
     letters, digits = _wider(x, 1, False), _wider(x, OFTEN, True)

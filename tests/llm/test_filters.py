@@ -251,6 +251,21 @@ def test_no_kind_is_filtered_out_before_the_search(spark):
     assert [(r.text, r.found) for r in docs.collect() if r.found != [r.text]] == []
 
 
+def test_numbers_and_names_are_found_whole(spark):
+    whole = {
+        "phone": ["+14155550123", "01 23 45 67 89", "+33 6 12 34 56 78", "+49 (0) 30 1234567", "+1 (212) 555-0199", "212 555 0199", "01-23-45-67-89"],
+        "name": ["Señor Juan Carlos Pérez", "Frau von Berg", "Mr. J. R. Smith", "Herr Dr. Otto von der Heide", "Mr. Smith", "господин Иван Иванович Петров"],
+    }
+    rows = [(kind, text) for kind, texts in whole.items() for text in texts]
+    docs = spark.createDataFrame(rows, "kind string, text string").withColumn("text", F.concat(F.lit("so "), "text", F.lit(", then")))
+    assert [(r.text, r.found) for r in docs.select("text", surrogates.mentions("text").alias("found")).collect() if [f"so {f}, then" for f in r.found] != [r.text]] == []
+    made = surrogates.surrogates(surrogates.described(surrogates.mentions("text")), lambda x: F.lit(0), "key")
+    for r in docs.select("kind", "text", made.alias("made")).collect():
+        assert len(r.made[0].split()) == len(r.text.split()) - 2 and not set(re.findall(r"\w{3,}", r.made[0])[1:]) & set(re.findall(r"\w{3,}", r.text)), r
+    two = spark.createDataFrame([("Herr Braun Frau Weiss. Mr Fox Mr. Hare " + "Mr " + "Word " * 20_000,)], "text string").select(surrogates.mentions("text").alias("f")).first().f
+    assert two[:4] == ["Herr Braun", "Frau Weiss", "Mr Fox", "Mr. Hare"] and len(two) == 5 and two[4].count("Word") == 20_000
+
+
 def test_private_data_of_the_table_goes(spark, sf):
     found = queries.QUERIES["op8_surrogates"](spark, sf).withColumnRenamed("text", "new").join(queries.table(spark, sf, "documents"), "doc_id")
     seen = 0
