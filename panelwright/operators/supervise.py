@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 from pyspark.storagelevel import StorageLevel
 
+from panelwright.operators.labels import LabelIndex, LabelIndexModel
 from panelwright.session import iterated
 from panelwright.spec import PanelSpec
 
@@ -34,24 +35,28 @@ FOREST_CONFIGS = {
     "rf_80_d10": {"numTrees": 80, "maxDepth": 10},
 }
 BASELINE = "baseline"
-# Codes that a category may have: the indexer gathers them on the driver.
+# Codes that a category may have for the library's indexer, which gathers them on the driver; more go to a stored index.
 MOST_CODES = 10_000
 FITS_AT_ONCE = 4
 RESIDUAL_NOTE = "salario_mensual - prediction; positivo = subestimacion"
 
 
-def preprocessing_stages(categorical: tuple[str, ...], numeric: tuple[str, ...], features: str = "features") -> list:
+def preprocessing_stages(
+    categorical: tuple[str, ...], numeric: tuple[str, ...], features: str = "features", many: tuple[str, ...] = ()
+) -> list:
     """Alphabetical index and one-hot per category, then one vector.
 
-    Unseen and NULL categories get a slot of their own; NULL numbers are an error.
-    The indexer gathers labels, so categories must be code columns of few values.
+    Unseen and NULL categories get a slot of their own; NULL numbers are an error. The library's indexer gathers
+    labels; those of the categories in ``many`` are indexed as a stored table and looked up by a join.
     """
-    indexer = StringIndexer(
-        inputCols=list(categorical),
-        outputCols=[f"{c}_idx" for c in categorical],
-        handleInvalid="keep",
-        stringOrderType="alphabetAsc",
-    )
+    few = [c for c in categorical if c not in many]
+    indexers = []
+    if few or not many:
+        indexers.append(StringIndexer(
+            inputCols=few, outputCols=[f"{c}_idx" for c in few], handleInvalid="keep", stringOrderType="alphabetAsc",
+        ))
+    if many:
+        indexers.append(LabelIndex(inputCols=list(many), outputCols=[f"{c}_idx" for c in many], handleInvalid="keep"))
     encoder = OneHotEncoder(
         inputCols=[f"{c}_idx" for c in categorical],
         outputCols=[f"{c}_ohe" for c in categorical],
@@ -61,7 +66,7 @@ def preprocessing_stages(categorical: tuple[str, ...], numeric: tuple[str, ...],
     assembler = VectorAssembler(
         inputCols=[*numeric, *[f"{c}_ohe" for c in categorical]], outputCol=features, handleInvalid="error"
     )
-    return [indexer, encoder, assembler]
+    return [*indexers, encoder, assembler]
 
 
 def linear(label: str, config: dict, max_iter: int = 200, tol: float = 1e-6) -> LinearRegression:
@@ -145,9 +150,9 @@ def fit_and_score(
     The fit rows are stored once (predictors and target only). Indexers and encoder are
     fitted once and shared; the assembled rows are kept for all estimators.
     """
-    stages = preprocessing_stages(spec.categorical_predictors, spec.numeric_predictors)
     rows = iterated(fit.select(*spec.predictors, spec.target), "fit")
-    require_few_codes(rows, spec.categorical_predictors)
+    many = many_codes(rows, spec.categorical_predictors)
+    stages = preprocessing_stages(spec.categorical_predictors, spec.numeric_predictors, many=many)
     prepared = Pipeline(stages=stages).fit(rows)
     vectors = prepared.transform(rows).select("features", spec.target).persist(StorageLevel.MEMORY_AND_DISK)
     fitted = inheritable_thread_target(fit.sparkSession)(lambda estimator: estimator.fit(vectors))
@@ -164,13 +169,12 @@ def fit_and_score(
     return Fits(scored, regression_metrics(scored, spec.target, names), pipelines)
 
 
-def require_few_codes(rows: DataFrame, categorical: tuple[str, ...]) -> None:
-    """Raise before a column of many values, such as a key, is gathered as if it held codes."""
+def many_codes(rows: DataFrame, categorical: tuple[str, ...]) -> tuple[str, ...]:
+    """The categories with more values than the driver should gather, such as keys."""
     if not categorical:
-        return
+        return ()
     found = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-    if many := {c: found[c] for c in categorical if found[c] > MOST_CODES}:
-        raise ValueError(f"too many codes in {many}")
+    return tuple(c for c in categorical if found[c] > MOST_CODES)
 
 
 def prediction_column(name: str) -> str:
@@ -234,7 +238,9 @@ def pipeline_inputs(model: PipelineModel) -> dict[str, list[str]]:
     """Input columns of the indexers, and the raw columns that reach the assembler."""
     indexed, encoded, assembled = [], [], []
     for stage in model.stages:
-        if isinstance(stage, StringIndexerModel):
+        if isinstance(stage, LabelIndexModel):
+            indexed += stage.getInputCols()
+        elif isinstance(stage, StringIndexerModel):
             indexed += stage.getInputCols() if stage.isSet("inputCols") else [stage.getInputCol()]
         elif isinstance(stage, OneHotEncoderModel):
             encoded.append(stage.getOutputCols())

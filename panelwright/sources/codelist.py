@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from panelwright.functions.codes import dictionary_code, stripped
+from panelwright.operators.joins import lookup
 from panelwright.session import sized
 
 
@@ -77,19 +78,18 @@ def recode_by_list(
 
     ``sheet_id`` maps a column of the frame to the sheet's column (period to period).
     """
-    keys = {f: f"_l_{s}" for f, s in sheet_id.items()}
-    known = sized(
+    known = (
         lists.filter(F.col("variable") == variable)
-        .select(*[F.col(s).alias(f"_l_{s}") for s in sheet_id.values()], F.col("code").alias("_l_code"))
-        .distinct(),
-        "code-list",
+        .select(*[F.col(s).alias(f"_l_{s}") for s in sheet_id.values()], F.col("code").alias("_l_code"), F.lit(True).alias("_listed"))
+        .distinct()
     )
-    match = [F.col(f) == F.col(c) for f, c in keys.items()] + [F.col(code) == F.col("_l_code")]
-    return frame.join(known, match, "left").withColumn(
-        code, F.when(F.col("_l_code").isNotNull(), F.col(code)).otherwise(F.lit(unknown))
-    ).drop("_l_code", *keys.values())
+    keys = {f: f"_l_{s}" for f, s in sheet_id.items()} | {code: "_l_code"}
+    return lookup(frame, known, keys, "code-list").withColumn(
+        code, F.when(F.col("_listed"), F.col(code)).otherwise(F.lit(unknown))
+    ).drop("_listed")
 
 
-def with_labels(frame: DataFrame, lists: DataFrame, on: list, label: str, output: str, unknown: str) -> DataFrame:
-    """Looks up a label; rows without one get ``unknown``."""
-    return frame.join(lists, on, "left").withColumn(output, F.coalesce(F.col(label), F.lit(unknown)))
+def with_labels(frame: DataFrame, lists: DataFrame, on: dict[str, str], label: str, output: str, unknown: str) -> DataFrame:
+    """Looks up a label; rows without one get ``unknown``. ``on`` maps columns of the frame to the key of ``lists``."""
+    found = lookup(frame, lists.select(*on.values(), F.col(label).alias("_found")), on, "labels")
+    return found.withColumn(output, F.coalesce(F.col("_found"), F.lit(unknown))).drop("_found")

@@ -248,9 +248,7 @@ def q_lookup_join(spark: SparkSession, sf: str) -> DataFrame:
     customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
     region = table(spark, sf, "region").filter("r_regionkey < 3")
     placed = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-    labelled = with_labels(
-        placed, region, [F.col("n_regionkey") == F.col("r_regionkey")], "r_name", "label", "UNKNOWN"
-    )
+    labelled = with_labels(placed, region, {"n_regionkey": "r_regionkey"}, "r_name", "label", "UNKNOWN")
     return labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelwright.operators import errors, rules, segment, supervise
+from panelwright.operators.labels import LabelIndex, label_index
 from panelwright.operators.percentiles import percentiles
 from panelwright.operators.quality import duplicate_audit
 from panelwright.operators.reshape import to_long, union_all
@@ -40,6 +41,23 @@ def q_string_index(spark: SparkSession, sf: str) -> DataFrame:
     return indexed.groupBy("c_mktsegment", F.col("c_mktsegment_idx").alias("idx")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+WITH i AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS idx FROM (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS label FROM lineitem WHERE l_quantity <= 25))
+SELECT l_orderkey, l_linenumber, CAST(coalesce(idx, (SELECT count(*) FROM i)) AS DOUBLE) AS idx FROM lineitem LEFT JOIN i ON label = CAST(l_partkey AS VARCHAR)""")
+def q_label_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts numbered by the lines of small quantity, by an index that is a table; parts that it never saw share the last number."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    index = LabelIndex(inputCols=["l_partkey"], outputCols=["idx"]).fit(lines.filter("l_quantity <= 25"))
+    return index.transform(lines).select("l_orderkey", "l_linenumber", "idx")
+
+
+@query("""
+SELECT CAST(o_custkey AS VARCHAR) AS label, dense_rank() OVER (ORDER BY CAST(o_custkey AS VARCHAR)) - 1 AS idx, count(*) AS n FROM orders GROUP BY o_custkey""")
+def q_label_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers numbered by range: every label, its place and its rows."""
+    return label_index(table(spark, sf, "orders"), "o_custkey")
+
+
 @query("""
 SELECT c_mktsegment, CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 1 ELSE 0 END AS s0, CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS s1,
   CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING') THEN 1 ELSE 0 END AS s_unknown, count(*) AS n FROM customer GROUP BY c_mktsegment""")
