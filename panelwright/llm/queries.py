@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import bpe, common, hosts, lines, multiset, packing, simhash, suffixes, surrogates, trie, warc
+from panelwright.llm import bpe, collocations, common, hosts, lines, multiset, packing, simhash, suffixes, surrogates, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,3 +141,35 @@ def op9_urls(spark, sf):
 @query()
 def op10_multiset(spark, sf):
     return multiset.compare_with_next(table(spark, sf, "documents"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+COLLOCATIONS_SQL = rf"""WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+pieces AS (SELECT row_number() OVER () AS p, lang, piece FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?
+-
+]')) AS piece FROM d)),
+w AS (SELECT p, lang, regexp_extract_all(piece, '[^ 	]+') AS ws FROM pieces),
+placed AS (SELECT p, lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+one AS (SELECT lang, ws[i] AS x, count(*) AS f FROM placed GROUP BY ALL),
+two AS (SELECT lang, ws[i] AS x, ws[i + 1] AS y, count(*) AS f FROM placed WHERE i + 1 <= len(ws) GROUP BY ALL),
+three AS (SELECT lang, ws[i] AS x, ws[i + 1] AS y, ws[i + 2] AS z, count(*) AS f FROM placed WHERE i + 2 <= len(ws) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang),
+inner_pairs AS (SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM three WHERE f >= 10 UNION ALL SELECT lang, y, z, f FROM three WHERE f >= 10) GROUP BY lang, x, y),
+cuts AS (
+  SELECT two.lang, two.x || ' ' || two.y AS phrase, two.f AS a, 1 AS k, p.f AS l, q.f AS r FROM two
+    JOIN one p ON p.lang = two.lang AND p.x = two.x JOIN one q ON q.lang = two.lang AND q.x = two.y
+    LEFT JOIN inner_pairs b ON b.lang = two.lang AND b.x = two.x AND b.y = two.y
+    WHERE two.f >= 10 AND (b.f IS NULL OR 100 * b.f < 50 * two.f)
+  UNION ALL SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 1, p.f, q.f FROM three t
+    JOIN one p ON p.lang = t.lang AND p.x = t.x JOIN two q ON q.lang = t.lang AND q.x = t.y AND q.y = t.z WHERE t.f >= 10
+  UNION ALL SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 2, p.f, q.f FROM three t
+    JOIN two p ON p.lang = t.lang AND p.x = t.x AND p.y = t.y JOIN one q ON q.lang = t.lang AND q.x = t.z WHERE t.f >= 10),
+scored AS (SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT ranked.lang, rank, phrase, a, l, r, n.n, score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000"""
+
+
+@query(COLLOCATIONS_SQL)
+def op13_collocations(spark, sf):
+    return collocations.mine(table(spark, sf, "documents"), least=10, inside=50, most=2000)
