@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.llm import bpe, collocations, common, hosts, lines, multiset, packing, simhash, suffixes, surrogates, trie, warc
+from panelwright.llm import bpe, collocations, common, divergence, hosts, lines, multiset, packing, simhash, sketches, suffixes, surrogates, trie, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,6 +144,60 @@ def op10_multiset(spark, sf):
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+NEAR_SQL = rf"""WITH RECURSIVE w AS (SELECT row_number() OVER () AS d, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^ \t-\r]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT d, s FROM (
+  SELECT d, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS s FROM w)),
+size AS (SELECT d, count(*) AS n FROM sh GROUP BY d),
+named AS (SELECT d, n, sets FROM (SELECT d, md5(string_agg(s, chr(10) ORDER BY s)) AS sets FROM sh GROUP BY d) JOIN size USING (d)),
+one AS (SELECT sets, min(d) AS d FROM named GROUP BY sets),
+lone AS (SELECT sh.d, s FROM sh JOIN one ON one.d = sh.d),
+common AS (SELECT a.d AS a, b.d AS b, count(*) AS c FROM lone a JOIN lone b ON a.s = b.s AND a.d < b.d GROUP BY a.d, b.d),
+link AS (SELECT a, b FROM common JOIN size x ON x.d = a JOIN size y ON y.d = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link UNION SELECT d, d FROM one),
+reach AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b),
+class AS (SELECT x.sets, y.sets AS other FROM reach JOIN one x ON x.d = reach.a JOIN one y ON y.d = reach.b),
+least AS (SELECT class.sets, min(w.doc_id) AS component_id FROM class JOIN named ON named.sets = class.other JOIN w ON w.d = named.d GROUP BY class.sets)
+SELECT w.doc_id, coalesce(named.n, 0) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id, w.doc_id = coalesce(component_id, w.doc_id) AS kept
+FROM w LEFT JOIN named ON named.d = w.d LEFT JOIN least ON least.sets = named.sets"""
+
+
+@query(NEAR_SQL)
+def op11_sketches(spark, sf):
+    return sketches.groups(table(spark, sf, "documents"), words=3, percent=85)
+
+
+DIVERGENCE_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+w AS (SELECT d, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM d),
+kept AS (SELECT lang, w FROM w GROUP BY lang, w HAVING count(DISTINCT d) >= 30),
+v AS (SELECT g.lang, count(k.w) AS v FROM (SELECT DISTINCT lang FROM d) g LEFT JOIN kept k ON k.lang = g.lang GROUP BY g.lang),
+n AS (SELECT w.lang, source, w.w, count(*) AS n FROM w JOIN kept k ON k.lang = w.lang AND k.w = w.w GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+sums AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) AS s FROM n GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.w, coalesce(n.n, 0) AS n,
+        1 + (CAST(1000000000 AS HUGEINT) * (coalesce(n.n, 0) + 5)) // (coalesce(s.s, 0) + 5 * v.v) AS p
+      FROM g JOIN kept k ON k.lang = g.lang JOIN v ON v.lang = g.lang LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source
+      LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.w = k.w),
+q AS (SELECT x.lang, x.w, 1 + (CAST(1000000000 AS HUGEINT) * (x.n + 5)) // (t.s + 5 * v.v) AS q
+      FROM (SELECT lang, w, CAST(sum(n) AS HUGEINT) AS n FROM n GROUP BY lang, w) x
+      JOIN (SELECT lang, CAST(sum(n) AS HUGEINT) AS s FROM n GROUP BY lang) t ON t.lang = x.lang JOIN v ON v.lang = x.lang),
+pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+          FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+          LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.w = x.w
+          GROUP BY a.lang, a.source, b.source),
+terms AS (SELECT p.lang, p.source, p.w AS item, CAST(p.p - q.q AS BIGINT) AS value FROM p JOIN q ON q.lang = p.lang AND q.w = p.w WHERE p.n > 0 AND p.p > q.q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, item, value,
+  CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM terms) WHERE rank <= 50"""
+
+
+@query(DIVERGENCE_SQL)
+def op12_divergence(spark, sf):
+    return divergence.audit(table(spark, sf, "documents"), least=30, most=50)
+
+
 COLLOCATIONS_SQL = rf"""WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
 pieces AS (SELECT row_number() OVER () AS p, lang, piece FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?
 -
