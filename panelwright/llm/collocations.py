@@ -331,11 +331,12 @@ def mine(
     named = phrases
     for column, extra in (("i", ["lang"]), ("j", []), ("k", [])):
         facts = words.select(F.col("id").alias("_id"), F.col("word").alias(f"word_{column}"), F.col("f").alias(f"f_{column}"), *extra)
-        named = lookup(named, facts, {column: "_id"}, f"words-{column}")
+        # Stored each time, as a split lookup has three branches, which would multiply.
+        named = stored(lookup(named, facts, {column: "_id"}, f"words-{column}"), f"with-{column}")
     pairs, triples = phrases.filter("k = 0"), phrases.filter("k > 0")
     for first, second in ("ij", "jk"):
         facts = pairs.select(F.col("i").alias("_i"), F.col("j").alias("_j"), F.col("a").alias(f"f_{first}{second}"))
-        named = lookup(named, facts, {first: "_i", second: "_j"}, "pairs")
+        named = stored(lookup(named, facts, {first: "_i", second: "_j"}, "pairs"), f"with-{first}{second}")
     around = triples.select("i", "j", "a").union(triples.select("j", "k", "a")).groupBy(F.col("i").alias("_i"), F.col("j").alias("_j")).agg(F.max("a").alias("_longest"))
     named = stored(lookup(named, around, {"i": "_i", "j": "_j"}, "longer"), "named-phrases")
     kept = named.filter((F.col("k") > 0) | F.col("_longest").isNull() | (100 * F.col("_longest") < inside * F.col("a")))
