@@ -15,14 +15,14 @@ from panelwright.session import stored
 
 # Hashes that a sketch keeps. A link may be missed with this chance at most.
 KEEP, CHANCE = 64, 1e-9
-# Members of an inverted list that are paired with each other at once; of a longer list, those of a tile.
+# Members of an inverted list that are paired with each other at once; members of a tile of texts with longer lists.
 SHORT, TILE = 32, 512
 # Members of a longer list that all others are compared with first.
 CENTRES = 3
 # Pairs of a text that share one copy of it in a join.
 PAIRS = 512
 # Rounds in which each text is checked against its likeliest partner only.
-ROUNDS = 3
+ROUNDS = 1
 # Tasks over which rows of one key are spread at least.
 SALTS = 8
 # Bytes of text that a batch of results comes from.
@@ -258,53 +258,66 @@ def linked(candidates: DataFrame, links: DataFrame | None, nodes: DataFrame, who
     return links, roots
 
 
-def remaining_pairs(entries: DataFrame, distinct: DataFrame, roots: DataFrame, keep: int, percent: int) -> DataFrame:
-    """(a, b, score) of likely pairs in long lists whose texts are not connected; every such pair is compared once in a list that it shares.
+def clusters(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root, cluster): texts that share long lists with others of another root, as many lists as it takes; stored.
 
-    A list is dealt into tiles: members of its largest connected group in some, all others in the rest. Two tiles meet in a task
-    unless both are of the largest group. Only lists with more than one group are dealt at all.
+    Pairs of such a list are not all candidates yet, so any two texts of a cluster that are not connected are still to be compared.
     """
     own = entries.join(roots.hint("merge"), "node")
-    parts = own.groupBy("v", "root").agg(F.count(F.lit(1)).alias("_c"))
-    lists = parts.groupBy("v").agg(F.sum("_c").alias("_m"), F.max("_c").alias("_most"), F.max_by("root", F.struct("_c", "root")).alias("_main"))
-    mixed = stored(lists.filter((F.col("_m") > SHORT) & (F.col("_most") < F.col("_m"))), "mixed-lists")
-    if mixed.isEmpty():
-        return distinct.sparkSession.createDataFrame([], "a long, b long, score double")
-    known = mixed.select("v", F.col("_m").alias("_rows"), "_main", F.ceil(F.col("_most") / TILE).alias("_big"), F.ceil((F.col("_m") - F.col("_most")) / TILE).alias("_small"))
-    dealt = join_aggregate(own, known, ["v"], "_rows", "inner", "mixed-known")
-    # Tiles of the largest group are numbered below zero.
-    tile = F.when(F.col("root") == F.col("_main"), -1 - F.pmod(F.xxhash64("node"), F.col("_big"))).otherwise(F.pmod(F.xxhash64("root"), F.col("_small")))
-    tiled = dealt.withColumn("tile", tile).join(distinct.select("node", "sketch").hint("merge"), "node")
+    lists = own.groupBy("v").agg(F.count(F.lit(1)).alias("_rows"), F.min("root").alias("_low"), F.max("root").alias("_high"), F.min("node").alias("_hub"))
+    mixed = lists.filter((F.col("_rows") > SHORT) & (F.col("_low") < F.col("_high"))).select("v", "_rows", "_hub")
+    spokes = join_aggregate(own, mixed, ["v"], "_rows", "inner", "mixed-lists").select(F.col("node").alias("a"), F.col("_hub").alias("b"))
+    found = components(spokes, "clusters").withColumnRenamed("root", "cluster")
+    return stored(found.join(roots.hint("merge"), "node"), "clustered")
+
+
+def shared_with(rows: np.ndarray, values: np.ndarray, sought: np.ndarray, size: int) -> np.ndarray:
+    """How many of ``sought`` each of ``size`` rows holds, whose values are sorted in one array next to their row."""
+    low, high = np.searchsorted(values, sought, "left"), np.searchsorted(values, sought, "right")
+    lengths = high - low
+    at = np.repeat(low - np.append(0, np.cumsum(lengths)[:-1]), lengths) + np.arange(lengths.sum())
+    return np.bincount(rows[at], minlength=size)
+
+
+def remaining_links(clustered: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between texts of a cluster that are not connected, one for each two roots that a task joins.
+
+    Clusters are dealt into tiles of whole sets, members of the largest root in tiles of their own. Two tiles meet in a task unless
+    both are of that root; a pair is compared once, by its sets, and only links leave the task.
+    """
+    parts = clustered.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("_c"))
+    facts = parts.groupBy("cluster").agg(F.sum("_c").alias("_m"), F.max("_c").alias("_most"), F.max_by("root", F.struct("_c", "root")).alias("_main"))
+    facts = facts.select("cluster", "_main", F.ceil(F.col("_most") / TILE).alias("_big"), F.ceil((F.col("_m") - F.col("_most")) / TILE).alias("_small"))
+    dealt = clustered.join(stored(facts, "cluster-facts").hint("merge"), "cluster")
+    # Tiles of the largest root are numbered below zero.
+    tile = F.when(F.col("root") == F.col("_main"), -1 - F.pmod(F.xxhash64("node"), F.col("_big"))).otherwise(F.pmod(F.xxhash64("node"), F.col("_small")))
     others = F.when(F.col("tile") < 0, F.sequence(F.lit(0).cast("long"), F.col("_small") - 1)).otherwise(F.sequence(-F.col("_big"), F.col("_small") - 1))
-    met = tiled.withColumn("_other", F.explode(others)).select(
-        "v", F.least("tile", "_other").alias("one"), F.greatest("tile", "_other").alias("two"), "tile", "node", "n", "root", "sketch")
-    floor = least_shared(keep, percent)
+    met = dealt.withColumn("tile", tile).withColumn("_other", F.explode(others)).select(
+        "cluster", F.least("tile", "_other").alias("one"), F.greatest("tile", "_other").alias("two"), "tile", "node", "root")
+    rows = met.join(whole.hint("merge"), "node")
 
     def run(table: pa.Table) -> pa.Table:
         first, second = table.column("one")[0].as_py(), table.column("two")[0].as_py()
-        tile, node, n, root = (table.column(c).to_numpy() for c in ("tile", "node", "n", "root"))
-        held = [table.column("sketch")[k].values.to_numpy().view(np.uint64) for k in range(table.num_rows)]
-        out = []
+        tile, node, root = (table.column(c).to_numpy() for c in ("tile", "node", "root"))
+        sets = [table.column("hashes")[k].values.to_numpy() for k in range(table.num_rows)]
+        sizes = np.array([len(x) for x in sets])
         right = np.flatnonzero(tile == second)
-        flat = np.concatenate([held[j] for j in right]) if len(right) else np.zeros(0, np.uint64)
-        starts = np.append(0, np.cumsum([len(held[j]) for j in right]))[:-1] if len(right) else np.zeros(0, np.int64)
+        values, owner = np.concatenate([sets[j] for j in right]), np.repeat(np.arange(len(right)), sizes[right])
+        order = np.argsort(values)
+        values, owner = values[order], owner[order]
+        out, joined = [], set()
         for i in np.flatnonzero(tile == first):
-            fits = (root[right] != root[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))
-            if first == second:
-                fits &= node[right] > node[i]
-            if not fits.any():
-                continue
-            # What two sketches have in common bounds what their union's sketch has.
-            common = np.add.reduceat(np.isin(flat, held[i]), starts)
-            few = np.minimum(floor, np.ceil(percent / 100 * np.minimum(n[right], n[i])))
-            for j in right[fits & (common >= few)]:
-                shared, size = estimate(held[i], held[j], keep)
-                if 100 * shared >= percent * size if size < keep else shared >= floor:
-                    out.append((min(node[i], node[j]), max(node[i], node[j]), shared / max(size, 1)))
-        a, b, score = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "score": pa.array(score, pa.float64())})
-
-    return met.groupBy("v", "one", "two").applyInArrow(run, "a long, b long, score double").distinct()
+            shared = shared_with(owner, values, sets[i], len(right))
+            near = (root[right] != root[i]) & (100 * shared >= percent * (sizes[right] + sizes[i] - shared))
+            for j in right[near]:
+                pair = (min(root[i], root[j]), max(root[i], root[j]))
+                if pair not in joined:
+                    joined.add(pair)
+                    out.append((node[i], node[j]))
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("cluster", "one", "two").applyInArrow(run, "a long, b long")
 
 
 def groups(
@@ -331,12 +344,12 @@ def groups(
     either = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
     whole = whole_sets(docs, either, distinct, words, key, text)
     links, roots = linked(candidates, None, nodes, whole, percent)
-    more = stored(remaining_pairs(entries, distinct, roots, keep, percent).join(candidates.select("a", "b").hint("merge"), ["a", "b"], "left_anti"), "more-candidates")
-    if not more.isEmpty():
-        either = more.select(F.col("a").alias("node")).union(more.select("b")).distinct()
-        others = either.join(whole.select("node").hint("merge"), "node", "left_anti")
+    clustered = clusters(entries, roots)
+    if not clustered.isEmpty():
+        others = clustered.select("node").join(whole.select("node").hint("merge"), "node", "left_anti")
         whole = whole.unionByName(whole_sets(docs, others, distinct, words, key, text))
-        links, roots = linked(more, links, nodes, whole, percent)
+        more = stored(remaining_links(clustered, whole, percent), "more-links")
+        roots = rooted(nodes, more if links is None else links.unionByName(more))
     of_set = distinct.select("node", "set", "_key", "_rows").join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     of_set = stored(of_set, "rooted-sets")
     least = of_set.groupBy("root").agg(F.min("_key").alias("component_id"))
