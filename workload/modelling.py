@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from panelwright.operators import errors, rules, segment, supervise
+from panelwright.operators import errors, gram, rules, segment, supervise
 from panelwright.operators.labels import LabelIndex, label_index
 from panelwright.operators.percentiles import percentiles
 from panelwright.operators.quality import duplicate_audit
@@ -14,7 +14,7 @@ from panelwright.operators.reshape import to_long, union_all
 from panelwright.operators.sampling import hash_sample
 from panelwright.plans import supervised
 from panelwright.plans.checks import remaining_faults
-from panelwright.session import new_folder
+from panelwright.session import new_folder, stored
 from panelwright.sources.sinks import read_document, write_document, write_table
 from panelwright.spec import PanelSpec
 from workload.tables import ALLOWED, CLEAN, SPEC, judged, query, table
@@ -148,6 +148,96 @@ def q_select_config(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+LINES_SQL = "d AS (SELECT l_extendedprice AS y, l_quantity AS x, l_discount AS z, year(l_shipdate) AS yr FROM lineitem)"
+
+
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_extendedprice", F.year("l_shipdate").alias("year"))
+
+
+@query(f"""
+WITH {LINES_SQL}, v AS (SELECT yr, [1.0, x - (SELECT avg(x) FROM d), z - (SELECT avg(z) FROM d), y - (SELECT avg(y) FROM d)] AS e FROM d)
+SELECT CAST(yr AS INTEGER) AS period, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(sum(e[i + 1] * e[j + 1]) / count(*), 4) AS mean_product
+FROM v CROSS JOIN (SELECT unnest(range(4)) AS i) CROSS JOIN (SELECT unnest(range(4)) AS j) WHERE i <= j GROUP BY ALL""")
+def q_gram_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums of products per year, over the rows: all years in one aggregation."""
+    lines = _lines(spark, sf)
+    made = gram.design(lines, ("l_quantity", "l_discount"), (), "l_extendedprice")
+    sums = stored(gram.gram(lines, "year", made), "gram")
+    rows = sums.filter("i = 0 AND j = 0").select(F.col("period").alias("_p"), F.col("value").alias("_n"))
+    return sums.join(rows, F.col("period") == F.col("_p")).select(
+        "period", "i", "j", (F.round(F.col("value") / F.col("_n"), 4) + F.lit(0.0)).alias("mean_product"))
+
+
+# Two predictors have closed forms for every penalty on squares.
+@query(f"""
+WITH {LINES_SQL}, f AS (SELECT avg(y) AS my, avg(x) AS mx, avg(z) AS mz, stddev_pop(y) AS sy, stddev_pop(x) AS sx, stddev_pop(z) AS sz,
+  corr(x, z) AS xz, corr(x, y) AS xy, corr(z, y) AS zy FROM d WHERE yr < 2000),
+c AS (SELECT * FROM (VALUES ('sin_regularizacion', 0.0), ('ridge_1', 1.0), ('ridge_10', 10.0)) AS v(model, penalty)),
+k AS (SELECT *, 1 + penalty / sy AS g FROM c CROSS JOIN f),
+m AS (SELECT model, my, mx, mz, (g * xy - xz * zy) / (g * g - xz * xz) * sy / sx AS bx, (g * zy - xz * xy) / (g * g - xz * xz) * sy / sz AS bz FROM k),
+p AS (SELECT model, y, y - my - bx * (x - mx) - bz * (z - mz) AS r FROM d CROSS JOIN m WHERE yr >= 2000
+      UNION ALL SELECT 'baseline', y, y - my FROM d CROSS JOIN f WHERE yr >= 2000)
+SELECT model, count(*) AS n, round(sqrt(avg(r * r)), 4) AS rmse, round(1 - sum(r * r) / (var_pop(y) * count(*)), 8) AS r2 FROM p GROUP BY model""")
+def q_gram_two_predictors(spark: SparkSession, sf: str) -> DataFrame:
+    """Plain and ridge fits of two predictors, fitted and scored by sums of products of their periods."""
+    lines = _lines(spark, sf)
+    made = gram.design(lines, ("l_quantity", "l_discount"), (), "l_extendedprice")
+    years = [r["year"] for r in lines.select("year").distinct().collect()]
+    configs = {n: c for n, c in supervise.LINEAR_CONFIGS.items() if not c["elasticNetParam"]}
+    metrics, _, _ = gram.grid(lines, "year", [y for y in years if y < 2000], [y for y in years if y >= 2000], made, configs)
+    return metrics.withColumns({"rmse": F.round("rmse", 4), "r2": F.round("r2", 8)})
+
+
+# One predictor has a closed form for both kinds of penalty, so SQL can follow the refit over more periods.
+@query(f"""
+WITH {LINES_SQL}, f AS (SELECT avg(y) AS my, avg(x) AS mx, covar_pop(y, x) AS cxy, var_pop(x) AS vx, stddev_pop(y) AS sy FROM d WHERE yr <= 2000),
+c AS (SELECT * FROM (VALUES ('sin_regularizacion', 0.0, 0.0), ('ridge_1', 1.0, 0.0), ('ridge_10', 10.0, 0.0), ('elastic_net_10', 10.0, 0.5)) AS v(model, penalty, mix)),
+m AS (SELECT model, sign(cxy) * greatest(abs(cxy) / sqrt(vx) - mix * penalty, 0) / (sqrt(vx) * (1 + (1 - mix) * penalty / sy)) AS slope, my, mx FROM c CROSS JOIN f)
+SELECT model, round(slope, 5) AS slope, round(my - slope * mx, 3) AS intercept, round(sqrt(avg(power(y - my - slope * (x - mx), 2))), 4) AS rmse
+FROM d CROSS JOIN m WHERE yr > 2000 GROUP BY model, slope, my, mx""")
+def q_gram_refit(spark: SparkSession, sf: str) -> DataFrame:
+    """The four configurations refitted over more years by adding matrices up: coefficients, and RMSE on the years after."""
+    lines = _lines(spark, sf)
+    made = gram.design(lines, ("l_quantity",), (), "l_extendedprice")
+    years = [r["year"] for r in lines.select("year").distinct().collect()]
+    _, _, grams = gram.grid(lines, "year", [y for y in years if y < 2000], [2000], made, supervise.LINEAR_CONFIGS)
+    fit, test = (gram.matrix(grams, chosen, made) for chosen in ([y for y in years if y <= 2000], [y for y in years if y > 2000]))
+    rows = []
+    for name, config in supervise.LINEAR_CONFIGS.items():
+        model = gram.solve(fit, made, config["regParam"], config["elasticNetParam"])
+        rows.append((name, round(float(model.coefficients[0]), 5), round(float(model.intercept), 3), round(gram.scores(test, model)["rmse"], 4)))
+    return spark.createDataFrame(rows, "model string, slope double, intercept double, rmse double")
+
+
+@query(f"""
+WITH e AS (SELECT * FROM ({CLEAN}) c WHERE first_fail = 0), f AS (SELECT * FROM e WHERE substr(period, 1, 4) < '1999')
+SELECT unnest({list(supervise.LINEAR_CONFIGS)!r}) AS model, count(*) AS n, true AS optimal FROM f""")
+def q_gram_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the panel's four models meet their optimality conditions, from a scan of the rows that knows nothing of the matrices."""
+    fit, _, _ = _panel(spark, sf)
+    made = gram.design(fit, SPEC.numeric_predictors, SPEC.categorical_predictors, SPEC.target)
+    sums = gram.matrix(stored(gram.gram(fit, "period", made), "gram"), None, made)
+    models = {n: gram.solve(sums, made, c["regParam"], c["elasticNetParam"]) for n, c in supervise.LINEAR_CONFIGS.items()}
+    features = [F.col(c) for c in made.numeric] + [F.coalesce((F.col(c) == v).cast("double"), F.lit(0.0)) for c, values in made.codes.items() for v in values]
+    named = {f"x{k}": x for k, x in enumerate(features)}
+    scored = fit.select(SPEC.target, *[x.alias(k) for k, x in named.items()], *[(F.col(SPEC.target) - m.prediction()).alias(f"r_{n}") for n, m in models.items()])
+    found = scored.agg(
+        F.count(F.lit(1)).alias("n"), F.stddev_pop(SPEC.target).alias("sy"), *[F.stddev_pop(k).alias(f"s_{k}") for k in named],
+        *[F.covar_pop(k, f"r_{n}").alias(f"c_{k}_{n}") for k in named for n in models], *[F.avg(f"r_{n}").alias(f"m_{n}") for n in models]).first()
+    rows = []
+    for name, config in supervise.LINEAR_CONFIGS.items():
+        l2, l1 = ((config["regParam"] * part) / found["sy"] for part in (1 - config["elasticNetParam"], config["elasticNetParam"]))
+        worst = abs(found[f"m_{name}"]) / found["sy"]
+        for k, b in zip(named, models[name].coefficients, strict=True):
+            if not (spread := found[f"s_{k}"]):
+                continue
+            w, pull = b * spread / found["sy"], found[f"c_{k}_{name}"] / (spread * found["sy"])
+            worst = max(worst, max(0.0, abs(pull) - l1) if w == 0 else abs(pull - l2 * w - (l1 if w > 0 else -l1)))
+        rows.append((name, found["n"], bool(worst < 1e-6)))
+    return spark.createDataFrame(rows, "model string, n long, optimal boolean")
+
+
 def _constants(spark: SparkSession, sf: str) -> DataFrame:
     """Orders of 2000 with two constant predictions fitted on the years before."""
     orders, cut = table(spark, sf, "orders"), F.lit("2000-01-01").cast("timestamp")
