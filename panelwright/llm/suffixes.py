@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -14,8 +12,11 @@ from panelwright.operators.joins import join_aggregate
 from panelwright.session import numbered, sized, stored
 
 _BASE = 0xD6E8FEB86659FD93
-# Bytes of a text that are scanned at once.
-SCAN = 1 << 20
+# Bytes of a text that are scanned at once, and of the texts whose equal runs a task sees as one.
+SCAN, PART = 1 << 20, 8 << 20
+# Keys that may be looked up without moving their rows. Joins are split like that at every size, so that what is
+# shuffled is in proportion to the input.
+HOT = 1_000
 GRAM = 64
 # A bucket of up to so many different strings is finished in one task; a larger one is split further.
 FINISHED = 64
@@ -23,12 +24,17 @@ FINISHED = 64
 BLOCK = 8
 
 
-@cache
+_TABLES: list[tuple[np.ndarray, np.ndarray]] = []
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    with np.errstate(over="ignore"):
-        up, down = np.full(n, _BASE, np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    """The first ``n`` or more powers of the base and of its inverse; only the largest table is kept."""
+    if not _TABLES or len(_TABLES[0][0]) < n:
+        with np.errstate(over="ignore"):
+            up, down = np.full(n, _BASE, np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
+            up[0] = down[0] = 1
+            _TABLES[:] = [(np.multiply.accumulate(up), np.multiply.accumulate(down))]
+    return _TABLES[0]
 
 
 def gram_names(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -94,30 +100,41 @@ def scan(texts: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
     Of the n equal strings that one batch holds one stands for all; what the others cover is
     repeated for certain and comes as rows (null m, _place, s, e) of byte intervals.
     """
+    def settled(found: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        m, h, place, s, e, a = map(np.concatenate, found)
+        order = np.lexsort((np.arange(len(m)), h, m))
+        new = np.append(True, (np.diff(m[order]) != 0) | (np.diff(h[order]) != 0))
+        which = np.empty(len(m), np.int64)
+        which[order] = np.cumsum(new) - 1
+        first, n = order[new], np.bincount(which)
+        out = [_signed(m[first]), _signed(h[first]), n, place[first], s[first], e[first], a[first]]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
+        twice = np.flatnonzero(n[which] > 1)
+        if len(twice):
+            cut = np.append(True, (place[twice[1:]] != place[twice[:-1]]) | (s[twice[1:]] != e[twice[:-1]] + 1))
+            starts = twice[cut]
+            ends = twice[np.append(np.flatnonzero(cut)[1:] - 1, len(twice) - 1)]
+            none = pa.nulls(len(starts), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [none, none, none, *[pa.array(x) for x in (place[starts], s[starts], e[ends] + length)], none], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = batch.column(0).to_numpy()
             found: list[list[np.ndarray]] = [[] for _ in range(6)]
+            size = 0
             for k in range(batch.num_rows):
                 data = batch.column(1)[k].as_py()
+                size += len(data)
                 for m, s, e, a in runs_of(data, length, gram):
                     h = np.array([_digest(data[i : j + length]) for i, j in zip(s.tolist(), e.tolist(), strict=True)], np.uint64)
                     for column, value in zip(found, (m, h, np.full(len(m), places[k]), s, e, a), strict=True):
                         column.append(value)
-            if not found[0]:
-                continue
-            m, h, place, s, e, a = map(np.concatenate, found)
-            _, first, which, n = np.unique(np.rec.fromarrays([m, h]), return_index=True, return_inverse=True, return_counts=True)
-            out = [_signed(m[first]), _signed(h[first]), n, place[first], s[first], e[first], a[first]]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
-            twice = np.flatnonzero(n[which.ravel()] > 1)
-            if len(twice):
-                cut = np.append(True, (place[twice[1:]] != place[twice[:-1]]) | (s[twice[1:]] != e[twice[:-1]] + 1))
-                starts = twice[cut]
-                ends = twice[np.append(np.flatnonzero(cut)[1:] - 1, len(twice) - 1)]
-                none = pa.nulls(len(starts), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [none, none, none, *[pa.array(x) for x in (place[starts], s[starts], e[ends] + length)], none], names)
+                if found[0] and (size > PART or k == batch.num_rows - 1):
+                    yield from settled(found)
+                    found, size = [[] for _ in range(6)], 0
+            if found[0]:
+                yield from settled(found)
 
     names = ["m", "h", "n", "_place", "s", "e", "a"]
     return texts.mapInArrow(run, ", ".join(f"{x} long" for x in names))
@@ -214,9 +231,9 @@ def split(texts: DataFrame, members: DataFrame, length: int) -> DataFrame:
     first = stored(_strings(texts, members, blocks, "m long, c long, f long, n long, _place long, s long, e long"), "blocks")
     wholes = first.groupBy("m", "c", "f").agg(F.count("*").alias("_same"), F.min("n").alias("_n"))
     groups = wholes.groupBy("m", "c").agg(F.sum("_same").alias("_rows"), F.sum(F.when((F.col("_same") == 1) & (F.col("_n") == 1), 1).otherwise(0)).alias("_open"))
-    shared = join_aggregate(first, groups.filter("_rows > 1"), ["m", "c"], "_rows", "inner", "shared-blocks")
+    shared = join_aggregate(first, groups.filter("_rows > 1"), ["m", "c"], "_rows", "inner", "shared-blocks", broadcast_rows=0, hot_keys=HOT)
     equal = wholes.filter("_same > 1").select("m", "c", "f", F.col("_same").alias("_rows"))
-    done = join_aggregate(first.filter("n = 1"), equal, ["m", "c", "f"], "_rows", "inner", "equal-blocks").select(
+    done = join_aggregate(first.filter("n = 1"), equal, ["m", "c", "f"], "_rows", "inner", "equal-blocks", broadcast_rows=0, hot_keys=HOT).select(
         "_place", "s", (F.col("e") + length).alias("e"))
 
     def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +248,7 @@ def split(texts: DataFrame, members: DataFrame, length: int) -> DataFrame:
     left = shared.filter("_open > 0").select("m", "n", "_place", "s", "e", F.lit(0).cast("long").alias("a"))
     each = stored(_strings(texts, left, starts, "m long, g long, n long, _place long, s long"), "starts")
     twice = each.groupBy("m", "g").agg(F.count("*").alias("_rows")).filter("_rows > 1")
-    hit = join_aggregate(each.filter("n = 1"), twice, ["m", "g"], "_rows", "inner", "equal-starts")
+    hit = join_aggregate(each.filter("n = 1"), twice, ["m", "g"], "_rows", "inner", "equal-starts", broadcast_rows=0, hot_keys=HOT)
     return done.unionByName(hit.select("_place", "s", (F.col("s") + length).alias("e")))
 
 
@@ -245,13 +262,13 @@ def repeated(texts: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
     runs = stored(scan(texts, length, gram), "runs")
     sampled = runs.filter("m IS NOT NULL")
     buckets = sampled.groupBy("m").agg(F.sum("n").alias("_n"), F.count("*").alias("_rows")).filter("_n > 1").select("m", "_rows")
-    inside = stored(join_aggregate(sampled, buckets, ["m"], "_rows", "left_semi", "buckets"), "in-buckets")
+    inside = stored(join_aggregate(sampled, buckets, ["m"], "_rows", "left_semi", "buckets", broadcast_rows=0, hot_keys=HOT), "in-buckets")
     different = stored(inside.groupBy("m", "h").agg(
         F.sum("n").alias("n"), F.count("*").alias("_rows"), F.min(F.struct("_place", "s", "e", "a")).alias("_one")), "different")
-    equal = join_aggregate(inside, different.filter("n > 1").select("m", "h", "_rows"), ["m", "h"], "_rows", "left_semi", "equal-runs")
+    equal = join_aggregate(inside, different.filter("n > 1").select("m", "h", "_rows"), ["m", "h"], "_rows", "left_semi", "equal-runs", broadcast_rows=0, hot_keys=HOT)
     sizes = different.groupBy("m").agg(F.count("*").alias("_size"), F.min("n").alias("_least"), F.count("*").alias("_rows"))
     open_buckets = sizes.filter("_size > 1 AND _least = 1").select("m", "_size", "_rows")
-    members = stored(join_aggregate(different.drop("_rows"), open_buckets, ["m"], "_rows", "inner", "open-buckets").select(
+    members = stored(join_aggregate(different.drop("_rows"), open_buckets, ["m"], "_rows", "inner", "open-buckets", broadcast_rows=0, hot_keys=HOT).select(
         "m", "n", "_one.*", "_size"), "open")
     parts = [
         runs.filter("m IS NULL").select("_place", "s", "e"),

@@ -30,7 +30,7 @@ def test_pipeline(spark, sf, tmp_path):
     for a, x in rows:
         assert a in left or any(b < a and (x ^ y).bit_count() <= 4 or b in left for b, y in rows if a != b)
     assert not any((x ^ y).bit_count() <= 4 for a, x in rows for b, y in rows if a < b and a in left and b in left)
-    gone = simple_removed([(r.doc_id, r.text) for r in single.collect()], 400)
+    gone = simple_removed([(r.doc_id, r.text) for r in single.collect()], corpus_pipeline.REPEAT_BYTES)
     texts = {r.doc_id: r.text for r in cut.collect()}
     for line in gone:
         doc, n, removed, spans, _ = eval(line)  # noqa: S307
