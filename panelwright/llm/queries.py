@@ -93,11 +93,11 @@ hashed AS (SELECT doc_id, source, h, sum(n) AS n FROM (
              SELECT doc_id, source, len(lw) AS n, substring(md5(regexp_replace(translate(array_to_string(lw, ' '),
                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g')), 1, 15) AS h
              FROM lined WHERE len(lw) > 0) GROUP BY doc_id, source, h),
-least AS (SELECT doc_id, hs[1] AS one, hs[2] AS two FROM (SELECT doc_id, list_sort(list(h)) AS hs FROM hashed GROUP BY doc_id)),
-limits AS (SELECT w.source, greatest(CAST({lines.MIN_DOCUMENTS} AS DOUBLE), CAST({lines.MAX_SHARE} AS DOUBLE) * count(DISTINCT coalesce(one, ''))) AS most
-           FROM w LEFT JOIN least ON least.doc_id = w.doc_id GROUP BY w.source),
-common AS (SELECT source, h, count(DISTINCT coalesce(CASE WHEN h = one THEN two ELSE one END, '')) AS n
-           FROM hashed JOIN least ON least.doc_id = hashed.doc_id GROUP BY source, h),
+known AS (SELECT doc_id, md5(array_to_string(list_sort(list(h)), ' ')) AS id FROM hashed GROUP BY doc_id),
+limits AS (SELECT w.source, greatest(CAST({lines.MIN_DOCUMENTS} AS DOUBLE), CAST({lines.MAX_SHARE} AS DOUBLE) * count(DISTINCT coalesce(id, ''))) AS most
+           FROM w LEFT JOIN known ON known.doc_id = w.doc_id GROUP BY w.source),
+common AS (SELECT source, h, count(DISTINCT id) AS n
+           FROM hashed JOIN known ON known.doc_id = hashed.doc_id GROUP BY source, h),
 lost AS (SELECT hashed.doc_id, sum(hashed.n) AS n FROM hashed
          JOIN common ON common.h = hashed.h AND common.source IS NOT DISTINCT FROM hashed.source
          JOIN limits ON limits.source IS NOT DISTINCT FROM hashed.source WHERE common.n > most GROUP BY hashed.doc_id),
