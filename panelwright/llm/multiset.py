@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import NumericType
 
 # Lanes that hold uniform 16-bit sums of paragraphs, and lanes that hold sums of signs of their phrases.
 EXACT, SIGNS = 64, 192
@@ -83,12 +84,16 @@ def edited(text: str, following: str) -> tuple[str, int]:
 def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    The next document is the one of the next key, after the last the first; null keys come first, rows of one key
-    in their place in the table. Rows are dealt by ranges of the key, sorted, and read as a stream with one row held
-    back; the first row of each range is also sent, once, to the range before. ``docs`` must be a stored table.
+    The next document is the one of the next key, after the last the first; null keys come first, rows of one key in the
+    order of the MD5 of their texts, so repeated rows follow one another. Rows are dealt by ranges of the key, sorted, and read as
+    a stream with one row held back; the first row of each range is also sent, once, to the range before. Keys must be numbers.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"), F.monotonically_increasing_id().alias("_place"))
+    if not isinstance(docs.schema[key].dataType, NumericType):
+        raise ValueError(f"the key {key} is no number")
+    content = F.coalesce(F.col(text), F.lit(""))
+    # Rows are told apart by what they hold: a place in the table would differ in another scan.
+    rows = docs.select(F.col(key).alias("_key"), F.md5(content.cast("binary")).alias("_h"), content.alias("_text"))
     total = rows.count()
     buckets = min(MOST_BUCKETS, max(1, math.ceil(total / BUCKET_ROWS)))
     at = [k / buckets for k in range(1, buckets)]
@@ -101,16 +106,17 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
         return pd.Series(np.where(keys.isna(), -1, numbers))
 
     dealt = rows.withColumn("_bucket", bucket_of("_key"))
-    heads = sorted(
-        dealt.groupBy("_bucket").agg(F.min(F.struct("_key", "_place")).alias("h")).select("_bucket", "h._place").collect()
-    )  # one short row for each bucket
-    before = [(heads[k]["_place"], heads[k - 1]["_bucket"]) for k in range(len(heads))]
-    ahead = F.broadcast(spark.createDataFrame(before, "_head long, _to int"))
-    sent = rows.join(ahead, F.col("_place") == F.col("_head")).select(
-        F.col("_to").alias("_bucket"), F.lit(1).alias("_sent"), "_key", "_place", "_text")
+    heads = dealt.groupBy("_bucket").agg(F.min(F.struct("_key", "_h")).alias("h")).select("_bucket", "h.*").collect()
+    heads = sorted(heads, key=lambda r: r["_bucket"])  # one short row for each bucket
+    before = [(r["_key"], r["_h"], heads[k - 1]["_bucket"]) for k, r in enumerate(heads)]
+    ahead = F.broadcast(spark.createDataFrame(before, f"_hk {schema_key}, _hh string, _to int"))
+    is_head = F.col("_key").eqNullSafe(F.col("_hk")) & (F.col("_h") == F.col("_hh"))
+    # Of equal rows any one is as good.
+    sent = rows.join(ahead, is_head).select(
+        F.col("_to").alias("_bucket"), F.lit(1).alias("_sent"), "_key", "_h", "_text").dropDuplicates(["_bucket"])
     ordered = (
-        dealt.select("_bucket", F.lit(0).alias("_sent"), "_key", "_place", "_text").unionByName(sent)
-        .repartition("_bucket").sortWithinPartitions("_bucket", "_sent", "_key", "_place")
+        dealt.select("_bucket", F.lit(0).alias("_sent"), "_key", "_h", "_text").unionByName(sent)
+        .repartition("_bucket").sortWithinPartitions("_bucket", "_sent", "_key", "_h")
     )
     names = [key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [schema_key, "long", "string", "string", "string", "double", "double"]

@@ -128,8 +128,8 @@ def test_multiset_query(spark, sf, edge_docs, no_docs, monkeypatch):
     monkeypatch.setattr(multiset, "BUCKET_ROWS", 37)
     for docs in (queries.table(spark, sf, "documents"), edge_docs):
         found = multiset.compare_with_next(docs).collect()
-        rows = docs.withColumn("p", F.monotonically_increasing_id()).select("doc_id", "text", "p").collect()
-        rows.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.p))
+        rows = docs.select("doc_id", "text").collect()
+        rows.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, hashlib.md5((r.text or "").encode()).hexdigest()))
         wanted, nears = [], {}
         for k, r in enumerate(rows):
             text, after = r.text or "", rows[(k + 1) % len(rows)].text or ""

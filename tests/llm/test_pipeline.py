@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelwright.llm import common, lines, simhash, suffixes, surrogates, warc
+from panelwright.llm import common, lines, multiset, queries, simhash, suffixes, surrogates, warc
+from tests.compare import connect, differences
 from tests.llm.test_duplicates import simple_print, simple_removed
 
 
@@ -80,3 +81,38 @@ def test_rows_keep_their_places_when_splits_change(spark, tmp_path, monkeypatch,
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_multisets_keep_their_rows_when_splits_change(spark, tmp_path, monkeypatch):
+    for k in range(16):
+        rows = [(None if k == 5 else k * 9 + j // 2, f"text {k} {j % 3}\nmore of it, {j}", "a") for j in range(18)]
+        spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    monkeypatch.setattr(multiset, "BUCKET_ROWS", 7)
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        found = multiset.compare_with_next(docs)
+        spark.conf.set("spark.sql.files.minPartitionNum", "16")
+        found = sorted(str(tuple(r)) for r in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(found) == 288
+    monkeypatch.setattr(multiset, "BUCKET_ROWS", 2_000)
+    assert found == sorted(str(tuple(r)) for r in multiset.compare_with_next(docs).collect())
+    with pytest.raises(ValueError, match="no number"):
+        multiset.compare_with_next(docs.withColumn("doc_id", F.col("text")))
+
+
+def test_quality_sql_counts_true_documents(spark, tmp_path):
+    """A menu of many lines on some of a host's documents: the line of the least hash says nothing about how many there are."""
+    menu = "\n".join(f"menu entry {chr(97 + k)} of the house" for k in range(15))
+    own = [" ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + j % 26)}{'y' * (j // 26)}" for j in range(80)) for k in range(200)]
+    rows = [(k, f"{menu}\n{text}" if k % 8 == 0 else text, "en", "h", 1) for k, text in enumerate(own)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/all")
+    part = next(tmp_path.glob("all/*.parquet"))
+    part.rename(tmp_path / "documents.parquet")
+    found = queries.QUERIES["op6_quality"](spark, str(tmp_path))
+    assert found.filter("words_left < n_words").count() == 25
+    assert differences(found, connect(str(tmp_path)), queries.ORACLES["op6_quality"]) == ""
