@@ -15,9 +15,12 @@ from panelwright.operators.labels import dense_numbers
 from panelwright.session import stored
 
 # Bytes of text that are coded under one local list of words.
-CHUNK = 8 << 20
+CHUNK = 24 << 20
 # Entries that a task sorts at once, and that a shard should end up with.
 ROOM = 2_000_000
+# Words that are looked up without moving their rows. Large lookups are split like that at every size, so that what
+# is shuffled is in proportion to the input.
+HOT = 1_000
 # Shards that one pass splits entries into, as a power of two, and bits that a quotient has at least where there are so many.
 FAN, QUOTIENT = 10, 24
 ROUNDS = 4
@@ -299,7 +302,7 @@ def words_and_phrases(docs: DataFrame, least: int, text: str = "text", lang: str
 
     # Each chunk learns the numbers of its own words only, so no task needs the whole list.
     listed = coded.select("_chunk", F.col("_lang").alias("lang"), F.posexplode(F.transform("_words", lambda x: x["w"])).alias("_pos", "word"))
-    named = join_aggregate(listed, words.select("lang", "word", "id", "_chunks"), ["lang", "word"], "_chunks", "inner", "named-words")
+    named = join_aggregate(listed, words.select("lang", "word", "id", "_chunks"), ["lang", "word"], "_chunks", "inner", "named-words", broadcast_rows=0, hot_keys=HOT)
     ids = named.groupBy("_chunk").agg(F.collect_list(F.struct((F.col("_pos") + 2).alias("at"), "id")).alias("_ids"))
     known = coded.select("_chunk", "_codes").hint("merge").join(ids, "_chunk")
     step = min(bits, FAN)
@@ -330,15 +333,15 @@ def mine(
     sizes, words, phrases = words_and_phrases(docs, least, text, lang)
     named = phrases
     for column, extra in (("i", ["lang"]), ("j", []), ("k", [])):
-        facts = words.select(F.col("id").alias("_id"), F.col("word").alias(f"word_{column}"), F.col("f").alias(f"f_{column}"), *extra)
+        facts = words.select(F.col("id").alias("_id"), F.col("f").alias(f"f_{column}"), *extra)
         # Stored each time, as a split lookup has three branches, which would multiply.
-        named = stored(lookup(named, facts, {column: "_id"}, f"words-{column}"), f"with-{column}")
+        named = stored(lookup(named, facts, {column: "_id"}, f"counts-{column}"), f"with-{column}")
     pairs, triples = phrases.filter("k = 0"), phrases.filter("k > 0")
     for first, second in ("ij", "jk"):
         facts = pairs.select(F.col("i").alias("_i"), F.col("j").alias("_j"), F.col("a").alias(f"f_{first}{second}"))
-        named = stored(lookup(named, facts, {first: "_i", second: "_j"}, "pairs"), f"with-{first}{second}")
+        named = stored(lookup(named, facts, {first: "_i", second: "_j"}, "pairs", broadcast_rows=0), f"with-{first}{second}")
     around = triples.select("i", "j", "a").union(triples.select("j", "k", "a")).groupBy(F.col("i").alias("_i"), F.col("j").alias("_j")).agg(F.max("a").alias("_longest"))
-    named = stored(lookup(named, around, {"i": "_i", "j": "_j"}, "longer"), "named-phrases")
+    named = stored(lookup(named, around, {"i": "_i", "j": "_j"}, "longer", broadcast_rows=0), "named-phrases")
     kept = named.filter((F.col("k") > 0) | F.col("_longest").isNull() | (100 * F.col("_longest") < inside * F.col("a")))
 
     def cut(left: str, right: str) -> Column:
@@ -346,9 +349,13 @@ def mine(
 
     one, two = cut("f_i", "f_jk"), cut("f_ij", "f_k")
     lowest = F.when(F.col("k") == 0, cut("f_i", "f_j")).when(two["score"] < one["score"], two).otherwise(one)
-    scored = kept.select("lang", "a", F.concat_ws(" ", "word_i", "word_j", "word_k").alias("phrase"), lowest.alias("_cut")).select(
-        "lang", "a", "phrase", "_cut.*")
+    scored = kept.select("lang", "a", "i", "j", "k", lowest.alias("_cut")).select("lang", "a", "i", "j", "k", "_cut.*")
+    # Only phrases that can be among the best need their words; ties stay until those tell them apart.
+    counted = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+    top = stored(scored.withColumn("_place", F.rank().over(counted)).filter(F.col("_place") <= most).drop("_place"), "best-phrases")
+    for column in "ijk":
+        top = stored(lookup(top, words.select(F.col("id").alias("_id"), F.col("word").alias(f"word_{column}")), {column: "_id"}, "words"), "worded")
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    top = scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= most).withColumn("rank", F.col("rank").cast("long"))
+    top = top.withColumn("phrase", F.concat_ws(" ", "word_i", "word_j", "word_k")).withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= most)
     found = lookup(top, sizes.withColumnRenamed("lang", "_lang"), {"lang": "_lang"}, "sizes")
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
