@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwright.session import name_folder, stored
 
+# Workers stay for the stages to come: what they free goes back to the system instead of being kept by each of them.
+RETURNING = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "1048576",
+}
+
 
 def importable(spark: SparkSession) -> None:
     """Lets Python workers find this package where it is not installed; a cluster ships it by --py-files.
@@ -21,6 +26,18 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
 
 
+def sharing(spark: SparkSession, batch_bytes: int) -> None:
+    """For jobs of many stages in one session: workers take in ``batch_bytes`` at once and return what they free.
+
+    Holds for what the session runs from then on, as frames run after the call that made them. What the session
+    names itself in its workers' environment stays.
+    """
+    importable(spark)
+    for name, value in RETURNING.items():
+        spark.sparkContext.environment.setdefault(name, value)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, root) of every node of undirected edges (a, b): the least node that it is connected with.
 

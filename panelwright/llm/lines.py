@@ -151,8 +151,8 @@ def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
             out.append(t)
         return pd.Series(out, dtype=object)
 
-    # As many verdicts as documents: texts are dealt by place at every size.
-    kept = placed.join(verdicts.hint("merge"), "_place")
+    # As many verdicts as documents: texts are dealt by place at every size, and pass by the verdicts unsorted.
+    kept = placed.join(verdicts.hint("shuffle_hash"), "_place")
     old = F.col("_row")[text]
     changed = F.when(F.col("_drop").isNull(), old).otherwise(without(old, "_drop"))
     return kept.select(F.col("_row").withField(text, changed).alias("_row")).select("_row.*")

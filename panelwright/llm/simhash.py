@@ -173,5 +173,5 @@ def first_of_each(docs: DataFrame, words: int = 4, radius: int = 4, seed: int =
     ranked = placed.select(F.struct(own.isNull().alias("missing"), own.alias("key"), "_place").alias("_key"), F.col("_row")[text].alias("_text"))
     found = groups(ranked, words, radius, seed, "_key", "_text")
     chosen = found.filter(F.col("_key") == F.col("component_id")).select(F.col("_key._place").alias("_place"))
-    # As many places as groups: texts are dealt by place at every size.
-    return placed.join(stored(chosen, "chosen").hint("merge"), "_place", "left_semi").select("_row.*")
+    # As many places as groups: texts are dealt by place at every size, and pass by the places unsorted.
+    return placed.join(stored(chosen, "chosen").hint("shuffle_hash"), "_place", "left_semi").select("_row.*")

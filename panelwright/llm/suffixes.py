@@ -97,7 +97,7 @@ def _signed(values) -> pa.Array:
 def scan(texts: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
     """(m, h, n, _place, s, e, a): runs of starts, by anchor q-gram m and whole string h.
 
-    Of the n equal strings that one batch holds one stands for all; what the others cover is
+    Of the n equal strings that PART bytes of a task hold one stands for all; what the others cover is
     repeated for certain and comes as rows (null m, _place, s, e) of byte intervals.
     """
     def settled(found: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -119,10 +119,10 @@ def scan(texts: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
                 [none, none, none, *[pa.array(x) for x in (place[starts], s[starts], e[ends] + length)], none], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[list[np.ndarray]] = [[] for _ in range(6)]
+        size = 0
         for batch in batches:
             places = batch.column(0).to_numpy()
-            found: list[list[np.ndarray]] = [[] for _ in range(6)]
-            size = 0
             for k in range(batch.num_rows):
                 data = batch.column(1)[k].as_py()
                 size += len(data)
@@ -130,11 +130,11 @@ def scan(texts: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
                     h = np.array([_digest(data[i : j + length]) for i, j in zip(s.tolist(), e.tolist(), strict=True)], np.uint64)
                     for column, value in zip(found, (m, h, np.full(len(m), places[k]), s, e, a), strict=True):
                         column.append(value)
-                if found[0] and (size > PART or k == batch.num_rows - 1):
+                if found[0] and size > PART:
                     yield from settled(found)
                     found, size = [[] for _ in range(6)], 0
-            if found[0]:
-                yield from settled(found)
+        if found[0]:
+            yield from settled(found)
 
     names = ["m", "h", "n", "_place", "s", "e", "a"]
     return texts.mapInArrow(run, ", ".join(f"{x} long" for x in names))
