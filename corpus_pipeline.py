@@ -2,7 +2,8 @@
 
 Rules drop poor documents, SimHash leaves one document of each group, repeated byte strings go, personal data gives way
 to surrogates, and what is left is packed into sequences. All stages but the last return the columns of ``documents``;
-``n_chars`` follows the text.
+``n_chars`` follows the text. Null and empty texts fail the quality rules; of repeated rows the second stage keeps one;
+null keys, sources and languages and further columns of any name stay as they are, and an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 # passages of over 50 words are caught in any of the languages.
 REPEAT_BYTES = 240
 # Bytes that a task takes in at once; the stages share executors, so that each has to leave the others room.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def _counted(kept: DataFrame, docs: DataFrame) -> DataFrame:
@@ -31,19 +32,19 @@ def _counted(kept: DataFrame, docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are not depleted, without the lines that too many documents share."""
-    common.importable(spark)
+    common.sharing(spark, BATCH_BYTES)
     return _counted(lines.clean(docs), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of texts linked within 4 bits of SimHash over 4-word shingles."""
-    common.importable(spark)
+    common.sharing(spark, BATCH_BYTES)
     return simhash.first_of_each(docs, words=4, radius=4, seed=42)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without strings of REPEAT_BYTES bytes that occur more than once."""
-    common.importable(spark)
+    common.sharing(spark, BATCH_BYTES)
     return _counted(suffixes.without_repeats(docs, length=REPEAT_BYTES), docs)
 
 
@@ -54,7 +55,7 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 2048 tokens."""
-    common.importable(spark)
+    common.sharing(spark, BATCH_BYTES)
     return packing.pack(packing.pieces(docs, VOCABULARY, size=2048, end=0), size=2048)
 
 
@@ -68,7 +69,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each one's result written and read again as the next one's input."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
