@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,6 +17,8 @@ BROADCAST_BYTES = 16 * 1024 * 1024
 PART_ROWS, MOST_PARTS = 10_000, 4_096
 _RUN = f"run-{uuid.uuid4().hex[:12]}"
 _folder: list[str] = []
+# Folders written on the way to a result, while one is made.
+_way: ContextVar[list[str] | None] = ContextVar("way", default=None)
 
 
 def local_session(name: str = "panelwright", cpus: str = "8", memory: str = "12g", folder: str | None = None) -> SparkSession:
@@ -60,7 +64,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 def remove_run(spark: SparkSession) -> None:
     """Removes what this run stored; frames that read it are lost."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/panelwright/{_RUN}")
+    _remove(spark, f"{shared_folder(spark)}/panelwright/{_RUN}")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -69,9 +77,29 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     folder = new_folder(spark, label)
     frame.write.mode("overwrite").parquet(folder)
+    if (way := _way.get()) is not None:
+        way.append(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def result_of(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """The frame that ``make`` gives, stored; all that was stored on the way to it is removed.
+
+    ``make`` must not hand out other frames that read what it stored. What was stored before stays.
+    """
+    way: list[str] = []
+    token = _way.set(way)
+    try:
+        out = stored(make(), label)
+    finally:
+        _way.reset(token)
+    for folder in way[:-1]:
+        _remove(spark, folder)
+    if (outer := _way.get()) is not None:
+        outer.append(way[-1])
+    return out
+
+
 def numbered(frame: DataFrame, label: str) -> DataFrame:
     """(_place, _row): the frame's rows with a number each, stored.
 
