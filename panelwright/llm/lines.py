@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelwright.llm.bpe import slices
 from panelwright.operators.joins import join_aggregate
-from panelwright.session import numbered, stored
+from panelwright.session import numbered, result_of, stored
 
 MIN_WORDS, MAX_REPEATED = 50, 50
 # A line is above the limit when more distinct documents of its host hold it than both of these.
@@ -137,7 +137,7 @@ def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str =
     placed = numbered(docs, "numbered")
     row = F.col("_row")
     base = placed.select("_place", row[key].alias(key), row[host].alias("_host"), row[text].alias(text))
-    verdicts = stored(_verdicts(_profiled(base, text)).filter("kept").select("_place", "_drop"), "verdicts")
+    verdicts = result_of(docs.sparkSession, lambda: _verdicts(_profiled(base, text)).filter("kept").select("_place", "_drop"), "verdicts")
 
     @F.pandas_udf("string")
     def without(texts, drops):

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelwright.llm.bpe import slices
 from panelwright.llm.common import components
 from panelwright.operators.joins import join_aggregate
-from panelwright.session import numbered, stored
+from panelwright.session import numbered, result_of, stored
 
 # Fingerprints of a tile; a pair of tiles takes TILE * TILE comparisons.
 TILE = 8192
@@ -171,7 +171,11 @@ def first_of_each(docs: DataFrame, words: int = 4, radius: int = 4, seed: int =
     placed = numbered(docs, "numbered")
     own = F.col("_row")[key]
     ranked = placed.select(F.struct(own.isNull().alias("missing"), own.alias("key"), "_place").alias("_key"), F.col("_row")[text].alias("_text"))
-    found = groups(ranked, words, radius, seed, "_key", "_text")
-    chosen = found.filter(F.col("_key") == F.col("component_id")).select(F.col("_key._place").alias("_place"))
+
+    def firsts() -> DataFrame:
+        found = groups(ranked, words, radius, seed, "_key", "_text")
+        return found.filter(F.col("_key") == F.col("component_id")).select(F.col("_key._place").alias("_place"))
+
+    chosen = result_of(docs.sparkSession, firsts, "chosen")
     # As many places as groups: texts are dealt by place at every size, and pass by the places unsorted.
-    return placed.join(stored(chosen, "chosen").hint("shuffle_hash"), "_place", "left_semi").select("_row.*")
+    return placed.join(chosen.hint("shuffle_hash"), "_place", "left_semi").select("_row.*")

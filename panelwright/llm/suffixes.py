@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from panelwright.operators.joins import join_aggregate
-from panelwright.session import numbered, sized, stored
+from panelwright.session import numbered, result_of, sized, stored
 
 _BASE = 0xD6E8FEB86659FD93
 # Bytes of a text that are scanned at once, and of the texts whose equal runs a task sees as one.
@@ -302,8 +302,11 @@ def _texts(placed: DataFrame, text: str, *more: str) -> DataFrame:
 
 
 def _spans(texts: DataFrame, length: int) -> DataFrame:
-    pairs = repeated(texts, length).groupBy("_place").agg(F.collect_list(F.struct("s", "e")).alias("_spans"))
-    return stored(pairs, "spans")
+    def pairs() -> DataFrame:
+        return repeated(texts, length).groupBy("_place").agg(F.collect_list(F.struct("s", "e")).alias("_spans"))
+
+    # Runs, buckets and blocks are dead once the spans are stored.
+    return result_of(texts.sparkSession, pairs, "spans")
 
 
 def removed(docs: DataFrame, length: int = 400, key: str = "doc_id", text: str = "text") -> DataFrame:
