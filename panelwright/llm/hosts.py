@@ -1,22 +1,30 @@
-"""URL filter: rules first, then naive Bayes over words that host names are split into."""
+"""URL filter: rules first, then naive Bayes over words that host names are split into.
+
+Word counts, token counts and log-odds are stored tables of any size. Rows are joined to them, rows of frequent words and
+tokens without being moved, so nothing is left out of the models and no task holds one of them whole.
+"""
 
 from __future__ import annotations
 
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelwright.operators.joins import lookup
 from panelwright.session import stored
 
-# Sizes of the models that are sent to tasks: words of the dictionary, tokens of the classifier.
-DICTIONARY, VOCABULARY = 30_000, 50_000
+# Letters of the longest word that a name is split into.
 LONGEST_WORD = 20
-_WORDS, _TAGS, _PATH = re.compile("[a-z]+"), re.compile("<[^>]*>"), re.compile("[a-z]+|[0-9]+")
+# Log-odds are added up in billionths, so that no order of adding changes a verdict; rows that leave a task at once.
+UNIT, ROWS = 1_000_000_000, 50_000
+_LETTERS = r"[^\W\d_]+"
+_WORDS, _TAGS = re.compile(_LETTERS), re.compile("<[^>]*>")
+_HOST, _PATH = re.compile(rf"{_LETTERS}|[0-9]+|[^.-]"), re.compile(rf"{_LETTERS}|[0-9]+")
 
 
 def host_and_path(url: str = "url") -> tuple[Column, Column]:
@@ -37,24 +45,31 @@ def ruled(rules: list[tuple[str, str]], host: str = "host", path: str = "path")
     return rule, verdict
 
 
-def dictionary(pages: DataFrame, html: str = "html", size: int = DICTIONARY) -> dict[str, float]:
-    """Log-probabilities of the most frequent words of all page texts: the unigram model of the segmentation.
+def _batches(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows as record batches of a bounded size."""
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == ROWS:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema.names)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema.names)
 
-    Counts cover every page; only the model, of ``size`` words at most, comes to the driver.
-    """
+
+def dictionary(pages: DataFrame, html: str = "html") -> DataFrame:
+    """(word, n): all words of all page texts, letters of any script in lower case; the unigram counts of the segmentation."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 found: Counter[str] = Counter()
                 for text in batch.column(0).slice(first, 256).to_pylist():
                     found.update(w for w in _WORDS.findall(_TAGS.sub(" ", text or "").lower()) if len(w) <= LONGEST_WORD)
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["w", "n"])
+                yield from _batches(found.items(), schema)
 
-    counts = pages.select(html).mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    top = stored(counts.filter("n > 1").orderBy(F.desc("n"), "w").limit(size), "dictionary").collect()
-    total = sum(r["n"] for r in top) or 1
-    return {r["w"]: math.log(r["n"] / total) for r in top}
+    return pages.select(html).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def split_words(name: str, model: dict[str, float]) -> list[str]:
@@ -79,71 +94,97 @@ def split_words(name: str, model: dict[str, float]) -> list[str]:
     return out[::-1]
 
 
-def _tokenizer(model: dict[str, float]):
-    @lru_cache(100_000)
-    def label(name: str) -> tuple[str, ...]:
-        return tuple(f"h:{w}" for run in re.findall("[a-z]+|[0-9]+|[^a-z0-9-]+", name) for w in (split_words(run, model) if run.isascii() and run.isalpha() else [run]))
+def features(urls: DataFrame) -> DataFrame:
+    """(_place, verdict, f, c): what a url is made of, and how often. ``r:`` marks a run of letters of the host, which is yet to be
+    split into words, ``h:`` any other part of it, ``p:`` a word of the path (percent signs decoded); all numbers of a path are one.
+    """
+
+    def parts(host: str, path: str) -> Iterator[str]:
+        for part in _HOST.findall(host):
+            yield f"r:{part}" if _WORDS.fullmatch(part) else f"h:{part}"
+        for part in _PATH.findall(unquote(path, errors="replace").lower()):
+            yield "p:0" if part[0] in "0123456789" else f"p:{part}"
 
-    def tokens(host: str, path: str) -> list[str]:
-        of_path = ["p:0" if t.isdigit() else f"p:{t}" for t in _PATH.findall(path.lower())]
-        return [w for part in host.split(".") if part for w in label(part)] + of_path
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("_place", pa.int64()), ("verdict", pa.string()), ("f", pa.string()), ("c", pa.int64())])
+        for batch in batches:
+            urls = zip(*[c.to_pylist() for c in batch.columns], strict=True)
+            yield from _batches(((k, v, f, c) for k, v, host, path in urls for f, c in Counter(parts(host, path)).items()), schema)
 
-    return tokens
+    return urls.select("_place", "verdict", "host", "path").mapInArrow(run, "_place long, verdict string, f string, c long")
 
 
-def train(urls: DataFrame, model: dict[str, float], size: int = VOCABULARY) -> dict:
-    """Multinomial naive Bayes of all rows that a rule judged: log-odds of blocking, in all and by token.
+def segmented(runs: DataFrame, words: DataFrame) -> DataFrame:
+    """(run, parts) of different runs of letters, split by Viterbi with the counts (word, n) of those words that a run contains.
 
-    Add-one smoothing; tokens are counted per task and summed, the ``size`` most frequent ones make the model.
-    Without rows of both verdicts there is nothing to learn, and every url is allowed.
+    Of a run its known parts meet in one row, at most LONGEST_WORD for each of its letters.
     """
+    total = words.agg(F.sum("n")).first()[0] or 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _tokenizer(model)
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("run", pa.string()), ("w", pa.string())])
         for batch in batches:
-            found: Counter[tuple[str, str]] = Counter()
-            for host, path, verdict in zip(*[batch.column(c).to_pylist() for c in range(3)], strict=True):
-                found[verdict, ""] += 1
-                found.update((verdict, t) for t in tokens(host, path))
-            keys = list(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[c] for k in keys], pa.string()) for c in (0, 1)] + [pa.array([found[k] for k in keys], pa.int64())], ["v", "t", "n"])
+            yield from _batches(((run, w) for run in batch.column(0).to_pylist() for w in {
+                run[a : a + n] for a in range(len(run)) for n in range(1, min(LONGEST_WORD, len(run) - a) + 1)}), schema)
 
-    counts = urls.filter("verdict IS NOT NULL").select("host", "path", "verdict").mapInArrow(run, "v string, t string, n long")
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("run", pa.string()), ("parts", pa.list_(pa.string()))])
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            yield from _batches(((run, split_words(run, {x["w"]: math.log(x["n"] / total) for x in known})) for run, known in rows), schema)
 
-    def of(kind: str) -> Column:
-        return F.sum(F.when(F.col("v") == kind, F.col("n")).otherwise(0)).alias(kind)
+    known = lookup(runs.mapInArrow(inside, "run string, w string"), words, {"w": "word"}, "words")
+    # Parts that are no words are left out of the list, but keep their run.
+    each = known.groupBy("run").agg(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("w", "n"))).alias("known"))
+    return each.mapInArrow(split, "run string, parts array<string>")
 
-    by_token = counts.groupBy("t").agg(of("allow"), of("block"))
-    top = stored(by_token.orderBy(F.desc(F.col("allow") + F.col("block")), "t").limit(size + 1), "tokens")
-    rows = {r["t"]: (r["allow"], r["block"]) for r in top.collect()}
-    good, bad = rows.pop("", (0, 0))
+
+def scores(urls: DataFrame, words: DataFrame) -> DataFrame:
+    """(_place, verdict, ..., score): log-odds of blocking under multinomial naive Bayes of all rows that a rule judged.
+
+    Add-one smoothing; tokens that no judged row has tell nothing. Without rows of both verdicts there is nothing to learn,
+    and every score is -1.
+    """
+    rows = {r["verdict"]: r["n"] for r in urls.groupBy("verdict").agg(F.count(F.lit(1)).alias("n")).collect()}
+    good, bad = rows.get("allow", 0), rows.get("block", 0)
     if not good or not bad:
-        return {"prior": -1.0, "tokens": {}}
-    all_good, all_bad = (sum(r[k] for r in rows.values()) + len(rows) for k in (0, 1))
-    odds = {t: math.log((b + 1) / all_bad) - math.log((g + 1) / all_good) for t, (g, b) in rows.items()}
-    return {"prior": math.log(bad / good), "tokens": odds}
+        return urls.withColumn("score", F.lit(-1.0))
+    found = stored(features(urls), "features")
+
+    def of(kind: str) -> Column:
+        return F.sum(F.when(F.col("verdict") == kind, F.col("c")).otherwise(0)).alias(kind)
+
+    counts = stored(found.groupBy("f").agg(of("allow"), of("block")), "feature-counts")
+    is_run = F.col("f").startswith("r:")
+    runs = stored(counts.filter(is_run).select(F.substring("f", 3, 1 << 30).alias("run")), "runs")
+    named = segmented(runs, words).select(F.concat(F.lit("r:"), "run").alias("f"), F.explode("parts").alias("w"))
+    pieces = stored(counts.filter(~is_run).select("f", F.col("f").alias("t"), "allow", "block").unionByName(
+        counts.join(named, "f").select("f", F.concat(F.lit("h:"), "w").alias("t"), "allow", "block")), "feature-tokens")
+    tokens = stored(pieces.groupBy("t").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).filter("allow + block > 0"), "tokens")
+    size = tokens.agg(F.count(F.lit(1)).alias("n"), F.sum("allow").alias("allow"), F.sum("block").alias("block")).first()
+    n = size["n"]
+    log_of = {k: F.log((F.col(k) + 1) / F.lit(float((size[k] or 0) + n))) for k in ("allow", "block")}
+    odds = tokens.select(F.col("t").alias("token"), F.round((log_of["block"] - log_of["allow"]) * UNIT).cast("long").alias("odds"))
+    of_feature = lookup(pieces.select("f", "t"), odds, {"t": "token"}, "odds").groupBy(F.col("f").alias("feature")).agg(
+        F.coalesce(F.sum("odds"), F.lit(0)).alias("s"))
+    of_url = lookup(found.select("_place", "f", "c"), of_feature, {"f": "feature"}, "feature-odds").groupBy("_place").agg(
+        F.sum(F.col("c") * F.col("s")).alias("s"))
+    score = F.lit(math.log(bad / good)) + F.coalesce(F.col("s"), F.lit(0)) / UNIT
+    return urls.join(of_url, "_place", "left").withColumn("score", score).drop("s")
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(key, host, path, rule, verdict, score) of every url.
 
-    A url that no rule fits is blocked if its naive Bayes log-odds, in ``score``, are above 0. Null urls have
-    empty host and path. Nothing but word and token counts is shuffled.
+    A url that no rule fits is blocked if its naive Bayes log-odds, in ``score``, are above 0. Null urls, and those without
+    ``://``, have empty host and path, and their score is the prior. Repeated rows, and rows with a null key, are rows like any
+    other, each judged for itself; a url counts as often as it occurs. An empty table gives no rows; columns but the three named
+    are not read. Urls of any length are read whole; null texts have no words.
     """
     host, path = host_and_path(url)
-    urls = pages.select(F.col(key), host.alias("host"), path.alias("path"))
     rule, verdict = ruled(rules)
-    urls = urls.withColumn("rule", rule).withColumn("verdict", verdict)
-    model = dictionary(pages, html)
-    bayes = train(urls, model)
-    schema = urls.withColumn("score", F.lit(0.0)).schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, odds = _tokenizer(model), bayes["tokens"]
-        for batch in batches:
-            scores = [bayes["prior"] + sum(odds.get(t, 0.0) for t in tokens(h, p)) for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            verdicts = [v or ("block" if s > 0 else "allow") for v, s in zip(batch.column(4).to_pylist(), scores, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(verdicts, pa.string()), pa.array(scores, pa.float64())], schema.names)
-
-    return urls.mapInArrow(run, schema)
+    urls = pages.select(F.col(key), host.alias("host"), path.alias("path")).withColumn("rule", rule).withColumn("verdict", verdict)
+    # Rows are told apart by a number that is stored, as it may differ in another scan.
+    urls = stored(urls.withColumn("_place", F.monotonically_increasing_id()), "urls")
+    scored = scores(urls, stored(dictionary(pages, html), "dictionary"))
+    return scored.withColumn("verdict", F.coalesce("verdict", F.when(F.col("score") > 0, "block").otherwise("allow"))).drop("_place")

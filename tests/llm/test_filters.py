@@ -1,7 +1,10 @@
 """Quality rules, URL filter, WARC and surrogates."""
 
 import hashlib
+import math
 import re
+from collections import Counter
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,6 +126,56 @@ def test_naive_bayes_learns_from_ruled_urls(spark, tmp_path):
     assert {r.verdict for r in held_out.collect()} == {"block"}
 
 
+def simple_scores(rows, rules):
+    """Plain naive Bayes and Viterbi over all words and tokens: {page: (words of the host, score)}."""
+    letters, seen = r"[^\W\d_]+", Counter()
+    for _, _, html in rows:
+        seen.update(w for w in re.findall(letters, re.sub("<[^>]*>", " ", html or "").lower()) if len(w) <= hosts.LONGEST_WORD)
+    total, tokens, by = sum(seen.values()), {}, {"allow": Counter(), "block": Counter()}
+    model, many = {w: math.log(n / total) for w, n in seen.items()}, Counter()
+    for page, url, _ in rows:
+        host, _, path = (url or "").partition("://")[2].partition("/")
+        host, path = re.sub("[A-Z]", lambda m: m.group().lower(), host), "/" + path
+        own = []
+        for part in re.findall(rf"{letters}|[0-9]+|[^.-]", host):
+            own += [f"h:{w}" for w in (hosts.split_words(part, model) if re.fullmatch(letters, part) else [part])]
+        own += ["p:0" if part.isdigit() else f"p:{part}" for part in re.findall(rf"{letters}|[0-9]+", unquote(path).lower())]
+        tokens[page] = own
+        fits = [(len(r), v) for v, r in rules if (host + "/").endswith(r.partition("/")[0] + "/") and path.startswith("/" + r.partition("/")[2])]
+        if fits:
+            by[max(fits)[1]].update(own)
+            many[max(fits)[1]] += 1
+    known = by["allow"].keys() | by["block"].keys()
+    sums = {v: sum(c.values()) + len(known) for v, c in by.items()}
+    odds = {t: math.log((by["block"][t] + 1) / sums["block"]) - math.log((by["allow"][t] + 1) / sums["allow"]) for t in known}
+    return len(seen), len(known), {k: math.log(many["block"] / many["allow"]) + sum(odds.get(t, 0) for t in own) for k, own in tokens.items()}
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_no_word_or_token_is_left_out(spark, tmp_path, monkeypatch, broadcast):
+    if not broadcast:  # all joins split off heavy keys and shuffle the others
+        monkeypatch.setattr("panelwright.session.BROADCAST_ROWS", 5)
+
+    def word(k):
+        return "".join(chr(97 + (k // 26**j * 7 + j) % 26) for j in range(4))
+
+    rows = []
+    for k in range(90):
+        # A word each, and one that a page in three has; paths of hundreds of different words.
+        words = " ".join(word(k * 450 + j) for j in range(450))
+        slug = "-".join(word(j) + word(j // 7) for j in range(k * 700, k * 700 + 700))
+        name = ("green" if k % 3 else "cheap") + word(k * 450 + 7) + word(k * 450 + 99)
+        rows.append((k, f"http://{name}-{k}.Example.{('org', 'net', 'info')[k % 3]}/{slug}/{k}", f"<p>green cheap {words}</p>"))
+    rows += [(100, "http://münchenцветы.info/caf%C3%A9/日本", "münchen münchen цветы"), (101, "x://" + word(3) * 3_000 + ".info", None), (102, None, "")]
+    rules = [("allow", "org/"), ("block", "net/"), ("allow", "cheap.info/")]
+    spark.createDataFrame(rows, PAGES).withColumns({c: F.lit(1) for c in ("_place", "host", "path", "f", "c", "score", "w")}).repartition(5).write.parquet(f"{tmp_path}/p")
+    found = hosts.judge(spark.read.parquet(f"{tmp_path}/p"), rules).collect()
+    n_words, n_tokens, plain = simple_scores(rows, rules)
+    assert n_words > 30_000 and n_tokens > 40_000 and len(found) == len(rows)
+    for r in found:
+        assert r.score == pytest.approx(plain[r.page_id], abs=1e-5) and r.verdict == ({"org/": "allow", "net/": "block"}.get(r.rule) or ("block" if r.score > 0 else "allow"))
+
+
 def simple_warc(rows):
     groups, out = {}, []
     for k, (page, _, html) in enumerate(rows):
