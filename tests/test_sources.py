@@ -213,6 +213,32 @@ def test_write_and_read_back(spark):
         sinks.read_back(spark, folder, frame.withColumn("ANIO", F.lit(1)), 13, SPEC.period)
 
 
+def test_one_changed_cell_is_found(spark):
+    schema = "k long, v double, t string, d date, p string"
+    rows = [(k, k / 7 if k % 5 else None, f"t{k % 3}" if k % 4 else None, None, "xy"[k % 2]) for k in range(40)]
+    frame = spark.createDataFrame([*rows, rows[0], rows[0]], schema)
+    folder = new_folder(spark, "test-content")
+    written = sinks.write_checked(frame, folder, "p", mixed=True)
+    assert written.rows == 42 and written == sinks.contents(frame.repartition(7).orderBy("t"))
+    assert sinks.read_back(spark, folder, frame, written, "p").count() == 42
+    parts = [sinks.contents(frame.filter(F.col("p") == p)) for p in "xy"]
+    assert parts[0] + parts[1] == written
+    cells = {"k": F.col("k") + 1, "v": F.lit(None).cast("double"), "t": F.lit("t9"), "d": F.lit("2020-01-01").cast("date")}
+    for column, value in cells.items():
+        sinks.write_table(frame.withColumn(column, F.when(F.col("k") == 11, value).otherwise(F.col(column))), folder, "p")
+        with pytest.raises(ValueError, match="content"):
+            sinks.read_back(spark, folder, frame, written, "p")
+    # As many rows, but one of three copies gave way to another row's copy.
+    sinks.write_table(spark.createDataFrame([*rows, rows[0], rows[1]], schema), folder, "p")
+    with pytest.raises(ValueError, match="content"):
+        sinks.read_back(spark, folder, frame, written, "p")
+    sinks.write_table(frame.limit(5), folder, "p")
+    with pytest.raises(ValueError, match="42"):
+        sinks.read_back(spark, folder, frame, written, "p")
+    none = sinks.write_checked(frame.limit(0), new_folder(spark, "test-content"))
+    assert none == sinks.Contents(0, (0, 0))
+
+
 def test_broadcast_only_when_counted_small(spark):
     small, large = spark.range(10), spark.range(100)
     assert "broadcast" in plan_of(sized(small, "test", 10)).lower()

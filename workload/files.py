@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelwright.functions.hashing import fingerprint
+from panelwright.functions.hashing import content_sums, fingerprint
 from panelwright.operators import rules
 from panelwright.plans.audit import prepare
 from panelwright.session import new_folder
 from panelwright.sources import codelist, landing, manifest
-from panelwright.sources.sinks import read_back, write_table
+from panelwright.sources.sinks import read_back, write_checked, write_table
 from workload.tables import ALLOWED, CLEAN, DIRTY, SPEC, dirty, judged, query, table
 
 
@@ -233,6 +233,26 @@ def q_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+CONTENT_SQL = """WITH h AS (SELECT o_orderstatus AS part, sha256(concat('{"o_orderkey":', o_orderkey, ',"o_custkey":', o_custkey, ',"o_orderstatus":"', o_orderstatus, '"}')) AS h FROM orders),
+s AS (SELECT part, CAST('0x' || substr(h, 1, 15) AS BIGINT) AS a, CAST('0x' || substr(h, 16, 15) AS BIGINT) AS b FROM h)"""
+
+
+@query(f"""
+{CONTENT_SQL}
+SELECT part, count(*) AS n, CAST(sum(a) AS VARCHAR) AS sum_0, CAST(sum(b) AS VARCHAR) AS sum_1 FROM s GROUP BY part
+UNION ALL SELECT 'all' AS part, count(*) AS n, CAST(sum(a) AS VARCHAR) AS sum_0, CAST(sum(b) AS VARCHAR) AS sum_1 FROM s""")
+def q_content_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """Content of orders as summed by the write, re-read and checked cell by cell, and that of each part, which add up to it."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    folder = new_folder(spark, "content")
+    written = write_checked(orders, folder, "o_orderstatus", mixed=True)
+    again = read_back(spark, folder, orders, written, "o_orderstatus")
+    sums = [F.col(f"sum_{k}").cast("string").alias(f"sum_{k}") for k in range(2)]
+    parts = again.groupBy(F.col("o_orderstatus").alias("part")).agg(F.count(F.lit(1)).alias("n"), *content_sums(orders.columns))
+    whole = spark.createDataFrame([("all", written.rows, *map(str, written.sums))], "part string, n long, sum_0 string, sum_1 string")
+    return parts.select("part", "n", *sums).unionByName(whole)
+
+
 @query(f"""
 SELECT edu, domain, count(*) AS n FROM (
   SELECT CASE WHEN regexp_matches(edu_code, '^[0-7]$') THEN edu_code ELSE 'UNKNOWN' END AS edu, domain
