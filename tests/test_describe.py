@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import statistics
@@ -127,6 +128,21 @@ def test_hash_sample_ignores_partitioning(spark):
     assert sampling.preview(frame, ["v"], 5).count() == 5
 
 
+def test_few_rows_but_the_sample_reach_the_last_task(spark):
+    frame = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("d"))
+    digests = sorted(hashlib.sha256(str(k).encode()).hexdigest() for k in range(20_000))
+    for limit in (1, 16, 300, 5_000, 19_999, 20_000, 30_000):
+        kept = sorted(r.d for r in sampling.least_hashes(frame.repartition(9), "d", limit).collect())
+        assert kept == digests[: len(kept)] and min(limit, 20_000) <= len(kept) <= limit * 1.1 + 20
+    assert sampling.hash_sample(frame.limit(0), ["id"], ["id"], 5).isEmpty()
+    # A third of all rows are the same one, and it has the lowest hash.
+    hot = min(range(100), key=lambda k: hashlib.sha256(str(k).encode()).hexdigest())
+    rows = spark.range(100).unionByName(spark.range(50).select(F.lit(hot).cast("long").alias("id")))
+    found = [r.id for r in sampling.hash_sample(rows, ["id"], ["id"], 60).collect()]
+    plain = sorted(range(100), key=lambda k: hashlib.sha256(str(k).encode()).hexdigest())
+    assert found == [hot] * 51 + plain[1:10]
+
+
 def test_ranks_are_worked_out_in_decimals(spark):
     frame = spark.range(1, 101).select(F.col("id").cast("double").alias("v"))
     wanted = [0.07, 0.29, 0.57, 0.58, 1.0]
