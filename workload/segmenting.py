@@ -61,8 +61,7 @@ def q_silhouette(spark: SparkSession, sf: str) -> DataFrame:
 FIXED_RUNS = [(k, seed) for k in (2, 3, 4) for seed in (0, 1)]
 
 
-@query(f"""
-WITH s AS (SELECT avg(l_quantity) AS mq, stddev_samp(l_quantity) AS sq, avg(l_discount) AS md, stddev_samp(l_discount) AS sd FROM lineitem),
+FIXED_SQL = f"""WITH s AS (SELECT avg(l_quantity) AS mq, stddev_samp(l_quantity) AS sq, avg(l_discount) AS md, stddev_samp(l_discount) AS sd FROM lineitem),
 u AS (SELECT k, seed, (l_quantity - mq) / sq AS x, (l_discount - md) / sd AS y,
         CAST(CASE WHEN seed = 0 THEN least(floor((l_quantity - 1) * k / 50), k - 1)
              ELSE least(floor(round(l_discount * 100) * k / 11), k - 1) END AS INTEGER) AS c
@@ -72,13 +71,31 @@ g AS (SELECT k, seed, c, sum(w) AS n, sum(w*x) AS sx, sum(w*y) AS sy, sum(w*(x*x
 d AS (SELECT p.k, p.seed, p.x, p.y, p.c, p.w, g.c AS kc, g.n, (p.x*p.x + p.y*p.y) + g.psi/g.n - 2*(p.x*g.sx + p.y*g.sy)/g.n AS m
       FROM p JOIN g ON g.k = p.k AND g.seed = p.seed),
 a AS (SELECT k, seed, x, y, c, max(w) AS w, max(CASE WHEN c = kc THEN m*n/(n-1) END) AS a, min(CASE WHEN c <> kc THEN m END) AS b FROM d GROUP BY k, seed, x, y, c),
-e AS (SELECT k, seed, sum(w * CASE WHEN a < b THEN 1 - a/b WHEN a > b THEN b/a - 1 ELSE 0 END) / sum(w) AS sil FROM a GROUP BY k, seed),
+e AS (SELECT k, seed, sum(w * CASE WHEN a < b THEN 1 - a/b WHEN a > b THEN b/a - 1 ELSE 0 END) / sum(w) AS sil FROM a GROUP BY k, seed)"""
+
+
+@query(f"""
+{FIXED_SQL},
 m AS (SELECT k, avg(sil) AS mean_sil FROM e GROUP BY k),
 c AS (SELECT min(k) AS k FROM m WHERE (SELECT max(mean_sil) FROM m) - mean_sil <= 0.01),
 r AS (SELECT e.k, e.seed, e.sil, row_number() OVER (ORDER BY e.sil DESC, e.seed) AS rn FROM e JOIN c ON e.k = c.k)
 SELECT CAST(k AS INTEGER) AS k, CAST(seed AS INTEGER) AS seed, round(sil, 8) AS sil FROM r WHERE rn = 1""")
 def q_choose_k(spark: SparkSession, sf: str) -> DataFrame:
     """Silhouettes of six fixed clusterings in two passes, then the rule for K."""
+    return segment.choose_k(_fixed_runs(spark, sf), []).select("k", "seed", F.round("silhouette", 8).alias("sil"))
+
+
+@query(f"""
+{FIXED_SQL}
+SELECT CAST(k AS INTEGER) AS k, round(avg(sil), 8) AS mean, round(min(sil), 8) AS lo, round(max(sil), 8) AS hi FROM e GROUP BY k""")
+def q_silhouette_by_k(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean, lowest and highest silhouette of the fixed clusterings for each K."""
+    by_k = segment.silhouette_by_k(_fixed_runs(spark, sf), [])
+    return by_k.select("k", *[F.round(c, 8).alias(c) for c in ("mean", "lo", "hi")])
+
+
+def _fixed_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """(k, seed, silhouette) of six fixed clusterings, in two passes."""
     scaled = segment.standardized(
         table(spark, sf, "lineitem").select("l_quantity", "l_discount"), ["l_quantity", "l_discount"]
     )
@@ -93,12 +110,11 @@ def q_choose_k(spark: SparkSession, sf: str) -> DataFrame:
     names = {f"k{k}_s{s}": (k, s) for k, s in FIXED_RUNS}
     assigned = scaled.withColumns({name: group(*run) for name, run in names.items()})
     scores = segment.silhouettes(assigned, F.array("l_quantity_z", "l_discount_z"), 2, list(names), 4)
-    runs = scores.select(
+    return scores.select(
         F.regexp_extract("assignment", r"k(\d+)_s(\d+)", 1).cast("int").alias("k"),
         F.regexp_extract("assignment", r"k(\d+)_s(\d+)", 2).cast("int").alias("seed"),
         "silhouette",
     )
-    return segment.choose_k(runs, []).select("k", "seed", F.round("silhouette", 8).alias("sil"))
 
 
 @query("""
