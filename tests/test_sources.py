@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.session import BROADCAST_ROWS, iterated, new_folder, shared_folder, sized
+from panelwright.session import BROADCAST_ROWS, iterated, iterated_parts, new_folder, shared_folder, sized
 from panelwright.sources import codelist, landing, manifest, sinks
 from panelwright.spec import labour_spec
 from tests.fixtures import EDITS, raw_rows
@@ -169,6 +169,14 @@ def test_layout_of_iterated_rows_follows_from_the_rows(spark, monkeypatch):
         assert frame.rdd.getNumPartitions() == 10 and frame.count() == 1000
 
 
+def test_parts_of_iterated_rows_grow_slower_than_the_rows(spark, monkeypatch):
+    assert [iterated_parts(n) for n in (0, 1, 10_000, 10_001, 335_663, 640_000)] == [1, 1, 1, 2, 34, 64]
+    assert [iterated_parts(n) for n in (2_000_000, 12_000_000, 40_000_000, 10**12)] == [64, 64, 200, 4096]
+    monkeypatch.setattr("panelwright.session.PART_ROWS", 1)
+    frame = iterated(spark.range(1000), "test")
+    assert frame.rdd.getNumPartitions() == 64 and frame.count() == 1000
+
+
 def test_no_folder_is_an_error(spark, monkeypatch):
     from types import SimpleNamespace
 
