@@ -1,12 +1,14 @@
 import hashlib
+import os
 import random
 import zipfile
 from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.session import BROADCAST_ROWS, iterated, iterated_parts, new_folder, shared_folder, sized
+from panelwright.session import BROADCAST_ROWS, iterated, iterated_parts, new_folder, numbered, shared_folder, sized, stored
 from panelwright.sources import codelist, landing, manifest, sinks
 from panelwright.spec import labour_spec
 from tests.fixtures import EDITS, raw_rows
@@ -177,6 +179,21 @@ def test_parts_of_iterated_rows_grow_slower_than_the_rows(spark, monkeypatch):
     assert frame.rdd.getNumPartitions() == 64 and frame.count() == 1000
 
 
+def test_numbered_copies_are_smaller_than_stored_rows(spark):
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(200)), lambda j: F.pmod(F.xxhash64("id", j), F.lit(997)).cast("string")))
+    rows = spark.range(0, 400, 1, 2).select(F.when(F.col("id") % 50 != 0, F.col("id")).alias("id"), F.when(F.col("id") % 40 != 0, words).alias("text"))
+
+    def size(frame):
+        return sum(os.path.getsize(urlparse(f).path) for f in frame.inputFiles())
+
+    copy = numbered(rows.unionByName(rows), "test")
+    plain = stored(copy, "test")
+    assert copy.count() == copy.select("_place").distinct().count() == 800
+    assert copy.exceptAll(plain).isEmpty() and plain.exceptAll(copy).isEmpty()
+    assert sorted(map(str, copy.select("_row.*").collect())) == sorted(map(str, rows.unionByName(rows).collect()))
+    assert size(copy) < 0.9 * size(plain)
+
+
 def test_no_folder_is_an_error(spark, monkeypatch):
     from types import SimpleNamespace
 
