@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -16,6 +17,8 @@ from panelwright.session import stored
 
 # Bytes of text that are coded under one local list of words.
 CHUNK = 24 << 20
+# Word numbers of a chunk that lie in one row, and words that are handed over at once: no row and no batch is as large as a chunk.
+PART = 1 << 15
 # Entries that a task sorts at once, and that a shard should end up with.
 ROOM = 2_000_000
 # Words that are looked up without moving their rows. Large lookups are split like that at every size, so that what
@@ -26,7 +29,6 @@ FAN, QUOTIENT = 10, 24
 ROUNDS = 4
 
 _BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"\n" * 10 + b" abcdefghijklmnopqrstuvwxyz")
-_NUMBERED = pa.struct([("w", pa.string()), ("n", pa.int64())])
 
 
 class _Codes(dict):
@@ -37,18 +39,17 @@ class _Codes(dict):
         return number
 
 
-def _chunk(texts: list[bytes]) -> tuple[pa.Array, bytes, int]:
-    """(words with their counts, the texts as numbers of these words with 0 between pieces, tokens)."""
+def _chunk(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(words, their counts, the texts as numbers of these words, from 2 on, with 0 between pieces and two more at the end)."""
     codes = _Codes({b"\n": 0, b"": 1})
     parts = []
     for text in texts:
         words = text.translate(_BREAKS).replace(b"\n", b" \n ").split(b" ")
         found = np.fromiter(map(codes.__getitem__, words), np.uint32, len(words))
         parts += [found[found != 1], np.zeros(1, np.uint32)]
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+    flat = np.concatenate([*parts, np.zeros(2, np.uint32)])
     counts = np.bincount(flat, minlength=len(codes))
-    words = pa.array(list(codes)[2:], pa.binary()).cast(pa.string())
-    return pa.StructArray.from_arrays([words, pa.array(counts[2:], pa.int64())], fields=list(_NUMBERED)), flat.tobytes(), int(counts[2:].sum())
+    return pa.array(list(codes)[2:], pa.binary()).cast(pa.string()), counts[2:], flat
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
@@ -62,18 +63,33 @@ def _pieces(text: bytes) -> Iterator[bytes]:
 
 
 def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(_chunk, _lang, _words array of (w, n), _codes, _tokens): texts of one language as numbers of their own words; stored."""
+    """(_chunk, _lang, _word, _at, _n, _codes): texts of one language as numbers of their own words; stored.
+
+    A chunk has a row for each of its words, with its number and its occurrences, and one without a word for every
+    PART numbers of its texts, with the two numbers that follow them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
-        size = 0
+        size, number = 0, TaskContext.get().partitionId() << 33
+
+        def rows(n: int, lang: str, word: pa.Array, at: pa.Array, count: pa.Array, codes: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.repeat(number, n), pa.repeat(lang, n), word, at, count, codes], names)
 
         def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal number
             for name, texts in held.items():
-                words, codes, tokens = _chunk(texts)
-                if tokens:
-                    listed = pa.ListArray.from_arrays([0, len(words)], words)
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), listed, pa.array([codes], pa.binary()), pa.array([tokens])], names)
+                words, counts, flat = _chunk(texts)
+                if not len(words):
+                    continue
+                for first in range(0, len(words), PART):
+                    some = words[first : first + PART]
+                    n = len(some)
+                    yield rows(n, name, some, pa.array(np.arange(first + 2, first + 2 + n)), pa.array(counts[first : first + n], pa.int64()), pa.nulls(n, pa.binary()))
+                for first in range(0, len(flat) - 2, PART):
+                    codes = pa.array([flat[first : first + PART + 2].tobytes()], pa.binary())
+                    yield rows(1, name, pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), codes)
+                number += 1
             held.clear()
 
         for batch in batches:
@@ -87,11 +103,10 @@ def chunks(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
                         size = 0
         yield from flush()
 
-    names = ["_lang", "_words", "_codes", "_tokens"]
-    schema = "_lang string, _words array<struct<w: string, n: bigint>>, _codes binary, _tokens long"
+    names = ["_chunk", "_lang", "_word", "_at", "_n", "_codes"]
+    schema = "_chunk long, _lang string, _word string, _at long, _n long, _codes binary"
     read = docs.select(F.coalesce(F.col(lang), F.lit("und")), F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    coded = read.mapInArrow(run, schema)
-    return stored(coded.select(F.monotonically_increasing_id().alias("_chunk"), "*"), "chunks")
+    return stored(read.mapInArrow(run, schema), "chunks")
 
 
 # ---- the filter: n-grams as permuted numbers, sorted, each with its whole remainder and its count
@@ -150,9 +165,15 @@ class Layout:
         if not len(counts):
             return quotients, rests, counts
         if self.quotient + self.rest <= 64:
-            order = np.argsort(quotients << np.uint64(self.rest) | rests)
-        else:
-            order = np.lexsort((rests, quotients))
+            # One number instead of two, so that less lies there while all are put in order.
+            keys = quotients << np.uint64(self.rest) | rests
+            order = np.argsort(keys)
+            keys, counts = keys[order], counts[order]
+            del order
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            keys = keys[first]
+            return keys >> np.uint64(self.rest), keys & _mask(self.rest), np.add.reduceat(counts, first)
+        order = np.lexsort((rests, quotients))
         quotients, rests, counts = quotients[order], rests[order], counts[order]
         first = np.flatnonzero(np.append(True, (quotients[1:] != quotients[:-1]) | (rests[1:] != rests[:-1])))
         return quotients[first], rests[first], np.add.reduceat(counts, first)
@@ -197,7 +218,10 @@ class _Room:
 
     def settle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if self.parts:
-            whole = self.layout.merged(*[np.concatenate(x) for x in zip(*self.parts, strict=True)])
+            columns = [list(x) for x in zip(*self.parts, strict=True)]
+            self.parts = []
+            # Each column's parts go as soon as they are one.
+            whole = self.layout.merged(*[np.concatenate(columns.pop(0)) for _ in range(3)])
             self.parts, self.size = [whole], len(whole[2])
             return whole
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -217,35 +241,59 @@ class _Room:
 FILTERS = "shard long, n long, data binary"
 
 
-def filters(coded: DataFrame, layout: Layout, bits: int) -> DataFrame:
-    """(shard, n, data) of all pairs and triples of neighbouring words in (_codes, _ids array of (at, id)); other words count as breaks."""
+def _names(listed: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The number of every word of a chunk by its place there; 0 where it has none."""
+    at, ids = (np.concatenate(x) for x in zip((np.zeros(1, np.int64),) * 2, *listed, strict=True))
+    names = np.zeros(int(at.max()) + 1, np.int64)
+    names[at] = ids
+    return names
+
+
+def _grams(codes: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """The pairs and triples of words that start at all ``codes`` but the last two; words without a name are breaks."""
+    found = names[np.where(codes < len(names), codes, 0)]
+    one, two, three = found[:-2], found[1:-1], found[2:]
+    pairs = (one > 0) & (two > 0)
+    triples = pairs & (three > 0)
+    return np.concatenate([
+        np.stack([one[pairs], two[pairs], np.zeros(pairs.sum(), np.int64)], axis=1),
+        np.stack([one[triples], two[triples], three[triples]], axis=1),
+    ])
+
+
+def filters(known: DataFrame, layout: Layout, bits: int) -> DataFrame:
+    """(shard, n, data) of all pairs and triples of neighbouring words in rows (_chunk, _at, id, _codes).
+
+    Rows of a chunk say which number a word has (_at, id) or hold a part of its texts (_codes); words without a number count as breaks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        room = _Room(layout)
+        room, held, listed, names = _Room(layout), None, [], None
         for batch in batches:
-            for k in range(batch.num_rows):
-                codes = np.frombuffer(batch.column(0)[k].as_py(), np.uint32)
-                listed = batch.column(1)[k].values
-                at, ids = (listed.field(c).to_numpy() for c in (0, 1))
-                names = np.zeros(int(max(codes.max(initial=0), at.max(initial=0))) + 1, np.int64)
-                names[at] = ids
-                for first in range(0, len(codes), ROOM // 4):
-                    # Two words more than are counted here, so that none is lost between parts.
-                    found = np.append(names[codes[first : first + ROOM // 4 + 2]], [0, 0])
-                    size = min(ROOM // 4, len(codes) - first)
-                    one, two, three = found[:size], found[1 : size + 1], found[2 : size + 2]
-                    pairs = (one > 0) & (two > 0)
-                    triples = pairs & (three > 0)
-                    grams = np.concatenate([
-                        np.stack([one[pairs], two[pairs], np.zeros(pairs.sum(), np.int64)], axis=1),
-                        np.stack([one[triples], two[triples], three[triples]], axis=1),
-                    ])
+            if not batch.num_rows:
+                continue
+            chunk, at, ids = (batch.column(c).fill_null(0).to_numpy() for c in range(3))
+            texts = batch.column(3)
+            is_text = texts.is_valid().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.append(True, (chunk[1:] != chunk[:-1]) | (is_text[1:] != is_text[:-1])))
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(chunk)], strict=True):
+                if chunk[a] != held:
+                    held, listed, names = chunk[a], [], None
+                if not is_text[a]:
+                    listed.append((at[a:b], ids[a:b]))
+                    continue
+                if names is None:
+                    names = _names(listed)
+                for k in range(a, b):
+                    grams = _grams(np.frombuffer(texts[k].as_buffer(), np.uint32), names)
                     room.add(*layout.merged(*layout.split(grams), np.ones(len(grams), np.int64)))
                     if room.size > ROOM:
                         yield from room.filters(bits)
         yield from room.filters(bits)
 
-    return coded.select("_codes", "_ids").mapInArrow(run, FILTERS)
+    # The words of a chunk come before its texts.
+    together = known.repartition("_chunk").sortWithinPartitions("_chunk", F.col("_codes").isNotNull())
+    return together.select("_chunk", "_at", "id", "_codes").mapInArrow(run, FILTERS)
 
 
 def finer(sharded: DataFrame, layout: Layout, bits: int) -> DataFrame:
@@ -291,9 +339,9 @@ def frequent(sharded: DataFrame, layout: Layout, least: int) -> DataFrame:
 def words_and_phrases(docs: DataFrame, least: int, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stored (lang, n), (id, lang, word, f) of words with at least ``least`` occurrences, and (i, j, k, a) of such phrases."""
     coded = chunks(docs, text, lang)
-    sizes = stored(coded.groupBy(F.col("_lang").alias("lang")).agg(F.sum("_tokens").alias("n")), "languages")
-    counts = coded.select(F.col("_lang").alias("lang"), F.inline("_words").alias("word", "n")).groupBy("lang", "word").agg(
-        F.sum("n").alias("f"), F.count(F.lit(1)).alias("_chunks")).filter(F.col("f") >= least)
+    listed = coded.filter(F.col("_word").isNotNull()).select("_chunk", F.col("_lang").alias("lang"), F.col("_word").alias("word"), "_at", "_n")
+    sizes = stored(listed.groupBy("lang").agg(F.sum("_n").alias("n")), "languages")
+    counts = listed.groupBy("lang", "word").agg(F.sum("_n").alias("f"), F.count(F.lit(1)).alias("_chunks")).filter(F.col("f") >= least)
     # Numbers count from 1, so that 0 can stand for no word.
     words = stored(dense_numbers(counts, ["lang", "word"], "place", "words").withColumn("id", F.col("place") + 1).drop("place"), "word-ids")
     total, tokens = words.count(), sizes.agg(F.sum("n")).first()[0] or 0
@@ -301,10 +349,11 @@ def words_and_phrases(docs: DataFrame, least: int, text: str = "text", lang: str
     bits = min(layout.quotient, max(0, math.ceil(math.log2(max(1, 2 * tokens / ROOM)))))
 
     # Each chunk learns the numbers of its own words only, so no task needs the whole list.
-    listed = coded.select("_chunk", F.col("_lang").alias("lang"), F.posexplode(F.transform("_words", lambda x: x["w"])).alias("_pos", "word"))
-    named = join_aggregate(listed, words.select("lang", "word", "id", "_chunks"), ["lang", "word"], "_chunks", "inner", "named-words", broadcast_rows=0, hot_keys=HOT)
-    ids = named.groupBy("_chunk").agg(F.collect_list(F.struct((F.col("_pos") + 2).alias("at"), "id")).alias("_ids"))
-    known = coded.select("_chunk", "_codes").hint("merge").join(ids, "_chunk")
+    named = join_aggregate(
+        listed.drop("_n"), words.select("lang", "word", "id", "_chunks"), ["lang", "word"], "_chunks", "inner", "named-words", broadcast_rows=0, hot_keys=HOT)
+    none = F.lit(None).cast("long")
+    texts = coded.filter(F.col("_word").isNull()).select("_chunk", none.alias("_at"), none.alias("id"), "_codes")
+    known = named.select("_chunk", "_at", "id", F.lit(None).cast("binary").alias("_codes")).unionByName(texts)
     step = min(bits, FAN)
     sharded = filters(known, layout, step)
     while step < bits:

@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -36,6 +37,21 @@ def test_filters_of_one_entry_and_none():
     assert layout.unpacked(layout.packed(*one), 1)[2].tolist() == [1 << 40]
 
 
+def test_settling_a_room_takes_little_more_than_its_entries():
+    layout, random, n = Layout(18), np.random.default_rng(3), 600_000
+    room = collocations._Room(layout)
+    for _ in range(10):
+        grams = random.integers(1, 1 << 18, (n // 10, 3))
+        room.add(*layout.split(grams), np.ones(len(grams), np.int64))
+    tracemalloc.start()
+    quotients, rests, counts = room.settle()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert int(counts.sum()) == n and room.size == len(quotients) == len(rests)
+    # Besides the entries as they come: 88 bytes each before columns and keys were freed in between.
+    assert peak < 80 * n
+
+
 def plainly(rows, least, inside, most):
     """Brute force over (text, lang) rows: {(lang, rank, phrase, a, l, r, n, score)}."""
     counts: dict[str, list[Counter]] = {}
@@ -95,6 +111,21 @@ def test_long_text_is_cut_between_pieces(spark, monkeypatch):
     assert found(docs, least=10, inside=50, most=5) == plainly([(text, None)], 10, 50, 5)
 
 
+def test_no_row_is_as_large_as_a_chunk(spark):
+    text = " ".join(f"w{k * k % 5003} and" + "." * (k % 50 == 0) for k in range(100_000))
+    docs = spark.createDataFrame([(text, "en")], "text string, lang string")
+    rows = collocations.chunks(docs).filter("_codes IS NOT NULL").collect()
+    assert max(len(r["_codes"]) for r in rows) < 200_000
+    assert found(docs, least=10, inside=50, most=200) == plainly([(text, "en")], 10, 50, 200)
+
+
+def test_phrases_across_rows_of_a_chunk(spark, monkeypatch):
+    texts = [("the red house of the red king, the red house", "en"), ("a red house", None), (None, "en"), ("x", "de"), ("the red house of the", "en")] * 4
+    docs = spark.createDataFrame(texts, "text string, lang string").coalesce(1)
+    monkeypatch.setattr(collocations, "PART", 2)
+    assert found(docs, least=3, inside=50, most=40) == plainly(texts, 3, 50, 40)
+
+
 def test_empty_table(no_docs):
     assert collocations.mine(no_docs).collect() == []
 
