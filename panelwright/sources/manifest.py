@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ZIP_SIGNATURE = "504B0304"
 
@@ -26,15 +26,55 @@ def empty_files(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
+def _streamed(spark: SparkSession) -> tuple[Column, Column]:
+    """(SHA-256, first four bytes) of the file that column ``path`` names, as binary.
+
+    No reader of Spark hands out a file in pieces, and Python workers do not reach its stores. So the task's own JVM opens the
+    file with the session's Hadoop settings and passes it through the digest a buffer at a time; streams close at their end.
+    Opening counts as not deterministic, else both columns would be given the same stream.
+    """
+    jvm = spark._jvm
+    expressions, types = jvm.org.apache.spark.sql.catalyst.expressions, jvm.org.apache.spark.sql.types
+    columns, binary = jvm.org.apache.spark.sql.classic.ExpressionUtils, types.DataTypes.BinaryType
+
+    def seq(items):
+        return jvm.org.apache.spark.api.python.PythonUtils.toSeq(list(items))
+
+    def kind(name):
+        return types.ObjectType(jvm.java.lang.Class.forName(name))
+
+    def held(value, name):
+        return expressions.Literal(value, kind(name))
+
+    def new(name, *given):
+        return expressions.objects.NewInstance(kind(name).cls(), seq(given), seq(()), True, kind(name), jvm.scala.Option.empty())
+
+    def call(target, method, returns, *given, repeatable=True):
+        return expressions.objects.Invoke(target, method, returns, seq(given), seq(()), True, True, repeatable)
+
+    hadoop, io = "org.apache.hadoop.fs", "org.apache.commons.io.input"
+    settings = jvm.org.apache.spark.util.SerializableConfiguration(spark._jsparkSession.sessionState().newHadoopConf())
+    conf = call(held(settings, "org.apache.spark.util.SerializableConfiguration"), "value", kind("org.apache.hadoop.conf.Configuration"))
+    name = call(columns.expression(F.col("path")._jc), "toString", kind("java.lang.String"))
+    path = new(f"{hadoop}.Path", name)
+    system = call(path, "getFileSystem", kind(f"{hadoop}.FileSystem"), conf)
+    opened = call(system, "open", kind(f"{hadoop}.FSDataInputStream"), path, repeatable=False)
+    sha256 = new("org.apache.commons.codec.digest.DigestUtils", held("SHA-256", "java.lang.String"))
+    digest = call(sha256, "digest", binary, new(f"{io}.AutoCloseInputStream", opened))
+    start = new(f"{io}.BoundedInputStream", opened, columns.expression(F.lit(4).cast("long")._jc))
+    first = call(new(f"{io}.AutoCloseInputStream", start), "readAllBytes", binary)
+    return Column(columns.column(digest)), Column(columns.column(first))
+
+
 def fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256, size and ZIP signature of every file under a path, empty ones included.
 
-    Spark's binary source reads and hashes each file within its task; it raises for a file
-    of more than 2 GiB, which no landed workbook or extract comes near.
+    Spark's binary source lists the files and deals them to tasks, which read them as streams: a file may have any size and is
+    never held whole. A digest follows from all bytes before, so one file is one task's work.
     """
-    files = spark.read.format("binaryFile").load(path)
-    magic = F.hex(F.substring("content", 1, 4)) == ZIP_SIGNATURE
-    held = files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"), magic.alias("is_zip"))
+    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"))
+    digest, first = _streamed(spark)
+    held = files.select("path", "bytes", F.lower(F.hex(digest)).alias("sha256"), (F.hex(first) == ZIP_SIGNATURE).alias("is_zip"))
     nothing = F.sha2(F.lit("").cast("binary"), 256)
     empty = spark.createDataFrame([(p,) for p in empty_files(spark, path)], "path string").select(
         "path", F.lit(0).cast("long").alias("bytes"), nothing.alias("sha256"), F.lit(False).alias("is_zip")

@@ -90,6 +90,31 @@ def test_fingerprints_of_all_files(spark, tmp_path):
             assert row.is_zip == (name == "book.zip")
 
 
+def test_fingerprint_of_a_file_that_no_row_can_hold(spark, tmp_path):
+    """Files with holes, so they take no room on disk; the large one is beyond the 2 GiB of a byte array."""
+    digests = {}
+    for name, size in (("large.bin", 2**31 + 11), ("odd %41 #1?=[a].bin", 5000), ("three.bin", 3)):
+        with open(tmp_path / name, "w+b") as file:
+            file.truncate(size)
+            file.write(b"PK\x03\x04"[:size])
+            file.seek(size - 1)
+            file.write(b"x")
+            file.seek(0)
+            digests[name] = size, hashlib.file_digest(file, "sha256").hexdigest(), size > 3
+    found = manifest.fingerprints(spark, str(tmp_path)).collect()
+    assert {Path(r.path).name: (r.bytes, r.sha256, r.is_zip) for r in found} == digests
+
+
+def test_fingerprint_columns_taken_alone_and_filtered(spark, tmp_path):
+    for k in range(20):
+        (tmp_path / f"{k}.bin").write_bytes(b"PK\x03\x04" * (k % 2) + bytes([k]) * 70_000)
+    files = manifest.fingerprints(spark, str(tmp_path))
+    whole = {Path(r.path).name: r.sha256 for r in files.collect()}
+    assert whole == {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in tmp_path.iterdir()}
+    assert {r.sha256 for r in files.filter("is_zip").select("sha256").collect()} == {whole[f"{k}.bin"] for k in range(1, 20, 2)}
+    assert files.select("is_zip").filter("is_zip").count() == 10 and files.agg(F.sum("bytes")).first()[0] == 20 * 70_000 + 40
+
+
 def test_merge_keeps_one_record_per_key(spark):
     columns = "p string, sha string, at string"
     fresh = spark.createDataFrame([("b", "2", "new"), ("a", "1", "new"), ("c", "3", "new")], columns)
